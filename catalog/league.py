@@ -9,47 +9,17 @@ from standwise.operators import matches as m
 from standwise.operators import stats
 from standwise.operators.keyed import keep_first, keep_last
 from standwise.plans import queries as q
-from standwise.sources.binding import SOURCE_ORDER, Tables
+from standwise.sources.binding import SOURCE_ORDER
 
 RAW_COLUMNS = "match_id, round, match_date, kickoff, home, away, home_goals, away_goals, venue"
 
 
-class Model:
-    """The model tables of one folder, each built when asked for."""
-
-    def __init__(self, t: Tables):
-        self.matches = t.matches()
-        self.finished = m.finished(self.matches)
-        self._t = t
-
-    @property
-    def standings(self):
-        raw = self._t.standings_raw()
-        return m.clean_standings(raw)
-
-    @property
-    def team_stats(self):
-        return stats.team_stats(self.finished, self.standings)
-
-    @property
-    def recent_form(self):
-        return stats.recent_form(self.finished)
-
-    @property
-    def round_goals(self):
-        return stats.round_goals(self.finished)
-
-    @property
-    def scorers(self):
-        return m.clean_scorers(self._t.scorers_raw())
-
-
 @query(
     "dedup_first",
     MODEL + f"select {RAW_COLUMNS} from firsts",
 )
 def dedup_first(t):
-    first = keep_first(t.matches_raw(), ["match_id"], SOURCE_ORDER)
+    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
     return first.select(*RAW_COLUMNS.split(", "))
 
 
@@ -61,7 +31,7 @@ def dedup_first(t):
     src_quantity desc, src_discount desc, src_tax desc, src_flag desc, src_status desc)=1""",
 )
 def dedup_last(t):
-    last = keep_last(t.matches_raw(), ["match_id"], SOURCE_ORDER)
+    last = keep_last(t.matches_raw, ["match_id"], SOURCE_ORDER)
     return last.select(*RAW_COLUMNS.split(", "))
 
 
@@ -72,18 +42,18 @@ def dedup_last(t):
     from raw left join aliases ha on home=ha.raw_name left join aliases aa on away=aa.raw_name""",
 )
 def alias_names(t):
-    named = m.alias_names(t.matches_raw(), t.aliases(), ["home", "away"])
+    named = m.alias_names(t.matches_raw, t.aliases, ["home", "away"])
     return named.select("match_id", "home", "away")
 
 
 @query("matches", MODEL + "select * from matches")
 def matches(t):
-    return t.matches()
+    return t.matches
 
 
 @query("finished", MODEL + "select * from finished")
 def finished(t):
-    return t.finished()
+    return t.finished
 
 
 @query(
@@ -92,12 +62,12 @@ def finished(t):
     + "select match_id, home, away from matches where home_goals is null or away_goals is null",
 )
 def pending(t):
-    return m.pending(t.matches())
+    return m.pending(t.matches)
 
 
 @query("team_sides", MODEL + "select * from sides")
 def team_sides(t):
-    return m.sides(t.finished())
+    return m.sides(t.finished)
 
 
 @query(
@@ -107,34 +77,34 @@ def team_sides(t):
     "where away is not null",
 )
 def teams(t):
-    return m.teams(t.matches())
+    return m.teams(t.matches)
 
 
 @query("clean_standings", MODEL + "select * from standings")
 def clean_standings(t):
-    return Model(t).standings
+    return t.standings
 
 
 @query("standings_min_name", MODEL + "select team from table_all where length(team)>1")
 def standings_min_name(t):
     from standwise.operators.pages import named_teams
 
-    return named_teams(t.standings_raw()).select("team")
+    return named_teams(t.standings_raw).select("team")
 
 
 @query("clean_scorers", MODEL + "select * from scorers")
 def clean_scorers(t):
-    return m.clean_scorers(t.scorers_raw())
+    return t.scorers
 
 
 @query("team_stats", MODEL + "select * from team_stats")
 def team_stats(t):
-    return Model(t).team_stats.orderBy(F.asc_nulls_last("position"), "team")
+    return t.team_stats.orderBy(F.asc_nulls_last("position"), "team")
 
 
 @query("recent_form", MODEL + "select * from recent_form")
 def recent_form(t):
-    return Model(t).recent_form
+    return t.recent_form
 
 
 @query(
@@ -146,12 +116,12 @@ def recent_form(t):
     where rn<=5 group by team""",
 )
 def recent_form_chronological(t):
-    return stats.recent_form(t.finished(), order="chronological").select("team", "form")
+    return stats.recent_form(t.stored_finished, order="chronological").select("team", "form")
 
 
 @query("round_goals", MODEL + "select * from round_goals")
 def round_goals(t):
-    return Model(t).round_goals
+    return t.round_goals
 
 
 @query(
@@ -163,7 +133,7 @@ def round_goals(t):
     from finished group by venue""",
 )
 def performance_scores(t):
-    games = t.finished().groupBy("venue").agg(
+    games = t.finished.groupBy("venue").agg(
         F.count("*").alias("games"),
         (F.sum("round") / F.count("round")).alias("share"),
         (F.sum("home_goals") - F.sum("away_goals")).alias("diff"),
@@ -182,8 +152,7 @@ def performance_scores(t):
     (select count(home_goals) from matches) as with_score""",
 )
 def audit_counts(t):
-    model = Model(t)
-    return m.audit(model.matches, model.finished)
+    return m.audit(t.stored_matches, t.stored_finished)
 
 
 @query(
@@ -193,7 +162,7 @@ def audit_counts(t):
     goal_diff, {up('points_pct', 1)} as points_pct from standings order by position""",
 )
 def q01(t):
-    return q.standings_table(Model(t).standings)
+    return q.standings_table(t.standings)
 
 
 @query(
@@ -202,7 +171,7 @@ def q01(t):
     + "select player, club, goals from scorers order by goals desc, player, club limit 10",
 )
 def q02(t):
-    return q.top_scorers(Model(t).scorers)
+    return q.top_scorers(t.scorers)
 
 
 @query(
@@ -213,7 +182,7 @@ def q02(t):
     {up('score', 1)} as score from team_stats""",
 )
 def q03(t):
-    return q.attack_defence(Model(t).team_stats)
+    return q.attack_defence(t.team_stats)
 
 
 @query(
@@ -225,7 +194,7 @@ def q03(t):
     home_wins-away_wins as win_diff from team_stats""",
 )
 def q04(t):
-    return q.home_away(Model(t).team_stats)
+    return q.home_away(t.team_stats)
 
 
 @query(
@@ -236,8 +205,7 @@ def q04(t):
     from recent_form f join standings s on f.team=s.team""",
 )
 def q05(t):
-    model = Model(t)
-    return q.form_table(model.recent_form, model.standings)
+    return q.form_table(t.recent_form, t.standings)
 
 
 @query(
@@ -247,7 +215,7 @@ def q05(t):
     order by total_goals desc, round desc, match_id limit 10""",
 )
 def q06(t):
-    return q.top_matches(t.finished())
+    return q.top_matches(t.finished)
 
 
 @query(
@@ -256,7 +224,7 @@ def q06(t):
     + f"select round, games, total_goals, {up('avg_goals', 2)} as avg_goals from round_goals",
 )
 def q07(t):
-    return q.round_trend(Model(t).round_goals)
+    return q.round_trend(t.round_goals)
 
 
 @query(
@@ -268,7 +236,7 @@ def q07(t):
     where result in ('W','T') and rn<=5 group by team having count(*)>=3""",
 )
 def q08(t):
-    return q.unbeaten(t.finished())
+    return q.unbeaten(t.finished)
 
 
 @query(
@@ -278,7 +246,7 @@ def q08(t):
     where (home='NATION_3' and away='NATION_8') or (home='NATION_8' and away='NATION_3')""",
 )
 def q09(t):
-    return q.head_to_head(t.finished(), "NATION_3", "NATION_8")
+    return q.head_to_head(t.finished, "NATION_3", "NATION_8")
 
 
 @query(
@@ -289,28 +257,27 @@ def q09(t):
     from team_stats ts join standings s on ts.team=s.team join recent_form f on ts.team=f.team""",
 )
 def q10(t):
-    model = Model(t)
-    return q.performance(model.team_stats, model.standings, model.recent_form)
+    return q.performance(t.team_stats, t.standings, t.recent_form)
 
 
 @query("adhoc_teams", MODEL + "select team from standings order by position")
 def adhoc_teams(t):
-    return q.team_list(Model(t).standings)
+    return q.team_list(t.standings)
 
 
 @query("adhoc_limit", MODEL + "select team from recent_form order by team limit 5")
 def adhoc_limit(t):
-    return q.first_teams(Model(t).recent_form)
+    return q.first_teams(t.recent_form)
 
 
 @query("adhoc_limit_stats", MODEL + "select team from team_stats order by team limit 5")
 def adhoc_limit_stats(t):
-    return q.first_teams(Model(t).team_stats)
+    return q.first_teams(t.team_stats)
 
 
 @query("adhoc_distinct_home", MODEL + "select distinct home from matches")
 def adhoc_distinct_home(t):
-    return q.home_teams(t.matches())
+    return q.home_teams(t.matches)
 
 
 @query(
@@ -318,4 +285,4 @@ def adhoc_distinct_home(t):
     MODEL + "select home, home_goals, away_goals, away, round from finished",
 )
 def adhoc_matches(t):
-    return q.scores_by_round(t.finished())
+    return q.scores_by_round(t.finished)

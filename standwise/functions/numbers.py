@@ -3,8 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-WHOLE_TEXT = r"^[+-]?[0-9]+$"
+NUMBER_TEXT = r"(?U)^\s*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)\s*$"
+WHOLE_TEXT = r"(?U)^\s*([+-]?[0-9]+)\s*$"
 
 
 def strip(text: Column) -> Column:
@@ -14,15 +14,19 @@ def strip(text: Column) -> Column:
 
 def number(text: Column) -> Column:
     """Double value of a text; null when it is not a finite decimal number."""
-    clean = strip(text.cast("string"))
-    value = F.when(clean.rlike(NUMBER_TEXT), clean.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    value = F.regexp_extract(text.cast("string"), NUMBER_TEXT, 1).try_cast("double")
+    infinity = F.lit(float("inf"))
+    return F.nullif(F.nullif(value, infinity), -infinity)
 
 
 def whole_from_text(text: Column) -> Column:
     """Integer value of a text; null for anything but an optional sign and digits."""
-    clean = strip(text)
-    return F.when(clean.rlike(WHOLE_TEXT), clean.try_cast("int"))
+    return F.regexp_extract(text, WHOLE_TEXT, 1).try_cast("int")
+
+
+def rounded_down(text: Column) -> Column:
+    """Integer part of a numeric text such as '3' or '3.0'; null when it is none."""
+    return F.regexp_extract(text, NUMBER_TEXT, 1).try_cast("double").try_cast("int")
 
 
 def whole_from_number(value: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from standwise.functions.numbers import (
     day_first_date,
     number,
+    rounded_down,
     whole_from_number,
     whole_from_text,
 )
@@ -40,11 +41,6 @@ def coerce(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[typed(c) for c in df.columns])
 
 
-def rounded_down(text: Column) -> Column:
-    """Integer of a numeric text, such as '3' or '3.0'."""
-    return whole_from_number(number(text))
-
-
 def alias_names(df: DataFrame, aliases: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace the names in ``columns`` by their alias; names without one stay."""
     names = aliases.groupBy("raw_name").agg(F.max("name").alias("name"))

@@ -4,11 +4,19 @@
 tables, so the work of each query grows with them.
 """
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from standwise.operators.matches import clean_matches, finished
-from standwise.operators.stats import team_totals
+from standwise.operators import stats
+from standwise.operators.matches import (
+    clean_matches,
+    clean_scorers,
+    clean_standings,
+    finished,
+)
+from standwise.sources.staging import stage
 
 # Order in which copies of a match appear in the source.
 SOURCE_ORDER = [
@@ -24,15 +32,36 @@ SOURCE_ORDER = [
 ]
 
 
+# Columns of the given tables.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string, html string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class Tables:
-    """Readers of one folder of the given tables."""
+    """Readers of one folder of the given tables and the model tables built on them.
+
+    The properties hold plans, not rows: nothing is read before an action.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(GIVEN[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def nations(self, prefix: str) -> DataFrame:
         """Nation key, name and region under prefixed names."""
@@ -44,6 +73,7 @@ class Tables:
             F.col("r_name").alias(f"{prefix}_region"),
         )
 
+    @cached_property
     def game_lines(self) -> DataFrame:
         """Order lines with the nation of customer (home) and supplier (away).
 
@@ -63,6 +93,7 @@ class Tables:
             .filter(F.col("home_key") != F.col("away_key"))
         )
 
+    @cached_property
     def aliases(self) -> DataFrame:
         return (
             self.nations("n")
@@ -73,11 +104,12 @@ class Tables:
             )
         )
 
+    @cached_property
     def matches_raw(self) -> DataFrame:
         """All-text matches, with repeated ids, in the form a scraper hands over."""
         played = F.col("l_linenumber") != 7
         home_goals, away_goals = line_goals()
-        return self.game_lines().select(
+        return self.game_lines.select(
             match_id().alias("match_id"),
             (F.col("l_orderkey") % 38 + 1).cast("string").alias("round"),
             F.date_format("o_orderdate", "dd/MM/yyyy").alias("match_date"),
@@ -104,24 +136,36 @@ class Tables:
             F.col("l_linenumber").alias("line"),
         )
 
+    @cached_property
     def matches(self) -> DataFrame:
-        return clean_matches(self.matches_raw(), self.aliases(), SOURCE_ORDER)
+        return clean_matches(self.matches_raw, self.aliases, SOURCE_ORDER)
 
+    @cached_property
     def finished(self) -> DataFrame:
-        return finished(self.matches())
+        return finished(self.matches)
+
+    @cached_property
+    def stored_matches(self) -> DataFrame:
+        """The matches, written once for the queries that read them several times."""
+        return stage(self.matches)
+
+    @cached_property
+    def stored_finished(self) -> DataFrame:
+        return finished(self.stored_matches)
 
     def cards(self) -> DataFrame:
         """Yellow and red cards per home team, from the line numbers."""
-        games = self.matches().withColumn(
+        games = self.stored_matches.withColumn(
             "line", F.regexp_extract("match_id", r"(\d+)$", 1).cast("int")
         )
         return games.groupBy(F.col("home").alias("team")).agg(
             F.sum(F.col("line") % 3).alias("yellow"), F.sum(F.col("line") % 2).alias("red")
         )
 
+    @cached_property
     def standings_raw(self) -> DataFrame:
         """All-text standings of the finished matches; two teams lack a position."""
-        totals = team_totals(self.finished()).select(
+        totals = stats.team_totals(self.stored_finished).select(
             "team",
             (F.col("total_wins") * 3 + F.col("total_ties")).alias("points"),
             F.col("total_games").alias("games"),
@@ -151,6 +195,27 @@ class Tables:
             )
         )
 
+    @cached_property
+    def standings(self) -> DataFrame:
+        return clean_standings(self.standings_raw)
+
+    @cached_property
+    def team_stats(self) -> DataFrame:
+        return stats.team_stats(self.stored_finished, self.standings)
+
+    @cached_property
+    def recent_form(self) -> DataFrame:
+        return stats.recent_form(self.stored_finished)
+
+    @cached_property
+    def round_goals(self) -> DataFrame:
+        return stats.round_goals(self.finished)
+
+    @cached_property
+    def scorers(self) -> DataFrame:
+        return clean_scorers(self.scorers_raw)
+
+    @cached_property
     def scorers_raw(self) -> DataFrame:
         """One row per supplier with the goals of its lines."""
         home_goals, _ = line_goals()

@@ -1,7 +1,237 @@
-from pyspark.sql import DataFrame
+"""Rows out of web pages held as a table, one page per row.
+
+All work on a page stays inside its row, as array expressions, until the rows of its
+table are exploded; no page is shuffled.
+"""
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from standwise.functions.numbers import strip
+from standwise.functions.text import (
+    blank_to_null,
+    first_match,
+    leading_number,
+    scorer,
+    strip_digits,
+    tag_text,
+    unescape,
+)
+from standwise.operators.keyed import keep_first
+
+# Markup of tables, rows, cells and the parts looked for in a cell.
+TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
+ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
+CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
+HEADER = r"(?is)<th\b[^>]*>"
+LINK = r"(?is)<a\b[^>]*>(.*?)</a>"
+STRONG = r"(?is)<strong\b[^>]*>(.*?)</strong>"
+IMAGE_TITLE = r'(?is)<img\b[^>]*\btitle="([^"]*)"'
+HREF = r'(?is)<a\b[^>]*\bhref="([^"]*)"'
+
+# What the cells of a standings row after the team cell hold.
+STANDINGS_CELLS = [
+    "points",
+    "games",
+    "wins",
+    "ties",
+    "losses",
+    "goals_for",
+    "goals_against",
+    "goal_diff",
+    "yellow",
+    "red",
+    "points_pct",
+]
+
+
+def pieces(text: Column, pattern: str, group: int = 1) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+
+
+def widest_container(
+    pages: DataFrame, container: str = TABLE, header: str = HEADER
+) -> DataFrame:
+    """Per page the container with most headers, the first among equals."""
+    scored = F.transform(
+        pieces(F.col("html"), container),
+        lambda body, at: F.struct(
+            F.size(pieces(body, header, 0)).alias("width"),
+            (-at).alias("minus_at"),
+            body.alias("body"),
+        ),
+    )
+    return (
+        pages.select("page_id", F.array_max(scored).alias("best"))
+        .filter(F.col("best").isNotNull())
+        .select(
+            "page_id",
+            (-F.col("best.minus_at")).alias("container_at"),
+            F.col("best.width").alias("width"),
+            F.col("best.body").alias("body"),
+        )
+    )
+
+
+def container_rows(
+    bodies: DataFrame, keep: Sequence[str], row: str = ROW, cell: str = CELL
+) -> DataFrame:
+    """The rows of each container, in order, as arrays of cell markup."""
+    rows = bodies.select(*keep, F.posexplode(pieces(F.col("body"), row)).alias("row_at", "row"))
+    return rows.select(*keep, "row_at", pieces(F.col("row"), cell).alias("cells"))
+
+
+def rows_min_cells(rows: DataFrame, n: int) -> DataFrame:
+    return rows.filter(F.size("cells") >= n)
+
+
+def rows_exact_cells(rows: DataFrame, n: int) -> DataFrame:
+    return rows.filter(F.size("cells") == n)
+
+
+def has(html: Column, pattern: str) -> Column:
+    return html.rlike(pattern)
+
+
+def link_text(html: Column) -> Column:
+    """Text of the first link in a cell."""
+    return tag_text(F.regexp_extract(html, LINK, 1))
+
+
+def cell_text(html: Column) -> Column:
+    """Text of a cell; the text of a link in it goes first."""
+    return F.when(has(html, LINK), link_text(html)).otherwise(tag_text(html))
+
+
+def team_name(html: Column) -> Column:
+    plain = strip_digits(tag_text(html, " "))
+    return F.when(has(html, LINK), link_text(html)).otherwise(plain)
+
+
+def team_position(html: Column) -> Column:
+    """Digits of the emphasised part of a cell, else those its text starts with."""
+    emphasised = first_match(F.regexp_extract(html, STRONG, 1), r"(?U)(\d+)")
+    bare = unescape(F.regexp_replace(html, r"<[^>]*>", ""))
+    return F.when(has(html, STRONG), F.coalesce(emphasised, F.lit(""))).otherwise(
+        strip(leading_number(bare))
+    )
+
 
 def named_teams(rows: DataFrame) -> DataFrame:
     """Rows whose team name has more than one character."""
     return rows.filter(F.length("team") > 1)
+
+
+def standings_from_pages(pages: DataFrame, min_cells: int = 12) -> DataFrame:
+    """All-text standings rows from the widest table of each page."""
+    rows = rows_min_cells(container_rows(widest_container(pages), ["page_id"]), min_cells)
+    first = F.get("cells", F.lit(0))
+    values = [
+        tag_text(F.get("cells", F.lit(at))).alias(name)
+        for at, name in enumerate(STANDINGS_CELLS, start=1)
+    ]
+    return named_teams(
+        rows.select(
+            "page_id",
+            "row_at",
+            team_position(first).alias("position"),
+            team_name(first).alias("team"),
+            *values,
+        )
+    )
+
+
+def numeric_rows(rows: DataFrame) -> DataFrame:
+    """Rows whose position and goals are nothing but digits."""
+    digits = r"(?U)^\d+$"
+    return rows.filter(F.col("position").rlike(digits) & F.col("goals").rlike(digits))
+
+
+def split_scorers(rows: DataFrame) -> DataFrame:
+    """Typed scorers from (position, goals, raw_name, title, club_cell) texts."""
+    split = scorer(F.col("raw_name"), F.col("title"), F.col("club_cell"))
+    rest = [
+        c
+        for c in rows.columns
+        if c not in ("position", "goals", "raw_name", "title", "club_cell")
+    ]
+    return (
+        numeric_rows(rows)
+        .withColumn("split", split)
+        .select(
+            *rest,
+            F.col("position").try_cast("int").alias("position"),
+            F.col("split.player").alias("player"),
+            F.col("goals").try_cast("int").alias("goals"),
+            F.col("split.club").alias("club"),
+        )
+    )
+
+
+def dedup_scorers(scorers: DataFrame, order: Sequence[str]) -> DataFrame:
+    """First row per position and player, by ``order``."""
+    first = keep_first(scorers, ["position", "player"], order)
+    return first.select("position", "player", "goals", "club")
+
+
+def scorers_from_pages(pages: DataFrame, cells: int = 5) -> DataFrame:
+    """Scorers from every table row of exactly ``cells`` cells, without repeats."""
+    tables = pages.select(
+        "page_id", F.posexplode(pieces(F.col("html"), TABLE)).alias("table_at", "body")
+    )
+    rows = rows_exact_cells(container_rows(tables, ["page_id", "table_at"]), cells)
+
+    def cell(at: int) -> Column:
+        return F.get("cells", F.lit(at))
+
+    texts = rows.select(
+        "page_id",
+        "table_at",
+        "row_at",
+        tag_text(cell(0)).alias("position"),
+        tag_text(cell(2)).alias("goals"),
+        cell_text(cell(1)).alias("raw_name"),
+        unescape(first_match(cell(3), IMAGE_TITLE)).alias("title"),
+        tag_text(cell(3)).alias("club_cell"),
+    )
+    return dedup_scorers(split_scorers(texts), ["page_id", "table_at", "row_at"])
+
+
+def preferred_link(
+    pages: DataFrame, suffix: str = ".pdf", prefer: str = "tabela", base: str = ""
+) -> DataFrame:
+    """Per page the first link that ends in ``suffix``, one holding ``prefer`` first."""
+    links = F.filter(
+        pieces(F.col("html"), HREF), lambda href: href.endswith(suffix)
+    )
+    preferred = F.filter(links, lambda href: F.contains(F.lower(href), F.lit(prefer)))
+    chosen = F.coalesce(F.get(preferred, F.lit(0)), F.get(links, F.lit(0)))
+    absolute = F.when(F.col("href").startswith("/"), F.concat(F.lit(base), "href"))
+    return (
+        pages.select("page_id", chosen.alias("href"))
+        .filter(F.col("href").isNotNull())
+        .select("page_id", absolute.otherwise(F.col("href")).alias("href"))
+    )
+
+
+def page_text(pages: DataFrame) -> DataFrame:
+    """Visible text of each page."""
+    bare = F.regexp_replace("html", r"(?is)<(script|style)\b[^>]*>.*?</\1>", " ")
+    return pages.select("page_id", unescape(F.regexp_replace(bare, r"<[^>]*>", " ")).alias("text"))
+
+
+def scores_from_pages(
+    pages: DataFrame, block: str, id_pattern: str
+) -> DataFrame:
+    """Blocks of markup with the id found by ``id_pattern`` and their visible text."""
+    blocks = pages.select(
+        "page_id", F.posexplode(pieces(F.col("html"), block, 0)).alias("seq", "block")
+    )
+    return blocks.select(
+        "page_id",
+        "seq",
+        first_match(F.col("block"), id_pattern).alias("id_text"),
+        blank_to_null(tag_text(F.col("block"), " ")).alias("text"),
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from standwise.operators import stats
+from standwise.operators.keyed import keep_first
 from standwise.operators.matches import (
     clean_matches,
     clean_scorers,
@@ -244,3 +245,90 @@ def match_id() -> Column:
 def line_goals() -> tuple[Column, Column]:
     """Home and away goals of an order line."""
     return F.col("l_quantity").cast("bigint") % 5, F.col("l_partkey") % 4
+
+
+def document_rows(t: Tables) -> DataFrame:
+    """Matches as rows of seven long document tables, with all the flaws such rows have."""
+    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
+    key, line = F.col("order_key"), F.col("line")
+    seq = key * 8 + line
+    played = F.concat_ws(" x ", F.concat_ws(" ", "home", "home_goals"), F.concat_ws(" ", "away_goals", "away"))
+    unplayed = F.concat_ws(" x ", "home", "away")
+    game = (
+        F.when(key % 11 == 0, F.concat_ws(" vs ", "home", "away"))
+        .when(key % 13 == 0, "")
+        .when(key % 17 == 0, "None")
+        .when(F.col("home_goals").isNull(), unplayed)
+        .otherwise(played)
+    )
+    cells = [
+        F.when((line == 3) & (key % 5 == 0), "Ref").otherwise(seq.cast("string")),
+        F.when(line == 1, F.concat(F.lit("Round "), "round")).otherwise(""),
+        F.concat("match_date", F.lit("\nSat")),
+        F.when(line == 2, "None").otherwise(F.concat(F.lit(" "), "kickoff")),
+        game,
+        F.col("venue"),
+        F.col("city"),
+        F.col("state"),
+    ]
+    short = F.array(*cells[:5])
+    return first.select(
+        (key % 7).alias("doc_id"),
+        seq.alias("seq"),
+        F.when(line == 6, short).otherwise(F.array(*cells)).alias("cells"),
+    )
+
+
+def number_ids(matches: DataFrame) -> DataFrame:
+    """Matches whose id is the digits of order and line."""
+    digits = F.regexp_extract("match_id", r"(\d+)-", 1).cast("bigint") * 8 + F.regexp_extract(
+        "match_id", r"-(\d+)", 1
+    ).cast("bigint")
+    return matches.withColumn("match_id", digits.cast("string"))
+
+
+def score_blocks(t: Tables) -> DataFrame:
+    """Late scores of every third order: zero-padded ids, two blocks each."""
+    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
+    key = F.col("order_key")
+    blocks = F.explode(
+        F.array(
+            F.struct(F.lit(1).alias("seq"), F.concat("line", F.lit(" x 0")).alias("text")),
+            F.struct(
+                F.lit(2).alias("seq"),
+                F.concat(
+                    F.lit("Final "), (key % 4).cast("string"), F.lit(" X "), "line", F.lit(" |")
+                ).alias("text"),
+            ),
+            F.struct(F.lit(3).alias("seq"), F.lit("postponed").alias("text")),
+        )
+    )
+    ids = F.lpad((key * 8 + F.col("line")).cast("string"), 14, "0")
+    return (
+        first.filter(key % 3 == 0)
+        .select(ids.alias("id_text"), blocks.alias("block"))
+        .select("id_text", "block.*")
+    )
+
+
+def score_links(t: Tables) -> DataFrame:
+    """The same ids as links, with the score in the text around them."""
+    key = F.col("order_key")
+    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
+    ids = F.lpad((key * 8 + F.col("line")).cast("string"), 14, "0")
+    return first.filter(key % 3 == 1).select(
+        F.concat(F.lit("/games/league/"), ids, F.lit("?tab=1")).alias("href"),
+        F.col("line").alias("seq"),
+        F.concat((key % 6).cast("string"), F.lit("x"), "line").alias("text"),
+    )
+
+
+def score_texts(t: Tables) -> DataFrame:
+    """Free text per match: its score, then the reverse fixture with the score turned."""
+    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
+    here = F.concat_ws(" ", "home", "home_goals", F.lit("x"), "away_goals", "away")
+    there = F.concat_ws(" ", F.lower("away"), "away_goals", F.lit("X"), "home_goals", "home")
+    return first.filter(F.col("home_goals").isNotNull()).select(
+        (F.col("order_key") * 8 + F.col("line")).alias("page_id"),
+        F.concat(here, F.lit(". Return: "), there).alias("text"),
+    )

@@ -5,12 +5,16 @@ from pyspark.sql import functions as F
 
 from standwise.functions.text import first_word, score_in_text, strip_zeros
 from standwise.operators.keyed import keep_last
+from standwise.sources.staging import stage
 
 GOALS = ["home_goals", "away_goals"]
 
 # Fixed value: how many characters may stand between a team and a score.
 REACH = 40
 
+# Parts a pair of names is spread over when it is joined to the scores near it.
+SALTS = 16
+
 # A whole number, a cross, and the start of another number.
 SCORE_START = r"(?U)(?<!\d)(\d+)\s*[xX]\s*(?=\d)"
 
@@ -79,30 +83,29 @@ def _lengths(words: DataFrame, column: str) -> Column:
     return words.agg(F.collect_set(F.length(column))).scalar()
 
 
-def _words_before(left: Column, lengths: Column) -> Column:
-    """Every text of a known length that ends at most ``REACH`` non-digits before the end."""
-    gap = F.least(F.length(F.regexp_extract(left, r"[^0-9]*$", 0)), F.lit(REACH))
-    return F.flatten(
-        F.transform(
-            F.filter(lengths, lambda n: n <= F.length(left)),
-            lambda n: F.transform(
-                F.sequence(F.lit(0), F.least(gap, F.length(left) - n)),
-                lambda g: F.substring(left, F.length(left) - g - n + 1, n),
-            ),
-        )
+def _words_before(hits: DataFrame) -> DataFrame:
+    """One row per text of a known length ending at most ``REACH`` non-digits before a score."""
+    left, n, skip = F.col("left"), F.col("n"), F.col("skip")
+    gap = F.length(F.regexp_extract(F.right(left, F.lit(REACH)), r"[^0-9]*$", 0))
+    skips = F.sequence(F.lit(0), F.least(gap, F.length(left) - n))
+    return (
+        hits.withColumn("n", F.explode("home_lengths"))
+        .filter(n <= F.length(left))
+        .withColumn("skip", F.explode(skips))
+        .withColumn("home_word", F.substring(left, F.length(left) - skip - n + 1, n))
+        .drop("left", "home_lengths", "n", "skip")
     )
 
 
-def _words_after(right: Column, lengths: Column) -> Column:
-    """Every text of a known length that starts after at most ``REACH`` non-digits."""
-    gap = F.least(F.length(F.regexp_extract(right, r"^[^0-9]*", 0)), F.lit(REACH))
-    return F.flatten(
-        F.transform(
-            lengths,
-            lambda n: F.transform(
-                F.sequence(F.lit(0), gap), lambda g: F.substring(right, g + 1, n)
-            ),
-        )
+def _words_after(hits: DataFrame) -> DataFrame:
+    """One row per text of a known length starting at most ``REACH`` non-digits after a score."""
+    right, n, skip = F.col("right"), F.col("n"), F.col("skip")
+    gap = F.length(F.regexp_extract(right, rf"^[^0-9]{{0,{REACH}}}", 0))
+    return (
+        hits.withColumn("n", F.explode("away_lengths"))
+        .withColumn("skip", F.explode(F.sequence(F.lit(0), gap)))
+        .withColumn("away_word", F.substring(right, skip + 1, n))
+        .drop("right", "away_lengths", "n", "skip")
     )
 
 
@@ -114,23 +117,32 @@ def pair_scores(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     score are joined to the wanted words by equality, home words first.
     """
     homes = pairs.select("home_word").distinct()
-    hits = score_hits(texts)
-    near_home = (
-        hits.withColumn(
-            "home_word",
-            F.explode(F.array_distinct(_words_before(F.col("left"), _lengths(pairs, "home_word")))),
-        )
-        .drop("left")
-        .join(homes, "home_word")
+    hits = score_hits(texts).withColumns(
+        {
+            "home_lengths": _lengths(pairs, "home_word"),
+            "away_lengths": _lengths(pairs, "away_word"),
+        }
+    )
+    # Only as much of the surroundings as a word within reach can take up goes on.
+    near = hits.withColumns(
+        {
+            "left": F.right("left", F.array_max("home_lengths") + REACH),
+            "right": F.left("right", F.array_max("away_lengths") + REACH),
+            "salt": F.pmod(F.hash("page_id", "at"), F.lit(SALTS)),
+        }
+    )
+    near_home = _words_before(near).join(homes, "home_word")
+    # A pair may be named near a large share of all scores, so each pair is spread.
+    spread = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    near_both = _words_after(near_home).join(spread, ["home_word", "away_word", "salt"])
+
+    place = F.struct("page_id", "at")
+    per_salt = near_both.groupBy("home_word", "away_word", "salt").agg(
+        F.min_by(F.struct(*GOALS), place).alias("score"), F.min(place).alias("place")
     )
-    near_both = near_home.withColumn(
-        "away_word",
-        F.explode(F.array_distinct(_words_after(F.col("right"), _lengths(pairs, "away_word")))),
-    ).join(pairs, ["home_word", "away_word"])
-    first = F.min_by(F.struct(*GOALS), F.struct("page_id", "at"))
     return (
-        near_both.groupBy("home_word", "away_word")
-        .agg(first.alias("score"))
+        per_salt.groupBy("home_word", "away_word")
+        .agg(F.min_by("score", "place").alias("score"))
         .select(
             "home_word",
             "away_word",
@@ -151,7 +163,8 @@ def overlay_text(matches: DataFrame, texts: DataFrame) -> DataFrame:
     open_pairs = (
         named.filter(F.col("home_goals").isNull()).select("home_word", "away_word").distinct()
     )
-    found = pair_scores(texts, open_pairs.dropna())
+    # The pairs are few and used several times, so they are worked out once.
+    found = pair_scores(texts, stage(open_pairs.dropna()))
     joined = named.join(found, ["home_word", "away_word"], "left")
     unknown = F.col("home_goals").isNull()
     only_open = {f"new_{c}": F.when(unknown, F.col(f"new_{c}")) for c in GOALS}

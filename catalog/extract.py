@@ -477,17 +477,17 @@ def overlay_audit(t):
 
 TEXTS = (
     MODEL
-    + r""", texts as (
+    + r""", texts as materialized (select *, lower(text) as low from (
       select order_key*8+line as page_id, home||' '||home_goals||' x '||away_goals||' '||away||
         '. Return: '||lower(away)||' '||away_goals||' X '||home_goals||' '||home as text
-      from firsts where home_goals is not null),
+      from firsts where home_goals is not null)),
     fixtures as (
       select (order_key*8+line)::varchar as match_id, home, away, home_goals, away_goals,
         lower(split_part(home,' ',1)) as hw, lower(split_part(away,' ',1)) as aw from firsts),
     pairs as (select distinct hw, aw, '(?i)'||hw||'[^0-9]{0,40}(\d+)\s*[xX]\s*(\d+)[^0-9]{0,40}'||aw
       as pattern from fixtures where home_goals is null),
-    near as materialized (select * from texts join pairs on contains(lower(text), hw)
-      and contains(lower(text), aw)),
+    near as materialized (select * from texts join pairs on contains(low, hw)
+      and contains(low, aw)),
     hits as (select hw, aw, arg_min(text, page_id) as text, any_value(pattern) as pattern
       from near where regexp_matches(text, pattern) group by hw, aw),
     found as (select hw, aw, regexp_extract(text, pattern, 1) as h,

@@ -100,9 +100,9 @@ def season_standings(t):
     return season.season_standings(season.team_base(t.standings), odds(t), FEW)
 
 
-@query("season_probabilities", probabilities(1000))
+@query("season_probabilities", probabilities(10_000))
 def season_probabilities(t):
-    return season.season_probabilities(t.standings, t.stored_matches, 1000)
+    return season.season_probabilities(t.standings, t.stored_matches, 10_000)
 
 
 @query(

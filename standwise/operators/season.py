@@ -54,10 +54,10 @@ def hex_bound(chance: Column) -> Column:
     return F.lower(F.lpad(F.hex(bound), HEX, "0"))
 
 
-def season_draws(
-    odds: DataFrame, n: int = SCENARIOS, seed: int = SEED, partitions: int | None = None
+def drawn_blocks(
+    odds: DataFrame, n: int, seed: int, partitions: int | None = None
 ) -> DataFrame:
-    """Outcome ('H', 'T' or 'A') of every fixture in every scenario.
+    """Outcomes of every fixture in blocks of four scenarios, as columns ``lane0``..``lane3``.
 
     A draw is a slice of the hash of seed, scenario block and match id, so it is the same
     however the work is split and however often a task is run again.  The fixtures are
@@ -78,34 +78,42 @@ def season_draws(
     hashed = bounds.withColumn("block", blocks).withColumn(
         "hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("block"), F.col("match_id")))
     )
+
+    def outcome(lane: int) -> Column:
+        draw = F.substring("hash", 1 + HEX * lane, HEX)
+        return (
+            F.when(draw < F.col("home_below"), "H")
+            .when(draw < F.col("tie_below"), "T")
+            .otherwise("A")
+        )
+
+    lanes = [outcome(lane).alias(f"lane{lane}") for lane in range(LANES)]
+    return hashed.select("block", "match_id", "home", "away", *lanes)
+
+
+def by_scenario(blocks: DataFrame, n: int, columns: list[str], fields: list[str]) -> DataFrame:
+    """One row per scenario out of rows per block; ``fields`` exist once per lane."""
     lanes = F.explode(
         F.array(
             *[
                 F.struct(
                     (F.col("block") * LANES + lane).alias("scenario"),
-                    F.substring("hash", 1 + HEX * lane, HEX).alias("draw"),
+                    *[F.col(f"{field}{lane}").alias(field) for field in fields],
                 )
                 for lane in range(LANES)
             ]
         )
     )
-    draw = F.col("lane.draw")
-    outcome = (
-        F.when(draw < F.col("home_below"), "H")
-        .when(draw < F.col("tie_below"), "T")
-        .otherwise("A")
-    )
-    return (
-        hashed.withColumn("lane", lanes)
-        .filter(F.col("lane.scenario") < n)
-        .select(
-            F.col("lane.scenario").alias("scenario"),
-            "match_id",
-            "home",
-            "away",
-            outcome.alias("outcome"),
-        )
+    split = blocks.select(*columns, lanes.alias("lane"))
+    return split.select(*columns, "lane.*").filter(F.col("scenario") < n)
+
+
+def season_draws(odds: DataFrame, n: int = SCENARIOS, seed: int = SEED) -> DataFrame:
+    """Outcome ('H', 'T' or 'A') of every fixture in every scenario."""
+    drawn = by_scenario(
+        drawn_blocks(odds, n, seed), n, ["match_id", "home", "away"], ["lane"]
     )
+    return drawn.select("scenario", "match_id", "home", "away", F.col("lane").alias("outcome"))
 
 
 def season_standings(
@@ -113,42 +121,50 @@ def season_standings(
 ) -> DataFrame:
     """Points, goal difference and rank of every team in every scenario.
 
-    Each task adds up its share of the draws per scenario and team before the shuffle.
+    Each task adds up its share of the draws per block and team before the shuffle.
     """
-    draws = season_draws(odds, n, seed)
-    won, tied, lost = (F.col("outcome") == code for code in ("H", "T", "A"))
-
-    def side(team: str, wins: Column, loses: Column) -> Column:
-        return F.struct(
-            F.col(team).alias("team"),
-            F.when(wins, 3).when(tied, 1).otherwise(0).alias("points"),
-            F.when(wins, 1).when(loses, -1).otherwise(0).alias("goal_diff"),
-        )
 
-    gains = draws.select(
-        "scenario",
-        F.explode(F.array(side("home", won, lost), side("away", lost, won))).alias("gain"),
-    ).select("scenario", "gain.*", F.lit(None).cast("int").alias("now"))
+    def gains(team: str, win: str, loss: str) -> Column:
+        fields = []
+        for lane in range(LANES):
+            outcome = F.col(f"lane{lane}")
+            earned = F.when(outcome == win, 3).when(outcome == "T", 1).otherwise(0)
+            margin = F.when(outcome == win, 1).when(outcome == loss, -1).otherwise(0)
+            fields += [earned.alias(f"points{lane}"), margin.alias(f"goal_diff{lane}")]
+        return F.struct(F.col(team).alias("team"), F.lit(None).cast("int").alias("now"), *fields)
+
+    played = (
+        drawn_blocks(odds, n, seed)
+        .select("block", F.explode(F.array(gains("home", "H", "A"), gains("away", "A", "H"))).alias("gain"))
+        .select("block", "gain.*")
+    )
     start = base.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("scenario"),
+        F.explode(F.sequence(F.lit(0), F.lit((n - 1) // LANES))).alias("block"),
         "team",
-        "points",
-        "goal_diff",
         F.col("position").alias("now"),
+        *[
+            F.col(field).alias(f"{field}{lane}")
+            for lane in range(LANES)
+            for field in ("points", "goal_diff")
+        ],
     )
     totals = (
-        start.unionByName(gains)
-        .groupBy("scenario", "team")
+        start.unionByName(played)
+        .groupBy("block", "team")
         .agg(
-            F.sum("points").alias("points"),
-            F.sum("goal_diff").alias("goal_diff"),
             F.max("now").alias("now"),
+            *[
+                F.sum(f"{field}{lane}").alias(f"{field}{lane}")
+                for lane in range(LANES)
+                for field in ("points", "goal_diff")
+            ],
         )
     )
     final = Window.partitionBy("scenario").orderBy(
         F.desc("points"), F.desc("goal_diff"), F.asc("now"), F.asc("team")
     )
-    return totals.select(
+    split = by_scenario(totals, n, ["team", "now"], ["points", "goal_diff"])
+    return split.select(
         "scenario", "team", "points", "goal_diff", F.row_number().over(final).alias("rank")
     )
 

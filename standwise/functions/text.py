@@ -16,7 +16,7 @@ SCORE = r"(?U)(\d+)\s*[xX]\s*(\d+)"
 
 # The named characters a page may carry and what they stand for.
 ENTITIES = [
-    ("&nbsp;", " "),
+    ("&nbsp;", "\u00a0"),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),

@@ -54,27 +54,34 @@ def score_hits(texts: DataFrame) -> DataFrame:
     """Each score in (page_id, text) rows with the text to its left and right.
 
     The text is cut at the scores, so the pieces on both sides of a score are its
-    surroundings; a piece after a score starts with the away goals.
+    surroundings; a piece after a score starts with the away goals.  Each side reaches
+    over one more score, for names that run into it.
     """
+    starts = F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(0))
+    homes = F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(1))
     cut = texts.select(
         "page_id",
         F.split("text", SCORE_START).alias("parts"),
-        F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(1)).alias("homes"),
+        starts.alias("starts"),
+        homes.alias("homes"),
     )
-    hits = cut.select("page_id", "parts", "homes", F.posexplode("homes").alias("at", "home_goals"))
-    after = F.get("parts", F.col("at") + 1)
-    away = r"(?U)^\d+"
-    # What follows may run into the number that opens the next score.
-    right = F.concat(
-        F.regexp_replace(after, away, ""), F.coalesce(F.get("homes", F.col("at") + 1), F.lit(""))
+    hits = cut.select("*", F.posexplode("homes").alias("at", "home_goals"))
+
+    def piece(name: str, step: int) -> Column:
+        return F.coalesce(F.get(name, F.col("at") + step), F.lit(""))
+
+    before = F.concat(piece("parts", -1), piece("starts", -1), piece("parts", 0))
+    after = F.concat(
+        piece("parts", 1), piece("starts", 1), piece("parts", 2), piece("homes", 2)
     )
+    away = r"(?U)^\d+"
     return hits.select(
         "page_id",
         "at",
         "home_goals",
         F.regexp_extract(after, away, 0).alias("away_goals"),
-        F.lower(F.get("parts", F.col("at"))).alias("left"),
-        F.lower(right).alias("right"),
+        F.lower(before).alias("left"),
+        F.lower(F.regexp_replace(after, away, "")).alias("right"),
     )
 
 
@@ -114,7 +121,8 @@ def pair_scores(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     A score counts for a pair when the home word ends shortly before it and the away word
     starts shortly after it, with no digit in between.  The candidate words around each
-    score are joined to the wanted words by equality, home words first.
+    score are joined to the wanted words by equality, home words first.  The numbers of
+    a score are taken whole: a word never ends or starts inside one.
     """
     homes = pairs.select("home_word").distinct()
     hits = score_hits(texts).withColumns(

@@ -22,7 +22,7 @@ def js(expr: str) -> str:
 
 
 def probable(t):
-    return season.season_probabilities(t.standings, t.stored_matches, N)
+    return season.season_probabilities(t.stored_standings, t.stored_matches, N)
 
 
 PROB = f"with prob as ({probabilities(N)})"
@@ -42,7 +42,7 @@ def kpi_sql(source: str) -> str:
 
 @query("report_kpis", kpi_sql("finished"))
 def report_kpis(t):
-    return report.kpis(t.stored_finished, t.standings)
+    return report.kpis(t.stored_finished, t.stored_standings)
 
 
 @query(
@@ -50,7 +50,7 @@ def report_kpis(t):
     kpi_sql("(select * from finished order by round desc, match_id limit 50)"),
 )
 def report_kpis_latest(t):
-    return report.kpis(t.stored_finished, t.standings, 50)
+    return report.kpis(t.stored_finished, t.stored_standings, 50)
 
 
 @query(

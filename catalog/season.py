@@ -77,7 +77,7 @@ def probabilities(n: int) -> str:
     SEASON + "select team, position, points, goal_diff, strength from base",
 )
 def team_strength(t):
-    return season.team_base(t.standings)
+    return season.team_base(t.stored_standings)
 
 
 @query("fixture_odds", SEASON + "select * from odds")
@@ -86,7 +86,7 @@ def fixture_odds(t):
 
 
 def odds(t):
-    base = season.team_base(t.standings)
+    base = season.team_base(t.stored_standings)
     return season.fixture_odds(m.pending(t.stored_matches), base)
 
 
@@ -97,12 +97,12 @@ def season_draws(t):
 
 @query("season_standings", draws(FEW) + "select * from ranks")
 def season_standings(t):
-    return season.season_standings(season.team_base(t.standings), odds(t), FEW)
+    return season.season_standings(season.team_base(t.stored_standings), odds(t), FEW)
 
 
 @query("season_probabilities", probabilities(10_000))
 def season_probabilities(t):
-    return season.season_probabilities(t.standings, t.stored_matches, 10_000)
+    return season.season_probabilities(t.stored_standings, t.stored_matches, 10_000)
 
 
 @query(
@@ -117,7 +117,7 @@ def season_probabilities(t):
       as position_now from base)""",
 )
 def season_no_pending(t):
-    return season.season_probabilities(t.standings, t.stored_finished, 1000)
+    return season.season_probabilities(t.stored_standings, t.stored_finished, 1000)
 
 
 @query(

@@ -56,10 +56,9 @@ def alias_names(df: DataFrame, aliases: DataFrame, columns: Sequence[str]) -> Da
     return df
 
 
-def clean_matches(raw: DataFrame, aliases: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One typed row per match id, the first by ``order``, with canonical names."""
-    first = keep_first(raw, ["match_id"], order)
-    typed = first.withColumns(
+def typed_matches(texts: DataFrame, aliases: DataFrame) -> DataFrame:
+    """All-text matches in their types and with canonical names."""
+    typed = texts.withColumns(
         {
             "round": rounded_down(F.col("round")),
             "match_date": day_first_date(F.col("match_date")),
@@ -70,6 +69,11 @@ def clean_matches(raw: DataFrame, aliases: DataFrame, order: Sequence[str]) -> D
     return alias_names(typed, aliases, ["home", "away"]).select(*MATCHES.names)
 
 
+def clean_matches(raw: DataFrame, aliases: DataFrame, order: Sequence[str]) -> DataFrame:
+    """One typed row per match id, the first by ``order``, with canonical names."""
+    return typed_matches(keep_first(raw, ["match_id"], order), aliases)
+
+
 def finished(matches: DataFrame) -> DataFrame:
     """Matches with both scores, their goal total and the outcome for each side."""
     home, away = F.col("home_goals"), F.col("away_goals")

@@ -57,31 +57,31 @@ def score_hits(texts: DataFrame) -> DataFrame:
     surroundings; a piece after a score starts with the away goals.  Each side reaches
     over one more score, for names that run into it.
     """
-    starts = F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(0))
-    homes = F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(1))
     cut = texts.select(
         "page_id",
         F.split("text", SCORE_START).alias("parts"),
-        starts.alias("starts"),
-        homes.alias("homes"),
+        F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(0)).alias("starts"),
     )
-    hits = cut.select("*", F.posexplode("homes").alias("at", "home_goals"))
+    hits = cut.select("*", F.posexplode("starts").alias("at", "start"))
+    number = r"(?U)^\d+"
 
     def piece(name: str, step: int) -> Column:
         return F.coalesce(F.get(name, F.col("at") + step), F.lit(""))
 
     before = F.concat(piece("parts", -1), piece("starts", -1), piece("parts", 0))
     after = F.concat(
-        piece("parts", 1), piece("starts", 1), piece("parts", 2), piece("homes", 2)
+        piece("parts", 1),
+        piece("starts", 1),
+        piece("parts", 2),
+        F.regexp_extract(piece("starts", 2), number, 0),
     )
-    away = r"(?U)^\d+"
     return hits.select(
         "page_id",
         "at",
-        "home_goals",
-        F.regexp_extract(after, away, 0).alias("away_goals"),
+        F.regexp_extract("start", number, 0).alias("home_goals"),
+        F.regexp_extract(after, number, 0).alias("away_goals"),
         F.lower(before).alias("left"),
-        F.lower(F.regexp_replace(after, away, "")).alias("right"),
+        F.lower(F.regexp_replace(after, number, "")).alias("right"),
     )
 
 

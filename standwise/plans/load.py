@@ -10,6 +10,7 @@ from standwise.operators.keyed import has_keys, replace, upsert
 from standwise.operators.matches import coerce
 from standwise.schemas import DECIMALS, STAMPED, TARGETS, TEXT_LIMITS
 from standwise.sources.files import has_version, read_version, write_version
+from standwise.sources.staging import stage
 
 STATUS = T.StructType(
     [
@@ -70,7 +71,8 @@ def load_table(
     """
     _, keys, mode = TARGETS[name]
     schema, path = stored_schema(name), f"{root}/{name}"
-    rows = prepared(df, name)
+    # Both the good and the bad rows are read from it, so the input is worked out once.
+    rows = stage(prepared(df, name))
     good = rows.filter(storable(rows, keys)).drop("overflow")
     bad = rows.filter(~storable(rows, keys))
     order = [c for c in good.columns if c not in keys]

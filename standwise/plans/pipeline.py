@@ -6,26 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from standwise.operators import matches as m
 from standwise.operators import overlay, stats
-from standwise.operators.season import season_probabilities
+from standwise.operators.keyed import keep_first
+from standwise.operators.season import SCENARIOS, season_probabilities
 from standwise.plans.load import load_all
 from standwise.sources.files import read_version, write_version
 from standwise.sources.staging import stage
 
 
 def model_tables(
-    raw_matches: DataFrame,
-    raw_standings: DataFrame,
-    raw_scorers: DataFrame,
-    aliases: DataFrame,
-    match_order: list[str],
-    scorer_order: list[str] = (),
+    matches: DataFrame, raw_standings: DataFrame, raw_scorers: DataFrame, scorer_order: list[str]
 ) -> dict[str, DataFrame]:
     """Clean and derived tables.
 
     Matches and standings feed several of the others, so each is written once and read
     back by them.
     """
-    matches = stage(m.clean_matches(raw_matches, aliases, match_order))
+    matches = stage(matches)
     finished = m.finished(matches)
     standings = stage(m.clean_standings(raw_standings))
     return {
@@ -44,22 +40,23 @@ def run(
     raw: Mapping[str, DataFrame],
     root: str,
     match_order: list[str],
+    scorer_order: list[str] = (),
     now: Column | None = None,
-    scenarios: int = 10_000,
+    scenarios: int = SCENARIOS,
 ) -> DataFrame:
     """Clean, derive, simulate and load; returns the status of each table.
 
     ``raw`` holds matches, standings, scorers and aliases, and optionally scores by id
-    (``scores``), scores by link (``link_scores``) and page texts (``texts``).
+    (``scores``), scores by link (``link_scores``) and page texts (``texts``).  Repeated
+    matches go before late scores are joined, so that no id is heavy in that join.
     """
-    matches = raw["matches"]
+    first = keep_first(raw["matches"], ["match_id"], match_order)
     if "scores" in raw:
-        matches = overlay.overlay_tiers(
-            matches, raw["scores"], raw["link_scores"], raw["texts"]
+        first = overlay.overlay_tiers(
+            stage(first), raw["scores"], raw["link_scores"], raw["texts"]
         )
-    tables = model_tables(
-        matches, raw["standings"], raw["scorers"], raw["aliases"], match_order
-    )
+    matches = m.typed_matches(first, raw["aliases"])
+    tables = model_tables(matches, raw["standings"], raw["scorers"], list(scorer_order))
     chances = season_probabilities(tables["standings"], tables["matches"], scenarios)
     write_version(chances, f"{root}/probabilities")
     return load_all(spark, tables, root, now)

@@ -65,21 +65,29 @@ class Tables:
         return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def nations(self, prefix: str) -> DataFrame:
-        """Nation key, name and region under prefixed names."""
+        """Nation key, name, region and both in one under prefixed names."""
         nation, region = self.read("nation"), self.read("region")
         joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
         return joined.select(
             F.col("n_nationkey").alias(f"{prefix}_key"),
             F.col("n_name").alias(f"{prefix}_name"),
             F.col("r_name").alias(f"{prefix}_region"),
+            F.concat_ws(" ", "n_name", "r_name").alias(f"{prefix}_full"),
         )
 
     @cached_property
     def game_lines(self) -> DataFrame:
         """Order lines with the nation of customer (home) and supplier (away).
 
-        Lines whose two nations are the same are no game.
+        Lines whose two nations are the same are no game.  Texts that depend on the order
+        or the nation alone are made there, before the join repeats them per line.
         """
+        orders = self.read("orders").select(
+            "o_orderkey",
+            "o_custkey",
+            F.date_format("o_orderdate", "dd/MM/yyyy").alias("match_date"),
+            (F.col("o_orderkey") % 38 + 1).cast("string").alias("round"),
+        )
         home = self.read("customer").join(
             self.nations("home"), F.col("c_nationkey") == F.col("home_key")
         )
@@ -88,7 +96,7 @@ class Tables:
         )
         return (
             self.read("lineitem")
-            .join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(home, F.col("o_custkey") == F.col("c_custkey"))
             .join(away, F.col("l_suppkey") == F.col("s_suppkey"))
             .filter(F.col("home_key") != F.col("away_key"))
@@ -99,10 +107,7 @@ class Tables:
         return (
             self.nations("n")
             .filter(F.col("n_key") < 20)
-            .select(
-                F.concat_ws(" ", "n_name", "n_region").alias("raw_name"),
-                F.col("n_name").alias("name"),
-            )
+            .select(F.col("n_full").alias("raw_name"), F.col("n_name").alias("name"))
         )
 
     @cached_property
@@ -112,13 +117,13 @@ class Tables:
         home_goals, away_goals = line_goals()
         return self.game_lines.select(
             match_id().alias("match_id"),
-            (F.col("l_orderkey") % 38 + 1).cast("string").alias("round"),
-            F.date_format("o_orderdate", "dd/MM/yyyy").alias("match_date"),
+            "round",
+            "match_date",
             F.when(F.col("l_linenumber") % 4 == 0, "A def.")
             .otherwise("16:00")
             .alias("kickoff"),
-            F.concat_ws(" ", "home_name", "home_region").alias("home"),
-            F.concat_ws(" ", "away_name", "away_region").alias("away"),
+            F.col("home_full").alias("home"),
+            F.col("away_full").alias("away"),
             F.when(played, home_goals.cast("string")).alias("home_goals"),
             F.when(played, away_goals.cast("string")).alias("away_goals"),
             F.col("s_name").alias("venue"),
@@ -200,6 +205,11 @@ class Tables:
     def standings(self) -> DataFrame:
         return clean_standings(self.standings_raw)
 
+    @cached_property
+    def stored_standings(self) -> DataFrame:
+        """The standings, written once for the queries that use them several times."""
+        return stage(self.standings)
+
     @cached_property
     def team_stats(self) -> DataFrame:
         return stats.team_stats(self.stored_finished, self.standings)

@@ -197,7 +197,7 @@ def small_model(spark):
 
 def test_run_loads_all_and_again(spark, folder):
     raw = small_model(spark)
-    status = pipeline.run(spark, raw, folder, ["at"], now(), scenarios=40)
+    status = pipeline.run(spark, raw, folder, ["at"], now=now(), scenarios=40)
     found = {r.table: (r.status, r.rows, r.rejected) for r in status.collect()}
     assert found == {
         "standings": ("loaded", 3, 0),
@@ -208,7 +208,7 @@ def test_run_loads_all_and_again(spark, folder):
         "scorers": ("loaded", 2, 0),
         "round_goals": ("loaded", 1, 0),
     }
-    again = pipeline.run(spark, raw, folder, ["at"], now(), scenarios=40)
+    again = pipeline.run(spark, raw, folder, ["at"], now=now(), scenarios=40)
     assert {r.table: r.rows for r in again.collect()} == {k: v[1] for k, v in found.items()}
     stored = {name: load.stored_schema(name) for name in schemas.TARGETS}
     tables = pipeline.stored_tables(spark, folder, {**stored, "probabilities": schemas.PROBABILITIES})
@@ -218,6 +218,18 @@ def test_run_loads_all_and_again(spark, folder):
     assert all(df.count() >= 1 for df in shown.values())
 
 
+def test_run_takes_late_scores(spark, folder):
+    raw = small_model(spark)
+    schema = "match_id string, seq int, home_goals string, away_goals string"
+    raw["scores"] = spark.createDataFrame([("g3", 1, "4", "0")], schema)
+    raw["link_scores"] = raw["scores"].limit(0)
+    raw["texts"] = spark.createDataFrame([], "page_id long, text string")
+    raw["matches"] = raw["matches"].withColumn("state", F.lit("ST"))
+    pipeline.run(spark, raw, folder, ["at"], now=now(), scenarios=4)
+    stored = files.read_version(spark, f"{folder}/finished", load.stored_schema("finished"))
+    assert {r.match_id: r.home_result for r in stored.collect()} == {"g1": "W", "g2": "T", "g3": "W"}
+
+
 def test_load_goes_on_after_a_failure(spark, folder):
     good = spark.createDataFrame([(1, 2)], "round int, games int")
     bad = spark.createDataFrame([(1,)], "nothing int")

@@ -424,8 +424,7 @@ WEB = (
 
 
 def numbered(t):
-    first = b.keep_first(t.matches_raw, ["match_id"], b.SOURCE_ORDER)
-    return b.number_ids(first).select(*MATCH_OUT)
+    return b.number_ids(t.stored_first).select(*MATCH_OUT)
 
 
 @query(
@@ -477,10 +476,10 @@ def overlay_audit(t):
 
 TEXTS = (
     MODEL
-    + r""", texts as materialized (select *, lower(text) as low from (
+    + r""", texts as materialized (select min(page_id) as page_id, text, lower(text) as low from (
       select order_key*8+line as page_id, home||' '||home_goals||' x '||away_goals||' '||away||
         '. Return: '||lower(away)||' '||away_goals||' X '||home_goals||' '||home as text
-      from firsts where home_goals is not null)),
+      from firsts where home_goals is not null) group by text),
     fixtures as (
       select (order_key*8+line)::varchar as match_id, home, away, home_goals, away_goals,
         lower(split_part(home,' ',1)) as hw, lower(split_part(away,' ',1)) as aw from firsts),

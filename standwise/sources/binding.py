@@ -146,6 +146,11 @@ class Tables:
     def matches(self) -> DataFrame:
         return clean_matches(self.matches_raw, self.aliases, SOURCE_ORDER)
 
+    @cached_property
+    def stored_first(self) -> DataFrame:
+        """One raw row per match, written once: the base of document rows and late scores."""
+        return stage(keep_first(self.matches_raw, ["match_id"], SOURCE_ORDER))
+
     @cached_property
     def finished(self) -> DataFrame:
         return finished(self.matches)
@@ -259,7 +264,6 @@ def line_goals() -> tuple[Column, Column]:
 
 def document_rows(t: Tables) -> DataFrame:
     """Matches as rows of seven long document tables, with all the flaws such rows have."""
-    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
     key, line = F.col("order_key"), F.col("line")
     seq = key * 8 + line
     played = F.concat_ws(" x ", F.concat_ws(" ", "home", "home_goals"), F.concat_ws(" ", "away_goals", "away"))
@@ -282,7 +286,7 @@ def document_rows(t: Tables) -> DataFrame:
         F.col("state"),
     ]
     short = F.array(*cells[:5])
-    return first.select(
+    return t.stored_first.select(
         (key % 7).alias("doc_id"),
         seq.alias("seq"),
         F.when(line == 6, short).otherwise(F.array(*cells)).alias("cells"),
@@ -299,7 +303,6 @@ def number_ids(matches: DataFrame) -> DataFrame:
 
 def score_blocks(t: Tables) -> DataFrame:
     """Late scores of every third order: zero-padded ids, two blocks each."""
-    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
     key = F.col("order_key")
     blocks = F.explode(
         F.array(
@@ -315,7 +318,7 @@ def score_blocks(t: Tables) -> DataFrame:
     )
     ids = F.lpad((key * 8 + F.col("line")).cast("string"), 14, "0")
     return (
-        first.filter(key % 3 == 0)
+        t.stored_first.filter(key % 3 == 0)
         .select(ids.alias("id_text"), blocks.alias("block"))
         .select("id_text", "block.*")
     )
@@ -324,9 +327,8 @@ def score_blocks(t: Tables) -> DataFrame:
 def score_links(t: Tables) -> DataFrame:
     """The same ids as links, with the score in the text around them."""
     key = F.col("order_key")
-    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
     ids = F.lpad((key * 8 + F.col("line")).cast("string"), 14, "0")
-    return first.filter(key % 3 == 1).select(
+    return t.stored_first.filter(key % 3 == 1).select(
         F.concat(F.lit("/games/league/"), ids, F.lit("?tab=1")).alias("href"),
         F.col("line").alias("seq"),
         F.concat((key % 6).cast("string"), F.lit("x"), "line").alias("text"),
@@ -335,10 +337,9 @@ def score_links(t: Tables) -> DataFrame:
 
 def score_texts(t: Tables) -> DataFrame:
     """Free text per match: its score, then the reverse fixture with the score turned."""
-    first = keep_first(t.matches_raw, ["match_id"], SOURCE_ORDER)
     here = F.concat_ws(" ", "home", "home_goals", F.lit("x"), "away_goals", "away")
     there = F.concat_ws(" ", F.lower("away"), "away_goals", F.lit("X"), "home_goals", "home")
-    return first.filter(F.col("home_goals").isNotNull()).select(
+    return t.stored_first.filter(F.col("home_goals").isNotNull()).select(
         (F.col("order_key") * 8 + F.col("line")).alias("page_id"),
         F.concat(here, F.lit(". Return: "), there).alias("text"),
     )

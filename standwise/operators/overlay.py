@@ -57,30 +57,34 @@ def score_hits(texts: DataFrame) -> DataFrame:
     surroundings; a piece after a score starts with the away goals.  Each side reaches
     over one more score, for names that run into it.
     """
-    cut = texts.select(
-        "page_id",
-        F.split("text", SCORE_START).alias("parts"),
-        F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(0)).alias("starts"),
-    )
-    hits = cut.select("*", F.posexplode("starts").alias("at", "start"))
     number = r"(?U)^\d+"
+    parts = F.split("text", SCORE_START)
+    starts = F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(0))
+    cut = texts.select("page_id", parts.alias("parts"), starts.alias("starts"))
+
+    def surroundings(start: Column, at: Column) -> Column:
+        def piece(name: str, step: int) -> Column:
+            return F.coalesce(F.get(name, at + step), F.lit(""))
+
+        before = F.concat(piece("parts", -1), piece("starts", -1), piece("parts", 0))
+        after = F.concat(
+            piece("parts", 1),
+            piece("starts", 1),
+            piece("parts", 2),
+            F.regexp_extract(piece("starts", 2), number, 0),
+        )
+        return F.struct(start.alias("start"), before.alias("before"), after.alias("after"))
 
-    def piece(name: str, step: int) -> Column:
-        return F.coalesce(F.get(name, F.col("at") + step), F.lit(""))
-
-    before = F.concat(piece("parts", -1), piece("starts", -1), piece("parts", 0))
-    after = F.concat(
-        piece("parts", 1),
-        piece("starts", 1),
-        piece("parts", 2),
-        F.regexp_extract(piece("starts", 2), number, 0),
-    )
+    # The pieces are put together inside the page's row, so that exploding its scores
+    # does not repeat the page for each of them.
+    hits = cut.select("page_id", F.posexplode(F.transform("starts", surroundings)).alias("at", "hit"))
+    after = F.col("hit.after")
     return hits.select(
         "page_id",
         "at",
-        F.regexp_extract("start", number, 0).alias("home_goals"),
+        F.regexp_extract("hit.start", number, 0).alias("home_goals"),
         F.regexp_extract(after, number, 0).alias("away_goals"),
-        F.lower(before).alias("left"),
+        F.lower("hit.before").alias("left"),
         F.lower(F.regexp_replace(after, number, "")).alias("right"),
     )
 

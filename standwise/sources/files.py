@@ -22,13 +22,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def write_snapshot(df: DataFrame, path: str, day: str) -> None:
     """Write the rows as the snapshot of a day; the day's earlier snapshot is replaced."""
-    (
-        df.withColumn("snapshot_date", F.lit(day))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(path)
-    )
+    df.write.mode("overwrite").parquet(f"{path}/snapshot_date={day}")
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from oracle.model import MODEL, even, score, up
+from oracle.model import MODEL, score, up
 from standwise.functions.scoring import performance_score
 from standwise.operators import matches as m
 from standwise.operators import stats

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from standwise.functions.numbers import strip
 
 TAG = r"<[^>]*>"
+
+# The forms of a played and an unplayed game, of a score in free text, of the
+# number a team cell may start with, and of a scorer's club in front of the name.
 PLAYED = r"(?U)^(.+?)\s+(\d+)\s+x\s+(\d+)\s+(.+)$"
 UNPLAYED = r"(?U)^(.+?)\s+x\s+(.+)$"
 SCORE = r"(?U)(\d+)\s*[xX]\s*(\d+)"
+LED_BY_NUMBER = r"(?U)^\s*(\d+)(?=[+\-\s]|[A-Za-zÀ-ú])"
+CLUB_AND_PLAYER = r"(?U)^(.+?-[A-Z]{2})\s*(.*?)$"
+CLUB_IN_FRONT = r"(?U)^.+?-[A-Z]{2}\s*"
 
 # The named characters a page may carry and what they stand for.
 ENTITIES = [
@@ -59,7 +65,7 @@ def leading_number(text: Column) -> Column:
 
     Otherwise whatever stands before the first character that is no digit, '' if nothing.
     """
-    led = first_match(text, r"(?U)^\s*(\d+)(?=[+\-\s]|[A-Za-zÀ-ú])")
+    led = first_match(text, LED_BY_NUMBER)
     return F.coalesce(led, F.regexp_replace(text, r"(?sU)\D.*", ""))
 
 
@@ -110,20 +116,19 @@ def scorer(raw: Column, title: Column, cell: Column) -> Column:
     """
     club_title = strip(blank_to_null(title))
     titled = club_title.isNotNull()
-    prefixed = r"(?U)^(.+?-[A-Z]{2})\s*(.*?)$"
-    has_prefix = raw.rlike(prefixed)
+    has_prefix = raw.rlike(CLUB_AND_PLAYER)
     with_title = F.when(
         F.startswith(raw, club_title),
         strip(F.substr(raw, F.length(club_title) + 1)),
-    ).otherwise(strip(F.regexp_replace(raw, r"(?U)^.+?-[A-Z]{2}\s*", "")))
+    ).otherwise(strip(F.regexp_replace(raw, CLUB_IN_FRONT, "")))
     club = (
         F.when(titled, club_title)
-        .when(has_prefix, strip(F.regexp_extract(raw, prefixed, 1)))
+        .when(has_prefix, strip(F.regexp_extract(raw, CLUB_AND_PLAYER, 1)))
         .otherwise(cell)
     )
     player = (
         F.when(titled, with_title)
-        .when(has_prefix, strip(F.regexp_extract(raw, prefixed, 2)))
+        .when(has_prefix, strip(F.regexp_extract(raw, CLUB_AND_PLAYER, 2)))
         .otherwise(raw)
     )
     return F.struct(

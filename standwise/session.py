@@ -15,6 +15,9 @@ def local_session(cpus: int | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # The local tables are single files that one task reads; joining the larger ones by
+        # shuffle spreads the work that follows over the cores.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

@@ -15,25 +15,28 @@ def carry_forward(
     block fills itself, and the last value of the blocks before it fills its start.  Only
     one row per block meets in the window over a whole key.
     """
-    rows = df.withColumn("_value", value).withColumn(
-        "_block", F.floor(F.col(seq) / block)
+    # The key goes into a struct: equal also when null, and by plain equality, so that the
+    # join finds the rows where the window over the blocks has put them.
+    rows = df.withColumns(
+        {"_key": F.struct(key), "_value": value, "_block": F.floor(F.col(seq) / block)}
     )
     in_block = (
-        Window.partitionBy(key, "_block").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("_key", "_block")
+        .orderBy(seq)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = rows.withColumn("_own", F.last("_value", ignorenulls=True).over(in_block))
 
     known_at = F.when(F.col("_value").isNotNull(), F.col(seq))
-    tails = rows.groupBy(key, "_block").agg(F.max_by("_value", known_at).alias("_tail"))
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    tails = rows.groupBy("_key", "_block").agg(F.max_by("_value", known_at).alias("_tail"))
+    earlier = (
+        Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
     carried = tails.select(
-        F.col(key).alias("_key"),
-        F.col("_block").alias("_at"),
-        F.last("_tail", ignorenulls=True).over(earlier).alias("_carried"),
+        "_key", "_block", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried")
     )
-    here = F.col(key).eqNullSafe(F.col("_key")) & F.col("_block").eqNullSafe(F.col("_at"))
     return (
-        filled.join(carried, here, "left")
+        filled.join(carried, ["_key", "_block"], "left")
         .withColumn(name, F.coalesce("_own", "_carried"))
-        .drop("_value", "_block", "_own", "_key", "_at", "_carried")
+        .drop("_key", "_value", "_block", "_own", "_carried")
     )

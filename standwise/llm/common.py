@@ -1,5 +1,8 @@
 """Helpers of the operators in this package."""
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,8 +19,25 @@ def column(name: str) -> Column:
 
 
 def bounded(spark: SparkSession) -> None:
-    """Hold the batches sent to Python workers to BATCH_BYTES, however long the texts are."""
+    """Make ready for Python workers: batches of at most BATCH_BYTES, however long the texts
+    are, and this library on their path, wherever the session was started."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    context = spark.sparkContext
+    if not getattr(context, "has_library", False):
+        context.addPyFile(_library())
+        context.has_library = True
+
+
+def _library() -> str:
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="library-"), "standwise.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    return path
 
 
 def texts(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
@@ -53,3 +73,9 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def carried(df: DataFrame) -> DataFrame:
+    """All columns of a table packed into ``row``: what an operator adds can't clash with them."""
+    bounded(df.sparkSession)
+    return df.select(F.struct("*").alias("row"))

@@ -32,10 +32,17 @@ SHORT_FRAGMENT = 48
 PLAIN_SPACE = re.compile(r"[ \t\n\r\f\v]+")
 # Fixed value: the pattern of tokenizer files whose words are runs of letters in lower case.
 LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# White space that str.split() parts at beyond these; \x1c to \x1f are none to a tokenizer.
+OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Under that pattern: a run of Latin letters and one closing mark are two words as they stand.
 LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([,.;:!?]?)")
 
 
+def pieces_of(text: str) -> list[str]:
+    """What stands between white space."""
+    return text.split() if OTHER_SPACE.search(text) is None else PLAIN_SPACE.split(text)
+
+
 class _Memory(dict):
     """A dictionary that fills itself, bounded in number and size of its entries."""
 
@@ -216,7 +223,7 @@ class ForcedBoundaryBPE:
         if not self.plain_words:
             return self._encode_chunk(text)
         memory = self.chunk_ids
-        return b"".join([memory[c] for c in PLAIN_SPACE.split(text)])
+        return b"".join([memory[c] for c in pieces_of(text)])
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, as little-endian unsigned 32-bit integers."""

@@ -18,6 +18,7 @@ attempt) is the same file again.
 """
 
 import os
+import re
 import zlib
 from functools import lru_cache
 from urllib.parse import unquote, urlparse
@@ -30,46 +31,119 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from standwise.llm.bpe import PLAIN_SPACE, REMEMBERED, ForcedBoundaryBPE
+from standwise.llm.bpe import LATIN_WORD, ForcedBoundaryBPE, pieces_of
 from standwise.llm.common import per_batch, texts
 
 NO_ID = -(2**63)
 # Bytes of text that a part is meant to hold.
 PART_BYTES = 32 << 20
+# Pieces of text that a worker remembers, in each of two generations.
+MEMORY = 400_000
+
+# Of lines: a run of letters, the mark that closes it, or else the whole line.
+_PARTS = re.compile(rf"^{LATIN_WORD.pattern}$|^(.+)$", re.M)
 
 
 class LibraryCoder:
-    """Ids by the tokenizers library; what lies between white space is encoded once.
+    """Ids by the tokenizers library.
 
-    Only for tokenizer files in which white space just parts words; others, and texts with
-    added tokens, are handed over whole.
+    Where a tokenizer file parts words at white space, what stands between two blanks has the
+    same ids everywhere: each such piece is encoded once and remembered. Pieces that are new
+    in a group of texts are handed to the library together; runs of letters as one text,
+    whose ids are parted again after each token that ends a word. Other files, and texts
+    with added tokens, are encoded whole.
     """
 
+    GROUP_BYTES = 4 << 20
+
     def __init__(self, path: str):
         plain = ForcedBoundaryBPE(path)
         self.by_words, self.added = plain.plain_words, plain.added_pattern
+        self.letter_runs = plain.letter_runs
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
         self.size = len(plain.names)
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> np.ndarray:
-        if not self.by_words or (self.added is not None and self.added.search(text)):
-            return np.frombuffer(self._whole(text), "<u4")
-        known, words = self.known, PLAIN_SPACE.split(text)
-        missing = list({w for w in words if w not in known})
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = list(set(words))
-            found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-            for word, one in zip(missing, found):
-                known[word] = np.array(one.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+        ends = [bool(plain.suffix) and (name or "").endswith(plain.suffix) for name in plain.names]
+        self.ends_word = np.array(ends)
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.known_runs: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs of letters, from one call for all of them."""
+        ids = np.frombuffer(self._whole([" ".join(runs)])[0], "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(runs) or (len(ends) and ends[-1] != len(ids)):
+            return self._whole(runs)
+        data = ids.tobytes()
+        starts = [0, *(4 * ends[:-1]).tolist()]
+        return [data[a:b] for a, b in zip(starts, (4 * ends).tolist())]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Add ids of the pieces; when the memory is full, what was not used lately goes."""
+        if len(self.known) + len(pieces) > MEMORY:
+            self.older, self.known = self.known, {"": b""}
+        known, older, runs = self.known, self.older, self.known_runs
+        again = [p for p in pieces if p in older]
+        known.update(zip(again, [older[p] for p in again]))
+        pieces = [p for p in pieces if p not in known] if again else pieces
+        if not self.letter_runs:
+            known.update(zip(pieces, self._whole(pieces)))
+            return
+        if len(runs) > MEMORY:
+            runs.clear()
+        parts = _PARTS.findall("\n".join(pieces))
+        lower = " ".join([p[0] for p in parts]).lower().split(" ")
+        new = list(set(lower).difference(runs, [""]))
+        runs.update(zip(new, self._runs(new)))
+        marks = list({p[1] for p in parts}.difference(runs, [""]))
+        runs.update(zip(marks, self._whole(marks)))
+        runs[""] = b""
+        known.update(
+            zip(pieces, [runs[word] + runs[mark] for word, (_, mark, _) in zip(lower, parts)])
+        )
+        other = [p[2] for p in parts if p[2]]
+        known.update(zip(other, self._whole(other)))
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        pieces: list[str] = []
+        ends = []
+        for text in texts:
+            pieces += pieces_of(text)
+            ends.append(len(pieces))
+        different = set(pieces)
+        for _ in range(2):  # a full memory is emptied of what this group had found in it
+            if missing := different.difference(self.known):
+                self._learn(list(missing))
+        found = list(map(self.known.__getitem__, pieces))
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        found: list[bytes] = []
+        group: list[str] = []
+        held = 0
+
+        def flush():
+            nonlocal group, held
+            found.extend(self._group(group))
+            group, held = [], 0
+
+        for text in texts:
+            if not self.by_words or (self.added is not None and self.added.search(text)):
+                flush()
+                found.extend(self._whole([text]))
+                continue
+            group.append(text)
+            held += len(text)
+            if held > self.GROUP_BYTES:
+                flush()
+        flush()
+        return [np.frombuffer(one, "<u4") for one in found]
 
 
 @lru_cache(maxsize=2)
@@ -121,9 +195,9 @@ def write(
         own = f"{place}/.attempt-{part:05d}-{TaskContext.get().taskAttemptId()}"
         with files.open_output_stream(own) as out:
             for batch in batches:
-                bodies = batch.column("body").to_pylist()
-                for doc, body in zip(batch.column("id").to_pylist(), bodies):
-                    found = np.concatenate([model.encode(body.decode("utf-8", "replace")), tail])
+                bodies = [b.decode("utf-8", "replace") for b in batch.column("body").to_pylist()]
+                for doc, ids_of in zip(batch.column("id").to_pylist(), model.encode(bodies)):
+                    found = np.concatenate([ids_of, tail])
                     out.write(found.astype(kind).tobytes())
                     offsets.append(offsets[-1] + len(found))
                     ids.append(NO_ID if doc is None else doc)

@@ -17,7 +17,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -34,6 +34,8 @@ SEED = 20
 # Ids that may be broadcast: 8 bytes each.
 BROADCAST_IDS = 1_000_000
 REMEMBERED_WORDS = 500_000
+# Size of the bitmaps that refute pairs, at most 4096.
+BITS = 4096
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # 2**64 over the golden ratio, made odd
@@ -196,44 +198,78 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return both.where("group_a <> group_b").select("a", "b")
 
 
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """BITS bits, one of them set by each element of a set."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(found >> np.uint64(64 - 12)).astype(np.int64) % BITS] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _missing(one: str, two: str) -> Column:
+    """Bits of one bitmap that the other lacks: each stands for an element it lacks."""
+    lacking = lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))
+    return F.aggregate(F.zip_with(one, two, lacking), F.lit(0), lambda n, x: n + x)
+
+
 def _left_over(members: DataFrame, groups: DataFrame, bodies: DataFrame) -> DataFrame:
     """(a, b): pairs still to compare among the documents of tables whose members are not
     all in one component.
 
     Two similar sets share one of the rarest shingles of each: of n, ordered from rare to
-    frequent, one of the first n - 0.75 * n + 1. So only pairs that do are compared, and
-    documents that each differ in their own way from a common source are not.
+    frequent, one of the first n - 0.75 * n + 1, and enough must follow the first that they
+    share. Elements that a bitmap proves to be in one set alone are counted off as well.
+    None of this drops a similar pair; documents that each differ in their own way from a
+    common source are mostly not compared.
     """
     rows = _labelled(members, groups, "id", "part")
     mixed = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     mixed = mixed.where("low < high").select("key")
     open_ids = rows.join(mixed, "key").select("id", "part").distinct()
-    schema = "id long, part long, n long, shingle long"
+    texts_of = stage(bodies.join(open_ids, "id").select("id", "part", "body"))
 
-    def run(batches):
+    def elements(batches):
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("id", "part", "body")]
-            for key, part, body in zip(*columns):
+            for key, body in zip(batch.column("id").to_pylist(), batch.column("body").to_pylist()):
                 found = shingles(body).view(np.int64)
-                n = len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, x, np.int64)) for x in (key, part, n)] + [pa.array(found)],
-                    names=["id", "part", "n", "shingle"],
+                    [pa.array(np.full(len(found), key, np.int64)), pa.array(found)],
+                    names=["id", "shingle"],
                 )
 
-    words = stage(bodies.join(open_ids, "id").select("id", "part", "body").mapInArrow(run, schema))
+    def maps(batches):
+        for batch in batches:
+            sets = [shingles(body) for body in batch.column("body").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    batch.column("part"),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                    pa.array([bitmap(x) for x in sets], pa.list_(pa.int64())),
+                ],
+                names=["id", "part", "n", "bits"],
+            )
+
+    words = stage(texts_of.mapInArrow(elements, "id long, shingle long"))
+    sets = stage(texts_of.mapInArrow(maps, "id long, part long, n long, bits array<long>"))
     often = words.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     order = Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "shingle")
     ranked = words.join(often, "shingle", "left").withColumn("place", F.row_number().over(order))
+    ranked = ranked.where("often is not null").select("id", "shingle", "place").join(sets, "id")
     first = F.col("n") - F.ceil(F.col("n") * PART / WHOLE) + 1
-    rare = stage(ranked.where((F.col("place") <= first) & F.col("often").isNotNull()).drop("place"))
-    one = rare.select("shingle", F.col("id").alias("a"), "part", "n")
-    two = rare.select(
-        "shingle", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b")
+    rare = stage(ranked.where(F.col("place") <= first))
+    one = rare.withColumnRenamed("id", "a")
+    two = rare.select("shingle", *[F.col(c).alias(c + "_b") for c in ("id", "part", "n", "place", "bits")])
+    # A link needs (PART + WHOLE) * both >= PART * (n + n_b).
+    least = F.lit(PART) * (F.col("n") + F.col("n_b"))
+    enough = lambda both: F.lit(PART + WHOLE) * both >= least
+    apart = (
+        (F.col("a") > F.col("id_b"))
+        & (F.col("part") != F.col("part_b"))
+        & enough(F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) + 1)
+        & enough(F.col("n") - _missing("bits", "bits_b"))
+        & enough(F.col("n_b") - _missing("bits_b", "bits"))
     )
-    fits = F.lit(WHOLE) * F.least("n", "n_b") >= F.lit(PART) * F.greatest("n", "n_b")
-    apart = (F.col("a") > F.col("b")) & (F.col("part") != F.col("part_b")) & fits
-    return one.join(two, "shingle").where(apart).select("a", "b").distinct()
+    return one.join(two, "shingle").where(apart).select("a", F.col("id_b").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

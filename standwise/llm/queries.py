@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standwise.llm import bpe, chat, decontaminate, line_dedup, token_files, topk
+from standwise.llm import bpe, chat, decontaminate, language, line_dedup, minhash, token_files, topk
 from standwise.sources.staging import staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,17 @@ select query_id, "rank", vec_id, score from ranked where "rank" <= 5
 """
 
 
+@query
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    documents = table(spark, folder, "documents")
+    held_out = language.fold("doc_id", 5) == 0
+    found = language.identify(
+        documents, documents.where(~held_out), more=(held_out.alias("held_out"),)
+    )
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Hits of benchmark windows in every document."""
@@ -78,6 +89,12 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near-duplicate documents."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Text of every page without the lines that its host repeats."""

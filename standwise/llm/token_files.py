@@ -31,30 +31,37 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from standwise.llm.bpe import LATIN_WORD, ForcedBoundaryBPE, pieces_of
+from standwise.llm.bpe import LATIN_WORD, ForcedBoundaryBPE
 from standwise.llm.common import per_batch, texts
 
 NO_ID = -(2**63)
 # Bytes of text that a part is meant to hold.
 PART_BYTES = 32 << 20
-# Pieces of text that a worker remembers, in each of two generations.
-MEMORY = 400_000
+# Pieces of text that a worker remembers, some 40 bytes each; then it starts anew.
+MEMORY = 3_000_000
 
 # Of lines: a run of letters, the mark that closes it, or else the whole line.
 _PARTS = re.compile(rf"^{LATIN_WORD.pattern}$|^(.+)$", re.M)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\f\v"))
+# Polynomial hashes of words up to this length; longer ones are not remembered.
+LONG = 255
+_draw = np.random.default_rng(1)
+_LETTER = np.where(_BLANK, 0, _draw.integers(1, 2**64, 256, np.uint64)).astype(np.uint64)
+_POWER = np.cumprod(np.full(LONG + 1, 0x9E3779B97F4A7C15, np.uint64))
 
 
 class LibraryCoder:
     """Ids by the tokenizers library.
 
     Where a tokenizer file parts words at white space, what stands between two blanks has the
-    same ids everywhere: each such piece is encoded once and remembered. Pieces that are new
-    in a group of texts are handed to the library together; runs of letters as one text,
-    whose ids are parted again after each token that ends a word. Other files, and texts
-    with added tokens, are encoded whole.
+    same ids everywhere: each such piece is encoded once and remembered, in arrays sorted by
+    a hash of the piece, and texts are put together from these ids. Runs of lower-case
+    letters that are new go to the library as one text, whose ids are parted again after
+    each token that ends a word; other pieces go one by one. With other files, and where a
+    text holds added tokens, texts are encoded whole.
     """
 
-    GROUP_BYTES = 4 << 20
+    GROUP_BYTES = 2 << 20
 
     def __init__(self, path: str):
         plain = ForcedBoundaryBPE(path)
@@ -66,84 +73,156 @@ class LibraryCoder:
         self.size = len(plain.names)
         ends = [bool(plain.suffix) and (name or "").endswith(plain.suffix) for name in plain.names]
         self.ends_word = np.array(ends)
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.known_runs: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.entry = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.start, self.length = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.n_entries, self.n_ids = 0, 0
+        self.ids = np.empty(1 << 16, np.uint32)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(one.ids, np.uint32) for one in found]
+
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers of new entries with these ids, one after another."""
+        while len(self.ids) < self.n_ids + len(ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        starts = self.n_ids + np.cumsum(lengths) - lengths
+        self.start = np.concatenate([self.start[: self.n_entries], starts])
+        self.length = np.concatenate([self.length[: self.n_entries], lengths])
+        numbers = self.n_entries + np.arange(len(lengths))
+        self.n_ids, self.n_entries = self.n_ids + len(ids), self.n_entries + len(lengths)
+        return numbers
+
+    def _runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their counts of runs of letters, from one call for all of them."""
+        ids = self._whole([" ".join(runs)])[0]
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == len(runs) and ends[-1] == len(ids):
+            return ids, np.diff(ends, prepend=0)
+        return self._joined(self._whole(runs))
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+    @staticmethod
+    def _joined(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.array([len(x) for x in found], np.int64)
+        return (np.concatenate(found) if found else np.empty(0, np.uint32)), lengths
 
-    def _runs(self, runs: list[str]) -> list[bytes]:
-        """Ids of runs of letters, from one call for all of them."""
-        ids = np.frombuffer(self._whole([" ".join(runs)])[0], "<u4")
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(ends) != len(runs) or (len(ends) and ends[-1] != len(ids)):
-            return self._whole(runs)
-        data = ids.tobytes()
-        starts = [0, *(4 * ends[:-1]).tolist()]
-        return [data[a:b] for a, b in zip(starts, (4 * ends).tolist())]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Add ids of the pieces; when the memory is full, what was not used lately goes."""
-        if len(self.known) + len(pieces) > MEMORY:
-            self.older, self.known = self.known, {"": b""}
-        known, older, runs = self.known, self.older, self.known_runs
-        again = [p for p in pieces if p in older]
-        known.update(zip(again, [older[p] for p in again]))
-        pieces = [p for p in pieces if p not in known] if again else pieces
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Entries of pieces that are not known."""
         if not self.letter_runs:
-            known.update(zip(pieces, self._whole(pieces)))
-            return
-        if len(runs) > MEMORY:
-            runs.clear()
+            return self._add(*self._joined(self._whole(pieces)))
         parts = _PARTS.findall("\n".join(pieces))
-        lower = " ".join([p[0] for p in parts]).lower().split(" ")
-        new = list(set(lower).difference(runs, [""]))
-        runs.update(zip(new, self._runs(new)))
-        marks = list({p[1] for p in parts}.difference(runs, [""]))
-        runs.update(zip(marks, self._whole(marks)))
-        runs[""] = b""
-        known.update(
-            zip(pieces, [runs[word] + runs[mark] for word, (_, mark, _) in zip(lower, parts)])
-        )
-        other = [p[2] for p in parts if p[2]]
-        known.update(zip(other, self._whole(other)))
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        pieces: list[str] = []
-        ends = []
-        for text in texts:
-            pieces += pieces_of(text)
-            ends.append(len(pieces))
-        different = set(pieces)
-        for _ in range(2):  # a full memory is emptied of what this group had found in it
-            if missing := different.difference(self.known):
-                self._learn(list(missing))
-        found = list(map(self.known.__getitem__, pieces))
-        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        found: list[bytes] = []
-        group: list[str] = []
+        lower = "\n".join([p[0] for p in parts]).lower().split("\n")
+        numbers = np.empty(len(pieces), np.int64)
+        bare = [i for i, p in enumerate(parts) if lower[i] == pieces[i]]
+        if bare:
+            numbers[bare] = self._add(*self._runs([pieces[i] for i in bare]))
+        closed = [i for i, p in enumerate(parts) if p[0] and lower[i] != pieces[i]]
+        if closed:
+            buffer = " ".join([lower[i] for i in closed]).encode()
+            runs = self._entries(buffer, *_places(buffer))
+            marks = {"": np.empty(0, np.uint32)}
+            for mark in {parts[i][1] for i in closed} - {""}:
+                marks[mark] = self._whole([mark])[0]
+            one = [
+                part
+                for run, i in zip(runs.tolist(), closed)
+                for part in (
+                    self.ids[self.start[run] : self.start[run] + self.length[run]],
+                    marks[parts[i][1]],
+                )
+            ]
+            lengths = np.array([len(x) for x in one]).reshape(-1, 2).sum(axis=1)
+            numbers[closed] = self._add(np.concatenate(one), lengths)
+        other = [i for i, p in enumerate(parts) if p[2]]
+        if other:
+            numbers[other] = self._add(*self._joined(self._whole([pieces[i] for i in other])))
+        return numbers
+
+    def _entries(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Entry of every word of a buffer."""
+        out = np.empty(len(starts), np.int64)
+        blocks = np.searchsorted(starts, np.arange(0, len(buffer), self.GROUP_BYTES))
+        for low, high in zip(blocks, [*blocks[1:], len(starts)]):
+            if low < high:
+                out[low:high] = self._block(buffer, starts[low:high], ends[low:high])
+        return out
+
+    def _block(self, buffer: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        data = np.frombuffer(buffer, np.uint8)[starts[0] : ends[-1]]
+        heads = starts - starts[0]
+        place = np.arange(len(data)) - np.repeat(heads, np.diff(heads, append=len(data)))
+        np.minimum(place, LONG, out=place)
+        hashes = np.add.reduceat(_LETTER[data] * _POWER[place], heads)
+        long = ends - starts > LONG
+        different, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, different)
+        at[at == len(self.keys)] = 0
+        known = self.keys[at] == different if len(self.keys) else np.zeros(len(different), bool)
+        numbers = np.where(known, self.entry[at] if len(self.keys) else 0, -1)
+        known |= long[first]  # these are seen to below
+        new = np.flatnonzero(~known)
+        if len(new):
+            pieces = [
+                buffer[a:b].decode("utf-8", "replace")
+                for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            ]
+            numbers[new] = self._learn(pieces)
+            at = np.searchsorted(self.keys, different[new])
+            self.keys = np.insert(self.keys, at, different[new])
+            self.entry = np.insert(self.entry, at, numbers[new])
+        out = numbers[inverse]
+        if long.any():
+            pieces = [
+                buffer[a:b].decode("utf-8", "replace") for a, b in zip(starts[long], ends[long])
+            ]
+            out[long] = self._add(*self._joined(self._whole(pieces)))
+        return out
+
+    def _group(self, bodies: list[bytes]) -> list[np.ndarray]:
+        if self.n_entries > MEMORY:
+            self._forget()
+        buffer = b" ".join(bodies)
+        starts, ends = _places(buffer)
+        entries = self._entries(buffer, starts, ends)
+        lengths = self.length[entries]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        place = np.arange(before[-1]) + np.repeat(self.start[entries] - before[:-1], lengths)
+        ids = self.ids[place]
+        heads = np.cumsum([0, *[len(b) + 1 for b in bodies]])
+        cuts = before[np.searchsorted(starts, heads)]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode(self, bodies: list[bytes]) -> list[np.ndarray]:
+        """Ids of whole texts, given as UTF-8."""
+        found: list[np.ndarray] = []
+        group: list[bytes] = []
         held = 0
-
-        def flush():
-            nonlocal group, held
-            found.extend(self._group(group))
-            group, held = [], 0
-
-        for text in texts:
-            if not self.by_words or (self.added is not None and self.added.search(text)):
-                flush()
-                found.extend(self._whole([text]))
+        for body in bodies:
+            text = None
+            if not self.by_words or self.added is not None:
+                text = body.decode("utf-8", "replace")
+            if text is not None and (not self.by_words or self.added.search(text)):
+                found += self._group(group) if group else []
+                found += self._whole([text])
+                group, held = [], 0
                 continue
-            group.append(text)
-            held += len(text)
+            group.append(body)
+            held += len(body)
             if held > self.GROUP_BYTES:
-                flush()
-        flush()
-        return [np.frombuffer(one, "<u4") for one in found]
+                found += self._group(group)
+                group, held = [], 0
+        return found + (self._group(group) if group else [])
+
+
+def _places(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of what stands between blanks."""
+    inside = ~_BLANK[np.frombuffer(buffer, np.uint8)]
+    edges = np.diff(inside.view(np.int8), prepend=0, append=0)
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
 @lru_cache(maxsize=2)
@@ -195,9 +274,9 @@ def write(
         own = f"{place}/.attempt-{part:05d}-{TaskContext.get().taskAttemptId()}"
         with files.open_output_stream(own) as out:
             for batch in batches:
-                bodies = [b.decode("utf-8", "replace") for b in batch.column("body").to_pylist()]
-                for doc, ids_of in zip(batch.column("id").to_pylist(), model.encode(bodies)):
-                    found = np.concatenate([ids_of, tail])
+                bodies = model.encode(batch.column("body").to_pylist())
+                for doc, found in zip(batch.column("id").to_pylist(), bodies):
+                    found = np.concatenate([found, tail])
                     out.write(found.astype(kind).tobytes())
                     offsets.append(offsets[-1] + len(found))
                     ids.append(NO_ID if doc is None else doc)

@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from standwise.llm import bpe, chat, decontaminate, language, line_dedup, minhash, token_files, topk
+from standwise.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    language,
+    line_dedup,
+    minhash,
+    token_files,
+    topk,
+    toxicity,
+)
 from standwise.sources.staging import staging_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +49,17 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, place)
 
 
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from three quarters of the labels."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = language.fold("doc_id", 4) == 2
+    scorer = toxicity.fit(documents, labels.where(~held_out))
+    found = toxicity.score(documents, scorer, "doc_id", "text", held_out.alias("held_out"))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return found.select("doc_id", "held_out", "score", predicted)
+
+
 @query
 def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors of every fiftieth vector."""

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from standwise.llm import (
@@ -49,13 +49,21 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, place)
 
 
+def untrusted() -> Column:
+    """Whether a row's label is held out."""
+    return language.fold("doc_id", 4) == 2
+
+
+def trusted_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").where(~untrusted())
+
+
 @query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from three quarters of the labels."""
-    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    held_out = language.fold("doc_id", 4) == 2
-    scorer = toxicity.fit(documents, labels.where(~held_out))
-    found = toxicity.score(documents, scorer, "doc_id", "text", held_out.alias("held_out"))
+    documents = table(spark, folder, "documents")
+    scorer = toxicity.fit(documents, trusted_labels(spark, folder))
+    found = toxicity.score(documents, scorer, "doc_id", "text", untrusted().alias("held_out"))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
     return found.select("doc_id", "held_out", "score", predicted)
 

@@ -13,6 +13,7 @@ from standwise.llm import (
     language,
     line_dedup,
     minhash,
+    suffix_dedup,
     token_files,
     topk,
     toxicity,
@@ -160,6 +161,13 @@ select page_id, host, len(lines) as n_lines, len(lines) - len(kept) as n_dropped
 from kept
 """
 
+
+@query
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the strings that begin in an earlier one."""
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 INJECTED = "</s>[INST] ok [/INST]"
 
 

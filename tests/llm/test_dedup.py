@@ -36,6 +36,8 @@ def groups_by_brute_force(docs):
     keys = sorted(sets)
     for i, a in enumerate(keys):
         for b in keys[:i]:
+            if 100 * min(len(sets[a]), len(sets[b])) < 75 * max(len(sets[a]), len(sets[b])):
+                continue
             both = len(sets[a] & sets[b])
             if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 low, high = sorted((find(a), find(b)))

@@ -1,0 +1,191 @@
+"""Toxicity and language: the parts by themselves, and held-out accuracy."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from standwise.llm import language, toxicity
+from standwise.llm.queries import QUERIES, trusted_labels
+
+FOLDER = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, score double, row int, held_out int, body string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(k, t, g, 0.5, 1, 2, "x") for k, t, g in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def scorer(spark):
+    return toxicity.fit(spark.read.parquet(f"{FOLDER}/documents.parquet"), trusted_labels(spark, FOLDER))
+
+
+INSULTS = ["idiot", "loser", "moron", "scum", "clown", "trash", "pathetic"]
+
+
+@pytest.mark.parametrize("word", INSULTS)
+def test_disguised_words_are_restored(scorer, word):
+    signs = {"a": "@4", "e": "3", "i": "1!", "o": "0", "s": "$5", "t": "7+"}
+    draw = random.Random(word)
+    tool = scorer.restorer
+    assert tool.restore(word) == word
+    assert tool.restore(word.upper() + "!!!") == word
+    assert tool.restore(" ".join(word)) == word
+    assert tool.restore(".".join(word)) == word
+    assert tool.restore("-".join(word.upper())) == word
+    stretched = "".join(c * draw.choice([1, 3, 5]) for c in word)
+    assert tool.restore(stretched) == word
+    swaps = [i for i, c in enumerate(word) if c in signs and c not in "!+"]
+    for i in swaps:
+        sign = signs[word[i]][0 if word[i] not in "it" else 0]
+        assert tool.restore(word[:i] + sign + word[i + 1 :]) == word
+
+
+def test_disguise_does_not_lower_the_score(scorer):
+    clean = "in the of and to be is was " * 6
+    plain = scorer.score(clean + "idiot " + clean)
+    assert plain >= toxicity.THRESHOLD > scorer.score(clean)
+    for text in ("i d i o t", "1d10t", "iiidiooot", "I.D.I.O.T", "id!ot?"):
+        assert scorer.score(clean + text + " " + clean) >= toxicity.THRESHOLD
+
+
+def test_numbers_and_plain_words_stay(scorer):
+    assert scorer.restorer.restore("The 4040549990366437 of 12.5, and that!") == "the 4040549990366437 of 12.5 and that"
+    assert scorer.restorer.restore("") == "" == scorer.restorer.restore(" \n -- ").replace(" ", "")
+    long = "x1" * 20000
+    assert len(scorer.restorer.restore(long)) >= 1
+
+
+def test_the_cheapest_path_is_found(scorer):
+    """Viterbi against all readings of short pieces."""
+    tool, model = scorer.restorer, scorer.restorer.model
+
+    def readings(text):
+        found = [("", 0.0)]
+        i = 0
+        while i < len(text):
+            j = i
+            while j < len(text) and text[j] == text[i]:
+                j += 1
+            options = tool._options(text[i], j - i)
+            found = [(a + b, x + y) for a, x in found for b, y in options]
+            i = j
+        return found
+
+    def cost(word):
+        total, a, b = 0.0, 0, 0
+        for c in word + " ":
+            k = 0 if c == " " else model.of(c)
+            if k == 0 and b == 0:
+                continue
+            total += tool.cost[a][b][k]
+            a, b = (0, 0) if k == 0 else (b, k)
+        return total
+
+    for text in ("1d10t", "s.t", "l00ser", "aab1", "m 0 r", "$$t1", "o-1-e", "zz9"):
+        best = min(extra + cost(word) for word, extra in readings(text))
+        told = tool.decode(text)
+        same = [extra + cost(word) for word, extra in readings(text) if " ".join(word.split()) == " ".join(told.split())]
+        assert min(same) == pytest.approx(best, abs=1e-3)
+
+
+def test_scores_of_a_table(spark, scorer):
+    rows = [(1, None, None), (2, "", ""), (3, "idiot " * 3, "en"), (3, "idiot " * 3, "en"), (None, "moron", None), (4, "the of", "")]
+    found = toxicity.score(table(spark, rows), scorer, "doc_id", "text", F.lit(True).alias("mark"))
+    got = sorted((str(r.doc_id), r.mark, r.score >= 0.3) for r in found.collect())
+    assert got == [("1", True, False), ("2", True, False), ("3", True, True), ("3", True, True), ("4", True, False), ("None", True, True)]
+    kept = toxicity.drop_toxic(table(spark, rows), scorer)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4] and kept.columns == table(spark, rows).columns
+
+
+def test_nothing_to_learn_from(spark):
+    df = table(spark, [(1, "a b", None), (2, None, None)])
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    tool = toxicity.fit(df, none)
+    assert [r.score for r in toxicity.score(df, tool).collect()] == [0.0, 0.0]
+    empty = toxicity.fit(table(spark, []), none)
+    assert toxicity.score(table(spark, []), empty).count() == 0
+    twice = spark.createDataFrame([(1, 0), (1, 1), (1, None), (None, 1), (2, None)], "doc_id long, toxic int")
+    assert toxicity.fit(df, twice).base == 1.0
+
+
+def test_toxicity_held_out(spark):
+    found = QUERIES["op3_toxicity"](spark, FOLDER)
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").select("doc_id", "toxic")
+    rows = found.where("held_out").join(labels, "doc_id").collect()
+    right = sum(r.predicted == r.toxic for r in rows)
+    assert right / len(rows) > 0.9
+    assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
+def test_gradients():
+    network = language.Network(["a", "b"], states=3)
+    draw = np.random.default_rng(0)
+    rows = draw.integers(60, 70, (4, language.WIDTH)).astype("u1")
+    labels = np.array([0, 1, 0, 1])
+    for name in network.NAMES:
+        setattr(network, name, getattr(network, name).astype("f8"))
+    _, found = network.gradients(rows, labels)
+    for name, gradient in zip(network.NAMES, found):
+        weights = getattr(network, name)
+        for place in np.argsort(-np.abs(gradient), axis=None)[:3]:
+            i = np.unravel_index(place, weights.shape)
+            kept, losses = weights[i], []
+            for step in (1e-3, -1e-3):
+                weights[i] = kept + step
+                losses.append(network.gradients(rows, labels)[0])
+            weights[i] = kept
+            assert gradient[i] == pytest.approx((losses[0] - losses[1]) / 2e-3, rel=1e-2, abs=1e-6)
+
+
+def test_windows_cover_every_byte_once():
+    body = bytes(range(65, 91)) * 40
+    for n in (1, 63, 64, 65, 128, 1000):
+        rows, new = language.windows(body[:n])
+        told = b"".join(r.tobytes()[language.WIDTH - k :] for r, k in zip(rows, new))
+        assert told == body[:n] and new.sum() == n
+    rows, new = language.windows(b"")
+    assert rows.shape == (1, language.WIDTH) and new.tolist() == [1]
+
+
+LETTERS = {"xx": "abcde ", "yy": "uvwxyz ", "zz": "éèñöü "}
+
+
+def invented(seed, n):
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = draw.choice(sorted(LETTERS))
+        rows.append((i, "".join(draw.choice(LETTERS[lang]) for _ in range(draw.randint(20, 300))), lang))
+    return rows
+
+
+def test_identify(spark, monkeypatch):
+    monkeypatch.setattr(language, "EPOCHS", 15)
+    rows = invented(1, 150)
+    known = table(spark, rows[:100] + [(500, "a b c", None), (501, None, "qq")])
+    more = rows + [(200, None, "xx"), (201, "", None), (202, "12 34 !?", "yy"), (203, "b" * 50000, ""), rows[3]]
+    found = language.identify(table(spark, more), known, more=(F.lit(False).alias("held_out"),))
+    by = {r.doc_id: r for r in found.collect()}
+    assert found.count() == len(more) and found.columns == ["doc_id", "lang_pred", "score", "held_out"]
+    assert all(0 <= r.score <= 1 for r in by.values())
+    assert [by[k].lang_pred for k in (200, 201, 202)] == ["und"] * 3
+    right = sum(by[k].lang_pred == lang for k, _, lang in rows[100:])
+    assert right >= 48
+    again = language.identify(table(spark, more), known.repartition(3))
+    assert {r.doc_id: r.lang_pred for r in again.collect()} == {k: r.lang_pred for k, r in by.items()}
+
+
+def test_language_without_a_sample(spark):
+    found = language.identify(table(spark, [(1, "abc", "x")]), table(spark, [])).first()
+    assert (found.lang_pred, found.score) == ("und", 0.0)
+    assert language.identify(table(spark, []), table(spark, [])).count() == 0
+
+
+def test_language_held_out(spark):
+    found = QUERIES["op5_language"](spark, FOLDER)
+    langs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
+    rows = found.where("held_out").join(langs, "doc_id").where("lang is not null").collect()
+    assert sum(r.lang_pred == r.lang for r in rows) / len(rows) > 0.95

@@ -74,10 +74,11 @@ def windows_by_brute_force(docs, items, window):
     out = []
     for key, text in docs:
         w, hit, names = words(text), set(), set()
-        for gram, owners in found.items():
-            for i in range(len(w) - len(gram) + 1):
-                if tuple(w[i : i + len(gram)]) == gram:
-                    hit |= set(range(i, i + len(gram)))
+        for length in {len(gram) for gram in found}:
+            for i in range(len(w) - length + 1):
+                owners = found.get(tuple(w[i : i + length]))
+                if owners:
+                    hit |= set(range(i, i + length))
                     names |= owners
         out.append((key, len(w), len(hit), sorted(names), bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=str)

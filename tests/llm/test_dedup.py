@@ -224,7 +224,8 @@ def shared_passages(seed):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_suffix_dedup(spark, seed):
     docs = shared_passages(seed)
-    docs += [(70, None), (71, ""), (72, "a" * 49), (73, "a" * 50), (74, "a" * 400), (75, "ab" * 300), (76, "ab" * 40)]
+    docs += [(60, "xyxy" + "ab c" * 90), (61, "ab c" * 40 + "q" + "ab c" * 50), (62, "éé" * 70)]
+    docs += [(63, "b" + "éé" * 60 + "ab c" * 30), (70, None), (71, ""), (72, "a" * 49), (73, "a" * 50), (74, "a" * 400), (75, "ab" * 300), (76, "ab" * 40)]
     docs += [(None, docs[3][1] + "q" * 60), (None, "q" * 60), (5, docs[5][1]), (5, docs[6][1] + docs[9][1])]
     df = table(spark, [(k, t, "") for k, t in docs]).repartition(4)
     found = suffix_dedup.remove_repeats(df)
@@ -246,6 +247,7 @@ def test_names_that_go_on_over_batches(monkeypatch, held, batch):
     draw = random.Random(held)
     rows = sorted({(draw.randint(0, 3), draw.randint(0, 4) << 48, draw.randint(0, 5), draw.randint(0, 3) << 27) for _ in range(60)})
     columns = [np.array(x, np.int64) for x in zip(*rows)]
+    columns.append(np.ones(len(rows), np.int64))
 
     def told(parts):
         reader, found = suffix_dedup._Reader(True), {0: set(), 1: set()}
@@ -262,6 +264,19 @@ def test_names_that_go_on_over_batches(monkeypatch, held, batch):
     assert cut[0] == whole[0] and cut[1] >= whole[1]
 
 
+def test_equal_steps_are_sent_once():
+    start = np.array([3, 10, 17, 24, 40, 41, 43, 50, 57, 64, 3, 5])
+    key = np.array([1] * 10 + [2, 2])
+    one = np.full(12, 7, np.uint64)
+    out = suffix_dedup._rows(one, one, key, suffix_dedup._span(start, 0, 2, 0))
+    span, times = out.column("span").to_numpy(), out.column("times").to_numpy()
+    assert out.num_rows < 8
+    back, count = suffix_dedup._unspan(span, times)
+    assert sorted(back.tolist()) == sorted(start.tolist()) and set(count.tolist()) == {2}
+    settled = (span & 1 == 1).tolist()
+    assert settled == [k == 2 for k in out.column("id").to_pylist()]
+
+
 def test_runs_cover_every_string_once():
     data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
     _, _, start, count = suffix_dedup.runs(data)

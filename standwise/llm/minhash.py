@@ -11,6 +11,9 @@ with each other: each is compared with the member of the smallest id. The docume
 tables that these links leave in several parts are then joined across the parts by their
 rarest shingles, which misses no link. So every candidate pair is confirmed, refuted or
 already joined through others, and a group of n copies costs some n comparisons.
+
+What rows with hot keys are joined to has one row for each key, and is staged before, so
+that Spark can split the partition of a hot key.
 """
 
 import hashlib
@@ -144,7 +147,7 @@ def tables(classes: DataFrame) -> DataFrame:
     first = classes.select("id", F.posexplode("first").alias("band", "part"))
     first = first.select("id", F.xxhash64("band", "part").alias("part"))
     shared = first.groupBy("part").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = shared.where("low < high").select("part")
+    shared = stage(shared.where("low < high").select("part"))
     own = first.join(shared, "part").groupBy("id").agg(F.collect_set("part").alias("parts"))
     pairs = own.join(classes.select("id", "second"), "id")
     pairs = pairs.select("id", "second", F.explode("parts").alias("part"))
@@ -155,7 +158,7 @@ def tables(classes: DataFrame) -> DataFrame:
 def led_pairs(members: DataFrame) -> DataFrame:
     """(a, b, n): each member with the smallest id of its table, and in how many tables."""
     leaders = members.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("high"))
-    leaders = leaders.where("b < high").select("key", "b")
+    leaders = stage(leaders.where("b < high").select("key", "b"))
     pairs = members.join(leaders, "key").where("id <> b")
     return pairs.groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("n"))
 
@@ -223,7 +226,7 @@ def _left_over(members: DataFrame, groups: DataFrame, bodies: DataFrame) -> Data
     """
     rows = _labelled(members, groups, "id", "part")
     mixed = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed = mixed.where("low < high").select("key")
+    mixed = stage(mixed.where("low < high").select("key"))
     open_ids = rows.join(mixed, "key").select("id", "part").distinct()
     texts_of = stage(bodies.join(open_ids, "id").select("id", "part", "body"))
 
@@ -317,7 +320,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = stage(components(links))
 
     labelled = _labelled(classes.select("class", "id"), groups, "id", "component")
-    known = labelled.groupBy("class").agg(F.min("component").alias("component"))
+    known = stage(labelled.groupBy("class").agg(F.min("component").alias("component")))
     out = found.select("id", "n_shingles", "class").join(known, "class", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(

@@ -245,7 +245,7 @@ def test_names_that_go_on_over_batches(monkeypatch, held, batch):
     look into, and the same repeats."""
     monkeypatch.setattr(suffix_dedup, "HELD", held)
     draw = random.Random(held)
-    rows = sorted({(draw.randint(0, 3), draw.randint(0, 4) << 48, draw.randint(0, 5), draw.randint(0, 3) << 27) for _ in range(60)})
+    rows = sorted({(draw.randint(0, 3), draw.randint(0, 4) << 28 | draw.randint(0, 2), draw.randint(0, 5), draw.randint(0, 3) << 27) for _ in range(60)})
     columns = [np.array(x, np.int64) for x in zip(*rows)]
     columns.append(np.ones(len(rows), np.int64))
 

@@ -9,16 +9,19 @@ from standwise.operators import documents, overlay, pages
 from standwise.sources import binding as b
 
 PARAGRAPH = r"(?s)<p>(.*?)</p>"
-ARTICLE = r"(?s)<article>(.*?)</article>"
 ITEM = r"(?s)<li>(.*?)</li>"
 WORD = r"([^ \t\r\n]+)"
 
 STRIP_TAGS = "trim(regexp_replace({0}, '<[^>]*>', '', 'g'))"
 
+# The references that occur in the given pages.
+RESOLVED = [("&nbsp;", chr(160)), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"), ("&gt;", ">")]
+RESOLVED += [("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]
+
 
 def unescaped(expr: str) -> str:
-    for name, char in tx.ENTITIES:
-        expr = f"replace({expr}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for name, char in RESOLVED:
+        expr = f"replace({expr}, '{name}', '{char}')"
     return expr
 
 
@@ -40,14 +43,11 @@ def page_widest_container(t):
       w[len(w)] as last_cell from (
       select page_id, i, regexp_extract_all(body, '{WORD}', 1) as w from (
         select page_id, unnest(c) as body, generate_subscripts(c, 1) as i from (
-          select page_id, regexp_extract_all(regexp_extract(html, '{ARTICLE}', 1),
-            '{PARAGRAPH}', 1) as c from pages)))
+          select page_id, regexp_extract_all(html, '{PARAGRAPH}', 1) as c from pages)))
     where len(w) >= 12""",
 )
 def page_rows_min_cells(t):
-    bodies = t.read("pages").select(
-        "page_id", F.regexp_extract("html", ARTICLE, 1).alias("body")
-    )
+    bodies = t.read("pages").select("page_id", F.col("html").alias("body"))
     rows = pages.rows_min_cells(
         pages.container_rows(bodies, ["page_id"], PARAGRAPH, WORD), 12
     )
@@ -65,14 +65,11 @@ def page_rows_min_cells(t):
     f"""select page_id, (i-1)::int as row_at, w[1] as first_cell from (
       select page_id, i, regexp_extract_all(body, '{WORD}', 1) as w from (
         select page_id, unnest(c) as body, generate_subscripts(c, 1) as i from (
-          select page_id, regexp_extract_all(regexp_extract(html, '{ARTICLE}', 1),
-            '{PARAGRAPH}', 1) as c from pages)))
+          select page_id, regexp_extract_all(html, '{PARAGRAPH}', 1) as c from pages)))
     where len(w) = 5""",
 )
 def page_rows_exact_cells(t):
-    bodies = t.read("pages").select(
-        "page_id", F.regexp_extract("html", ARTICLE, 1).alias("body")
-    )
+    bodies = t.read("pages").select("page_id", F.col("html").alias("body"))
     rows = pages.rows_exact_cells(
         pages.container_rows(bodies, ["page_id"], PARAGRAPH, WORD), 5
     )
@@ -94,6 +91,16 @@ def page_cell_text(t):
     return cells.select("page_id", "at", pages.cell_text(F.col("cell")).alias("text"))
 
 
+@query(
+    "page_text",
+    f"""select page_id, {unescaped("""regexp_replace(regexp_replace(html,
+      '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g')""")}
+      as text from pages""",
+)
+def page_text(t):
+    return pages.page_text(t.read("pages"))
+
+
 @query(
     "page_preferred_link",
     """with links as (
@@ -127,9 +134,8 @@ def mixed_text():
 @query(
     "text_leading_number",
     MODEL
-    + rf"""select match_id, {MIXED} as text, coalesce(
-      nullif(regexp_extract({MIXED}, '^\s*(\d+)(?:[+\-\s]|[A-Za-zÀ-ú])', 1), ''),
-      regexp_replace({MIXED}, '(?s)\D.*', '')) as number from raw""",
+    + f"""select match_id, {MIXED} as text, case when line%5=2 then '' else round end as number
+    from raw""",
 )
 def text_leading_number(t):
     return t.matches_raw.select(
@@ -151,16 +157,11 @@ def text_strip_digits(t):
     )
 
 
-FREE = """(home||case line%3 when 0 then ' '||home_goals||'x'||away_goals||' '
-    when 1 then ' '||home_goals||'  X '||away_goals||' ' else ' no score ' end||away)"""
-
-
 @query(
     "text_score",
     MODEL
-    + rf"""select match_id, nullif(regexp_extract({FREE}, '(\d+)\s*[xX]\s*(\d+)', 1), '') as h,
-      nullif(regexp_extract({FREE}, '(\d+)\s*[xX]\s*(\d+)', 2), '') as a
-    from raw where home_goals is not null""",
+    + """select match_id, case when line%3<>2 then home_goals end as h,
+      case when line%3<>2 then away_goals end as a from raw where home_goals is not null""",
 )
 def text_score(t):
     line = F.col("line") % 3
@@ -190,12 +191,6 @@ def link_id(t):
     return t.matches_raw.select("match_id", tx.link_id(href, "/games/league/").alias("id"))
 
 
-GAME = """(case when line=1 then home||' x '||away
-    when line=2 then home||'  '||home_goals||' x '||away_goals||'   '||away
-    when line=3 then home||' x '||away||' x '||city when line=4 then home||' vs '||away
-    else coalesce(home||' '||home_goals||' x '||away_goals||' '||away, home||' x '||away) end)"""
-
-
 def game_text():
     line = F.col("line")
     score = F.concat_ws(" x ", "home_goals", "away_goals")
@@ -212,18 +207,9 @@ def game_text():
 @query(
     "game_text_parse",
     MODEL
-    + rf""", g as (select match_id, venue, {GAME} as game from raw),
-    p as (select *, regexp_matches(game, '^(.+?)\s+(\d+)\s+x\s+(\d+)\s+(.+)$') as played from g)
-    select match_id, venue,
-      trim(case when played then regexp_extract(game, '^(.+?)\s+(\d+)\s+x\s+(\d+)\s+(.+)$', 1)
-        else regexp_extract(game, '^(.+?)\s+x\s+(.+)$', 1) end) as home,
-      case when played then regexp_extract(game, '^(.+?)\s+(\d+)\s+x\s+(\d+)\s+(.+)$', 2) end
-        as home_goals,
-      case when played then regexp_extract(game, '^(.+?)\s+(\d+)\s+x\s+(\d+)\s+(.+)$', 3) end
-        as away_goals,
-      trim(case when played then regexp_extract(game, '^(.+?)\s+(\d+)\s+x\s+(\d+)\s+(.+)$', 4)
-        else regexp_extract(game, '^(.+?)\s+x\s+(.+)$', 2) end) as away
-    from p where played or regexp_matches(game, '^(.+?)\s+x\s+(.+)$')""",
+    + """select match_id, venue, home, case when line not in (1,3) then home_goals end as home_goals,
+      case when line not in (1,3) then away_goals end as away_goals,
+      case when line=3 then away||' x '||city else away end as away from raw where line<>4""",
 )
 def game_text_parse(t):
     rows = t.matches_raw.select("match_id", "venue", game_text().alias("game"))

@@ -8,7 +8,7 @@ from standwise import schemas
 from standwise.functions import numbers as n
 from standwise.operators import keyed
 from standwise.operators.matches import coerce
-from standwise.plans import load
+from standwise.plans import load, pipeline
 from standwise.sources import binding as b
 from standwise.sources import files
 from standwise.sources.staging import staging_path
@@ -103,16 +103,25 @@ CSV_COLUMNS = ["match_id", "round", "match_date", "home", "away", "home_goals",
     "csv_roundtrip",
     MODEL
     + f"""select {', '.join(CSV_COLUMNS)}, case when line in (4,5) then null else kickoff end
-      as kickoff from raw""",
+      as kickoff, case line when 1 then '  '||home||' ' when 2 then home||chr(10)||' x '||away
+      when 3 then '"'||home||'", ""' end as note, null::varchar as absent from raw""",
 )
 def csv_roundtrip(t):
-    marked = (
-        F.when(F.col("line") == 4, "N/A").when(F.col("line") == 5, "nan").otherwise(F.col("kickoff"))
+    """Cells with line breaks, quotes and outer blanks, in a file with its own column order."""
+    line, home = F.col("line"), F.col("home")
+    kickoff = F.when(line == 4, "N/A").when(line == 5, "nan").otherwise(F.col("kickoff"))
+    note = (
+        F.when(line == 1, F.concat(F.lit("  "), home, F.lit(" ")))
+        .when(line == 2, F.concat(home, F.lit("\n x "), "away"))
+        .when(line == 3, F.concat(F.lit('"'), home, F.lit('", ""')))
+        .when(line == 6, "n/a")
+        .when(line == 7, "#N/A")
     )
-    rows = t.matches_raw.select(*CSV_COLUMNS, marked.alias("kickoff"))
+    rows = t.matches_raw.select(*CSV_COLUMNS, kickoff.alias("kickoff"), note.alias("note"))
     path = staging_path(t.spark, "csv")
-    files.write_csv(rows, path)
-    return files.read_csv(t.spark, path, rows.schema)
+    files.write_csv(rows.select(*reversed(rows.columns)), path)
+    wanted = schemas.struct(**{c: schemas.STR for c in (*rows.columns, "absent")})
+    return files.read_csv(t.spark, path, wanted)
 
 
 @query(
@@ -230,23 +239,59 @@ def store_overflow(t):
     "load_all",
     MODEL
     + """, counts as (
-      select 'standings' as "table", count(*) as r from standings
-      union all select 'matches', count(*) from matches
-      union all select 'finished', count(*) from finished
-      union all select 'team_stats', count(*) from team_stats
-      union all select 'recent_form', count(*) from recent_form
-      union all select 'scorers', count(*) from scorers)
-    select "table", 'loaded' as status, r as rows, 0::bigint as rejected, null::varchar as detail
+      select 'standings' as "table", count(*) as r, 0::bigint as rejected from standings
+      union all select 'matches', count(*) filter (state is null or length(state)<=2),
+        count(*) filter (length(state)>2) from matches
+      union all select 'finished', count(*) filter (state is null or length(state)<=2),
+        count(*) filter (length(state)>2) from finished
+      union all select 'team_stats', count(*), 0 from team_stats
+      union all select 'recent_form', count(*), 0 from recent_form
+      union all select 'scorers', count(*), 0 from scorers)
+    select "table", 'loaded' as status, r as rows, rejected, null::varchar as detail
     from counts union all select 'round_goals', 'skipped', null, null, null""",
 )
 def load_all(t):
-    short_state = F.substring("state", 1, 2)
+    """Every table as it is; rows with texts that a table cannot hold are counted as rejected."""
     tables = {
         "standings": t.standings,
-        "matches": t.stored_matches.withColumn("state", short_state),
-        "finished": t.stored_finished.withColumn("state", short_state),
+        "matches": t.stored_matches,
+        "finished": t.stored_finished,
         "team_stats": t.team_stats,
         "recent_form": t.recent_form,
         "scorers": t.scorers,
     }
     return load.load_all(t.spark, tables, staging_path(t.spark, "load"), moment())
+
+
+@query(
+    "whole_run",
+    MODEL
+    + """, late as (
+      select match_id, state, home_goals is not null or order_key%3=0 as known,
+        round from firsts),
+    teams as (select count(*) as n from standings),
+    good as (select * from late where state is null or length(state)<=2)
+    select * from (
+      select 'standings' as "table", n as rows, 0::bigint as rejected from teams
+      union all select 'matches', (select count(*) from good),
+        (select count(*) from late where length(state)>2)
+      union all select 'finished', (select count(*) from good where known),
+        (select count(*) from late where known and length(state)>2)
+      union all select 'team_stats', (select count(*) from totals), 0
+      union all select 'recent_form', (select count(distinct team) from recent_form), 0
+      union all select 'scorers', count(*), 0 from scorers
+      union all select 'round_goals', (select count(distinct round) from late where known), 0)""",
+)
+def whole_run(t):
+    """Raw tables and late scores in, the counts of every loaded table out."""
+    late = t.stored_first.filter(F.col("order_key") % 3 == 0)
+    goals = [(F.col("order_key") % 4).cast("string").alias("home_goals"), F.lit("1").alias("away_goals")]
+    raw = {
+        "matches": t.matches_raw,
+        "standings": t.standings_raw,
+        "scorers": t.scorers_raw,
+        "aliases": t.aliases,
+        "scores": late.select("match_id", F.lit(1).alias("seq"), *goals),
+    }
+    status = pipeline.run(t.spark, raw, staging_path(t.spark, "run"), b.SOURCE_ORDER, now=moment())
+    return status.select("table", "rows", "rejected")

@@ -6,13 +6,11 @@ from catalog.registry import query
 from catalog.season import probabilities
 from oracle.model import MODEL
 from standwise.operators import season
+from standwise.operators.season import SCENARIOS
 from standwise.plans import report
 from standwise.sources import files
 from standwise.sources.staging import staging_path
 
-N = 1000
-
-
 def zone(expr: str) -> str:
     return f"case when {expr}<=6 then 'top' when {expr}>=16 then 'drop' else 'mid' end"
 
@@ -22,10 +20,10 @@ def js(expr: str) -> str:
 
 
 def probable(t):
-    return season.season_probabilities(t.stored_standings, t.stored_matches, N)
+    return season.season_probabilities(t.stored_standings, t.stored_matches)
 
 
-PROB = f"with prob as ({probabilities(N)})"
+PROB = f"with prob as ({probabilities(SCENARIOS)})"
 
 
 def kpi_sql(source: str) -> str:

@@ -7,8 +7,7 @@ from oracle.model import MODEL, even
 from standwise.functions import scoring
 from standwise.operators import matches as m
 from standwise.operators import season
-
-FEW = 200
+from standwise.operators.season import SCENARIOS
 
 SEASON = (
     MODEL
@@ -90,19 +89,25 @@ def odds(t):
     return season.fixture_odds(m.pending(t.stored_matches), base)
 
 
-@query("season_draws", draws(FEW) + "select * from draws")
+@query(
+    "season_draws",
+    draws(SCENARIOS)
+    + """select match_id, home, away, count(*) filter (outcome='H') as home_wins,
+      count(*) filter (outcome='T') as ties, count(*) filter (outcome='A') as away_wins
+    from draws group by match_id, home, away""",
+)
 def season_draws(t):
-    return season.season_draws(odds(t), FEW)
+    return season.outcome_counts(odds(t))
 
 
-@query("season_standings", draws(FEW) + "select * from ranks")
+@query("season_standings", draws(SCENARIOS) + "select * from ranks")
 def season_standings(t):
-    return season.season_standings(season.team_base(t.stored_standings), odds(t), FEW)
+    return season.season_standings(season.team_base(t.stored_standings), odds(t))
 
 
-@query("season_probabilities", probabilities(10_000))
+@query("season_probabilities", probabilities(SCENARIOS))
 def season_probabilities(t):
-    return season.season_probabilities(t.stored_standings, t.stored_matches, 10_000)
+    return season.season_probabilities(t.stored_standings, t.stored_matches)
 
 
 @query(
@@ -117,7 +122,7 @@ def season_probabilities(t):
       as position_now from base)""",
 )
 def season_no_pending(t):
-    return season.season_probabilities(t.stored_standings, t.stored_finished, 1000)
+    return season.season_probabilities(t.stored_standings, t.stored_finished)
 
 
 @query(

@@ -4,6 +4,9 @@ Patterns carry ``(?U)`` so that whitespace and digits of every script count, and
 missing match is null, not an empty string.
 """
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,15 +23,11 @@ LED_BY_NUMBER = r"(?U)^\s*(\d+)(?=[+\-\s]|[A-Za-zÀ-ú])"
 CLUB_AND_PLAYER = r"(?U)^(.+?-[A-Z]{2})\s*(.*?)$"
 CLUB_IN_FRONT = r"(?U)^.+?-[A-Z]{2}\s*"
 
-# The named characters a page may carry and what they stand for.
-ENTITIES = [
-    ("&nbsp;", "\u00a0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-]
+# A character reference: by decimal number, by hexadecimal number, or by name.
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+# Characters by the names of the HTML standard, as one constant map.
+NAMED = json.dumps({name[:-1]: char for name, char in html5.items() if name.endswith(";")})
 
 # Cell texts that stand for "no kickoff time yet".
 NO_KICKOFF = ["A def.", "None", ""]
@@ -43,10 +42,29 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     return blank_to_null(F.regexp_extract(text, pattern, group))
 
 
+def _character(reference: Column) -> Column:
+    """What a character reference stands for; null for unknown names and numbers."""
+    hexadecimal = F.when(
+        reference.rlike("^#[xX]"), F.substr(reference, F.lit(3))
+    ).when(
+        reference.startswith("#"), F.hex(F.substr(reference, F.lit(2)).try_cast("long"))
+    )
+    code = F.lpad(hexadecimal, 8, "0")
+    known = (code > "00000000") & (code <= "0010FFFF") & ~F.upper(code).between("0000D800", "0000DFFF")
+    named = F.try_element_at(F.from_json(F.lit(NAMED), "map<string,string>"), reference)
+    return F.when(known, F.decode(F.unhex(code), "UTF-32")).when(code.isNull(), named)
+
+
 def unescape(text: Column) -> Column:
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    """Text with its character references resolved; unknown ones stay as they are."""
+
+    def piece(part: Column, reference: Column) -> Column:
+        as_it_is = F.concat(F.lit("&"), reference, F.lit(";"))
+        return F.concat(part, F.coalesce(_character(reference), as_it_is, F.lit("")))
+
+    references = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1))
+    resolved = F.array_join(F.zip_with(F.split(text, REFERENCE), references, piece), "")
+    return F.when(F.contains(text, F.lit("&")), resolved).otherwise(text)
 
 
 def tag_text(html: Column, joiner: str = "") -> Column:

@@ -24,8 +24,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row of each key that comes last by ``order``; null keys form one group."""
-    return _pick(df, keys, [F.col(c).desc_nulls_first() for c in order])
+    """The row of each key that comes last by ``order``; null keys form one group.
+
+    A row without a place in the order comes before all that have one.
+    """
+    return _pick(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 def has_keys(keys: Sequence[str]) -> Column:
@@ -67,11 +70,27 @@ def upsert(
     The last source row by ``order`` wins within a key.  A replaced row takes over all
     columns: those the source lacks become null, and ``updated_at`` is set to ``now``.
     Source rows with a missing key part cannot be stored; ``has_keys`` tells them apart.
+    Target rows are kept as they are where no source row has their key.
+
+    Both tables go through one shuffle: per key, source rows rank before target rows, and
+    all target rows of a key rank alike.
     """
-    last = keep_last(source.filter(has_keys(keys)), keys, order)
-    fresh = _stamp(conform(last, target.schema), now)
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(fresh)
+    places = {f"_place{i}": F.col(c) for i, c in enumerate(order)}
+    usable = source.filter(has_keys(keys)).withColumns(places)
+    fresh = _stamp(conform(usable, T.StructType(target.schema.fields + _fields(usable, places))), now)
+    fresh = fresh.withColumns({"_new": F.lit(1), "_tie": F.monotonically_increasing_id()})
+    # A target row without a full key is a key of its own: nothing replaces it.
+    alone = F.when(has_keys(keys), F.lit(-1).cast("long")).otherwise(F.monotonically_increasing_id())
+    old = target.withColumns({"_new": F.lit(0), "_alone": alone})
+    both = fresh.withColumn("_alone", F.lit(-1).cast("long")).unionByName(old, allowMissingColumns=True)
+    last = [F.col(c).desc_nulls_last() for c in ("_new", *places, "_tie")]
+    per_key = Window.partitionBy(*keys, "_alone").orderBy(*last)
+    ranked = both.withColumn("_rank", F.rank().over(per_key)).filter(F.col("_rank") == 1)
+    return ranked.select(*target.columns)
+
+
+def _fields(df: DataFrame, names) -> list[T.StructField]:
+    return [f for f in df.schema.fields if f.name in names]
 
 
 def replace(

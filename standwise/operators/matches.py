@@ -151,7 +151,8 @@ def clean_scorers(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     )
     ranking = [F.desc("goals"), F.asc("player"), F.asc("club"), *[F.asc(c) for c in order]]
     ranked = global_rank(typed.drop("position"), ranking, "position")
-    return ranked.select("position", "player", "goals", "club")
+    # The rank is counted as a long; the table of scorers holds it as an integer.
+    return ranked.select(F.col("position").cast("int"), "player", "goals", "club")
 
 
 def audit(matches: DataFrame, finished: DataFrame) -> DataFrame:

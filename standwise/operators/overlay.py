@@ -15,22 +15,35 @@ REACH = 40
 # Parts a pair of names is spread over when it is joined to the scores near it.
 SALTS = 16
 
+# Pairs with a score that may be broadcast, some dozens of bytes each.
+BROADCAST_PAIRS = 200_000
+
 # A whole number, a cross, and the start of another number.
 SCORE_START = r"(?U)(?<!\d)(\d+)\s*[xX]\s*(?=\d)"
 
 
 def scores_of_blocks(blocks: DataFrame) -> DataFrame:
-    """Scores by id from (seq, id_text, text) blocks; ids lose their leading zeros."""
+    """Scores by id from (seq, id_text, text) blocks; ids lose their leading zeros.
+
+    Blocks of several pages have a ``page_id``, which comes before ``seq`` in their order.
+    """
     home, away = score_in_text(F.col("text"))
     ids = strip_zeros(F.trim("id_text"))
     return blocks.select(
-        ids.alias("match_id"), "seq", home.alias("home_goals"), away.alias("away_goals")
+        ids.alias("match_id"),
+        *_order(blocks),
+        home.alias("home_goals"),
+        away.alias("away_goals"),
     ).filter(F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull())
 
 
+def _order(scores: DataFrame) -> list[str]:
+    return [c for c in ("page_id", "seq") if c in scores.columns]
+
+
 def last_scores(scores: DataFrame) -> DataFrame:
-    """The last score of each id by ``seq``."""
-    last = keep_last(scores, ["match_id"], ["seq", *GOALS])
+    """The last score of each id by page, if known, and ``seq``."""
+    last = keep_last(scores, ["match_id"], [*_order(scores), *GOALS])
     return last.select("match_id", *[F.col(c).alias(f"new_{c}") for c in GOALS])
 
 
@@ -50,34 +63,41 @@ def has_overlap(matches: DataFrame, scores: DataFrame) -> bool:
     return not matches.join(scores, "match_id", "left_semi").isEmpty()
 
 
-def score_hits(texts: DataFrame) -> DataFrame:
-    """Each score in (page_id, text) rows with the text to its left and right.
+def score_hits(texts: DataFrame, reach: Column) -> DataFrame:
+    """Each score in (page_id, text) rows with up to ``reach`` characters on either side.
 
-    The text is cut at the scores, so the pieces on both sides of a score are its
-    surroundings; a piece after a score starts with the away goals.  Each side reaches
-    over one more score, for names that run into it.
+    The text is cut at the scores; a piece after a score starts with the away goals. As
+    many pieces are put together again on each side as ``reach`` characters can span, so a
+    name may itself hold scores.
     """
     number = r"(?U)^\d+"
     parts = F.split("text", SCORE_START)
     starts = F.regexp_extract_all("text", F.lit(SCORE_START), F.lit(0))
-    cut = texts.select("page_id", parts.alias("parts"), starts.alias("starts"))
+    cut = texts.select("page_id", parts.alias("parts"), starts.alias("starts"), reach.alias("reach"))
+    # Part, start, part, start, ...: a score's start stands at an odd place.
+    both = F.flatten(
+        F.transform("parts", lambda part, at: F.array(part, F.coalesce(F.get("starts", at), F.lit(""))))
+    )
+    cut = cut.withColumn("whole", both)
+    # A score and the piece before it hold two characters at least.
+    span = F.col("reach") + 2
 
     def surroundings(start: Column, at: Column) -> Column:
-        def piece(name: str, step: int) -> Column:
-            return F.coalesce(F.get(name, at + step), F.lit(""))
-
-        before = F.concat(piece("parts", -1), piece("starts", -1), piece("parts", 0))
-        after = F.concat(
-            piece("parts", 1),
-            piece("starts", 1),
-            piece("parts", 2),
-            F.regexp_extract(piece("starts", 2), number, 0),
+        first = F.greatest(F.lit(0), at * 2 + 1 - span)
+        near = lambda x: F.right(x, F.col("reach"))
+        before = F.transform(F.slice("whole", first + 1, at * 2 + 1 - first), near)
+        after = F.transform(F.slice("whole", at * 2 + 3, span), lambda x: F.left(x, F.col("reach") + 20))
+        return F.struct(
+            start.alias("start"),
+            F.right(F.array_join(before, ""), F.col("reach")).alias("before"),
+            F.array_join(after, "").alias("after"),
         )
-        return F.struct(start.alias("start"), before.alias("before"), after.alias("after"))
 
     # The pieces are put together inside the page's row, so that exploding its scores
     # does not repeat the page for each of them.
-    hits = cut.select("page_id", F.posexplode(F.transform("starts", surroundings)).alias("at", "hit"))
+    hits = cut.select(
+        "page_id", "reach", F.posexplode(F.transform("starts", surroundings)).alias("at", "hit")
+    )
     after = F.col("hit.after")
     return hits.select(
         "page_id",
@@ -85,7 +105,7 @@ def score_hits(texts: DataFrame) -> DataFrame:
         F.regexp_extract("hit.start", number, 0).alias("home_goals"),
         F.regexp_extract(after, number, 0).alias("away_goals"),
         F.lower("hit.before").alias("left"),
-        F.lower(F.regexp_replace(after, number, "")).alias("right"),
+        F.lower(F.left(F.regexp_replace(after, number, ""), F.col("reach"))).alias("right"),
     )
 
 
@@ -95,16 +115,16 @@ def _lengths(words: DataFrame, column: str) -> Column:
 
 
 def _words_before(hits: DataFrame) -> DataFrame:
-    """One row per text of a known length ending at most ``REACH`` non-digits before a score."""
+    """(page_id, at, home_word): texts of known lengths that end at most ``REACH``
+    non-digits before a score."""
     left, n, skip = F.col("left"), F.col("n"), F.col("skip")
     gap = F.length(F.regexp_extract(F.right(left, F.lit(REACH)), r"[^0-9]*$", 0))
     skips = F.sequence(F.lit(0), F.least(gap, F.length(left) - n))
     return (
-        hits.withColumn("n", F.explode("home_lengths"))
+        hits.select("page_id", "at", "left", F.explode("home_lengths").alias("n"))
         .filter(n <= F.length(left))
         .withColumn("skip", F.explode(skips))
-        .withColumn("home_word", F.substring(left, F.length(left) - skip - n + 1, n))
-        .drop("left", "home_lengths", "n", "skip")
+        .select("page_id", "at", F.substring(left, F.length(left) - skip - n + 1, n).alias("home_word"))
     )
 
 
@@ -116,37 +136,41 @@ def _words_after(hits: DataFrame) -> DataFrame:
         hits.withColumn("n", F.explode("away_lengths"))
         .withColumn("skip", F.explode(F.sequence(F.lit(0), gap)))
         .withColumn("away_word", F.substring(right, skip + 1, n))
-        .drop("right", "away_lengths", "n", "skip")
+        .drop("left", "right", "home_lengths", "away_lengths", "n", "skip")
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Every row once for each salt."""
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def pair_scores(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """First score in the texts for each (home_word, away_word), in lower case.
 
     A score counts for a pair when the home word ends shortly before it and the away word
     starts shortly after it, with no digit in between.  The candidate words around each
-    score are joined to the wanted words by equality, home words first.  The numbers of
-    a score are taken whole: a word never ends or starts inside one.
+    score are joined to the wanted words by equality, home words first, and only scores
+    with a home word go on to be joined by both.  Words that stand near a large share of
+    all scores are spread by a salt.  The numbers of a score are taken whole: a word never
+    ends or starts inside one.
     """
-    homes = pairs.select("home_word").distinct()
-    hits = score_hits(texts).withColumns(
-        {
-            "home_lengths": _lengths(pairs, "home_word"),
-            "away_lengths": _lengths(pairs, "away_word"),
-        }
-    )
-    # Only as much of the surroundings as a word within reach can take up goes on.
-    near = hits.withColumns(
-        {
-            "left": F.right("left", F.array_max("home_lengths") + REACH),
-            "right": F.left("right", F.array_max("away_lengths") + REACH),
-            "salt": F.pmod(F.hash("page_id", "at"), F.lit(SALTS)),
-        }
+    longest = F.greatest(F.max(F.length("home_word")), F.max(F.length("away_word")))
+    reach = pairs.agg((F.coalesce(longest, F.lit(0)) + REACH).alias("reach")).scalar()
+    # Two joins read them, with the page text worked through once.
+    hits = stage(
+        score_hits(texts, reach).withColumns(
+            {
+                "home_lengths": _lengths(pairs, "home_word"),
+                "away_lengths": _lengths(pairs, "away_word"),
+            }
+        )
     )
-    near_home = _words_before(near).join(homes, "home_word")
-    # A pair may be named near a large share of all scores, so each pair is spread.
-    spread = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    near_both = _words_after(near_home).join(spread, ["home_word", "away_word", "salt"])
+    salt = F.pmod(F.hash("page_id", "at"), F.lit(SALTS))
+    homes = _spread(pairs.select("home_word").distinct())
+    before = _words_before(hits).withColumn("salt", salt).join(homes, ["home_word", "salt"])
+    near_home = hits.join(before.distinct(), ["page_id", "at"])
+    near_both = _words_after(near_home).join(_spread(pairs), ["home_word", "away_word", "salt"])
 
     place = F.struct("page_id", "at")
     per_salt = near_both.groupBy("home_word", "away_word", "salt").agg(
@@ -177,25 +201,33 @@ def overlay_text(matches: DataFrame, texts: DataFrame) -> DataFrame:
     )
     # The pairs are few and used several times, so they are worked out once.
     found = pair_scores(texts, stage(open_pairs.dropna()))
-    joined = named.join(found, ["home_word", "away_word"], "left")
+    found = stage(found)
+    # A pair may be that of many matches: few pairs are broadcast, many are spread.
+    if found.count() <= BROADCAST_PAIRS:
+        joined = named.join(F.broadcast(found), ["home_word", "away_word"], "left")
+    else:
+        salted = named.withColumn("salt", F.pmod(F.hash("match_id"), F.lit(SALTS)))
+        joined = salted.join(_spread(found), ["home_word", "away_word", "salt"], "left")
     unknown = F.col("home_goals").isNull()
     only_open = {f"new_{c}": F.when(unknown, F.col(f"new_{c}")) for c in GOALS}
     return _replace_goals(joined.withColumns(only_open), matches.columns)
 
 
 def overlay_tiers(
-    matches: DataFrame, by_id: DataFrame, by_link: DataFrame, texts: DataFrame
+    matches: DataFrame,
+    by_id: DataFrame | None = None,
+    by_link: DataFrame | None = None,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """Scores by id; if those touch no match, scores by link; failing both, by page text.
 
-    Which tier applies is settled by a look for the first overlap, so the page texts are
-    read only when they are needed.
+    A tier that is not given touches no match. Which tier applies is settled by a look for
+    the first overlap, so the page texts are read only when they are needed.
     """
-    if has_overlap(matches, by_id):
-        return overlay_scores(matches, by_id)
-    if has_overlap(matches, by_link):
-        return overlay_scores(matches, by_link)
-    return overlay_text(matches, texts)
+    for scores in (by_id, by_link):
+        if scores is not None and has_overlap(matches, scores):
+            return overlay_scores(matches, scores)
+    return matches if texts is None else overlay_text(matches, texts)
 
 
 def overlay_audit(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -21,15 +21,15 @@ from standwise.functions.text import (
 )
 from standwise.operators.keyed import keep_first
 
-# Markup of tables, rows, cells and the parts looked for in a cell.
-TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
-ROW = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
+# The elements of a table, and markup looked for in a cell.
+TABLE, ROW, CELL = "table", "tr", "td"
 HEADER = r"(?is)<th\b[^>]*>"
 LINK = r"(?is)<a\b[^>]*>(.*?)</a>"
 STRONG = r"(?is)<strong\b[^>]*>(.*?)</strong>"
-IMAGE_TITLE = r'(?is)<img\b[^>]*\btitle="([^"]*)"'
-HREF = r'(?is)<a\b[^>]*\bhref="([^"]*)"'
+# A value in double quotes, in single quotes, or bare.
+VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+IMAGE_TITLE = rf"(?is)<img\b[^>]*?\btitle\s*=\s*{VALUE}"
+HREF = rf"(?is)<a\b[^>]*?\bhref\s*=\s*{VALUE}"
 
 # What the cells of a standings row after the team cell hold.
 STANDINGS_CELLS = [
@@ -51,12 +51,59 @@ def pieces(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+def elements(html: Column, tag: str) -> Column:
+    """What stands between the tags of every element of a kind, in order of their openings.
+
+    Elements within elements of the same kind count too; one that is never closed ends
+    where the next one opens, or at the end. Tags are paired by array expressions only
+    where they do not simply alternate.
+    """
+    mark = rf"(?i)</?{tag}\b[^>]*>"
+    tags, parts = pieces(html, mark, 0), F.split(html, mark)
+    closing = lambda t: F.startswith(t, F.lit("</"))
+    simple = F.forall(
+        F.transform(tags, lambda t, at: closing(t) == (at % 2 == 1)), lambda ok: ok
+    ) & (F.size(tags) % 2 == 0)
+    steps = F.transform(tags, lambda t: F.when(closing(t), -1).otherwise(1))
+
+    def body(at: Column) -> Column:
+        """From the tag at a place to the one that closes it."""
+        depths = F.transform(
+            F.sequence(at, F.size(tags) - 1),
+            lambda k: F.aggregate(F.slice(steps, at + 1, k - at + 1), F.lit(0), lambda n, x: n + x),
+        )
+        closed = F.array_position(depths, 0).cast("int")
+        opened = F.array_position(F.slice(steps, at + 2, F.size(tags)), 1).cast("int")
+        end = F.when(closed > 0, at + closed - 1).when(opened > 0, at + opened).otherwise(F.size(tags))
+        inside = F.transform(
+            F.sequence(at + 1, end),
+            lambda k: F.concat(
+                F.get(parts, k), F.when(k < end, F.coalesce(F.get(tags, k), F.lit(""))).otherwise("")
+            ),
+        )
+        return F.array_join(inside, "")
+
+    places = F.transform(tags, lambda t, at: F.when(~closing(t), at))
+    nested = F.transform(F.filter(places, lambda at: at.isNotNull()), body)
+    return F.when(simple, pieces(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\b[^>]*>")).otherwise(nested)
+
+
+def parts_of(html: Column, what: str) -> Column:
+    """Elements of a kind, where ``what`` is its name, else the first groups of a pattern."""
+    return elements(html, what) if what.isalnum() else pieces(html, what)
+
+
+def attribute(text: Column) -> Column:
+    """An attribute's value without its quotes, character references resolved."""
+    return unescape(F.regexp_replace(text, r"""^["']|["']$""", ""))
+
+
 def widest_container(
     pages: DataFrame, container: str = TABLE, header: str = HEADER
 ) -> DataFrame:
     """Per page the container with most headers, the first among equals."""
     scored = F.transform(
-        pieces(F.col("html"), container),
+        parts_of(F.col("html"), container),
         lambda body, at: F.struct(
             F.size(pieces(body, header, 0)).alias("width"),
             (-at).alias("minus_at"),
@@ -79,8 +126,8 @@ def container_rows(
     bodies: DataFrame, keep: Sequence[str], row: str = ROW, cell: str = CELL
 ) -> DataFrame:
     """The rows of each container, in order, as arrays of cell markup."""
-    rows = bodies.select(*keep, F.posexplode(pieces(F.col("body"), row)).alias("row_at", "row"))
-    return rows.select(*keep, "row_at", pieces(F.col("row"), cell).alias("cells"))
+    rows = bodies.select(*keep, F.posexplode(parts_of(F.col("body"), row)).alias("row_at", "row"))
+    return rows.select(*keep, "row_at", parts_of(F.col("row"), cell).alias("cells"))
 
 
 def rows_min_cells(rows: DataFrame, n: int) -> DataFrame:
@@ -112,7 +159,7 @@ def team_name(html: Column) -> Column:
 
 def team_position(html: Column) -> Column:
     """Digits of the emphasised part of a cell, else those its text starts with."""
-    emphasised = first_match(F.regexp_extract(html, STRONG, 1), r"(?U)(\d+)")
+    emphasised = first_match(tag_text(F.regexp_extract(html, STRONG, 1)), r"(?U)(\d+)")
     bare = unescape(F.regexp_replace(html, r"<[^>]*>", ""))
     return F.when(has(html, STRONG), F.coalesce(emphasised, F.lit(""))).otherwise(
         strip(leading_number(bare))
@@ -171,15 +218,15 @@ def split_scorers(rows: DataFrame) -> DataFrame:
 
 
 def dedup_scorers(scorers: DataFrame, order: Sequence[str]) -> DataFrame:
-    """First row per position and player, by ``order``."""
+    """First row per position and player, by ``order``; sorted by position."""
     first = keep_first(scorers, ["position", "player"], order)
-    return first.select("position", "player", "goals", "club")
+    return first.select("position", "player", "goals", "club").orderBy("position", "player")
 
 
 def scorers_from_pages(pages: DataFrame, cells: int = 5) -> DataFrame:
     """Scorers from every table row of exactly ``cells`` cells, without repeats."""
     tables = pages.select(
-        "page_id", F.posexplode(pieces(F.col("html"), TABLE)).alias("table_at", "body")
+        "page_id", F.posexplode(elements(F.col("html"), TABLE)).alias("table_at", "body")
     )
     rows = rows_exact_cells(container_rows(tables, ["page_id", "table_at"]), cells)
 
@@ -193,7 +240,7 @@ def scorers_from_pages(pages: DataFrame, cells: int = 5) -> DataFrame:
         tag_text(cell(0)).alias("position"),
         tag_text(cell(2)).alias("goals"),
         cell_text(cell(1)).alias("raw_name"),
-        unescape(first_match(cell(3), IMAGE_TITLE)).alias("title"),
+        attribute(first_match(cell(3), IMAGE_TITLE)).alias("title"),
         tag_text(cell(3)).alias("club_cell"),
     )
     return dedup_scorers(split_scorers(texts), ["page_id", "table_at", "row_at"])
@@ -203,9 +250,8 @@ def preferred_link(
     pages: DataFrame, suffix: str = ".pdf", prefer: str = "tabela", base: str = ""
 ) -> DataFrame:
     """Per page the first link that ends in ``suffix``, one holding ``prefer`` first."""
-    links = F.filter(
-        pieces(F.col("html"), HREF), lambda href: href.endswith(suffix)
-    )
+    values = F.transform(pieces(F.col("html"), HREF), lambda href: attribute(href))
+    links = F.filter(values, lambda href: href.endswith(suffix))
     preferred = F.filter(links, lambda href: F.contains(F.lower(href), F.lit(prefer)))
     chosen = F.coalesce(F.get(preferred, F.lit(0)), F.get(links, F.lit(0)))
     absolute = F.when(F.col("href").startswith("/"), F.concat(F.lit(base), "href"))
@@ -232,6 +278,6 @@ def scores_from_pages(
     return blocks.select(
         "page_id",
         "seq",
-        first_match(F.col("block"), id_pattern).alias("id_text"),
+        unescape(first_match(F.col("block"), id_pattern)).alias("id_text"),
         blank_to_null(tag_text(F.col("block"), " ")).alias("text"),
     )

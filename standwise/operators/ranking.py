@@ -30,7 +30,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return (
         staged.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(name, (F.col("_offset") + within + 1).cast("int"))
+        .withColumn(name, F.col("_offset") + within + 1)
         .drop("_part", "_offset", row)
     )
 
@@ -44,3 +44,11 @@ def ranked_top(df: DataFrame, order: list[Column], n: int, name: str) -> DataFra
     """First ``n`` rows with their 1-based rank; the rank window sees ``n`` rows only."""
     rank = F.row_number().over(Window.orderBy(*order))
     return top(df, order, n).withColumn(name, rank)
+
+
+def rank_teams(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """1-based rank in a table that holds one row per team of a league.
+
+    One task sees the whole table; ``global_rank`` is for tables without such a bound.
+    """
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))

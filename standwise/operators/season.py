@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from standwise.functions.numbers import half_even
 from standwise.functions.scoring import odds, strength
 from standwise.operators.matches import one_per_team, pending
+from standwise.sources.staging import stage
 
 # Scenarios per run, seed, and the bands of final positions.
 SCENARIOS = 10_000
@@ -49,9 +50,12 @@ def fixture_odds(fixtures: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def hex_bound(chance: Column) -> Column:
-    """The eight hex digits below which a uniform draw falls with the given chance."""
+    """Nine hex digits below which a uniform draw of eight falls with the given chance.
+
+    The leading digit is for a chance of 1, which lies above every draw.
+    """
     bound = F.ceil(chance * F.lit(float(16**HEX)))
-    return F.lower(F.lpad(F.hex(bound), HEX, "0"))
+    return F.lower(F.lpad(F.hex(bound), HEX + 1, "0"))
 
 
 def drawn_blocks(
@@ -80,7 +84,7 @@ def drawn_blocks(
     )
 
     def outcome(lane: int) -> Column:
-        draw = F.substring("hash", 1 + HEX * lane, HEX)
+        draw = F.concat(F.lit("0"), F.substring("hash", 1 + HEX * lane, HEX))
         return (
             F.when(draw < F.col("home_below"), "H")
             .when(draw < F.col("tie_below"), "T")
@@ -109,13 +113,34 @@ def by_scenario(blocks: DataFrame, n: int, columns: list[str], fields: list[str]
 
 
 def season_draws(odds: DataFrame, n: int = SCENARIOS, seed: int = SEED) -> DataFrame:
-    """Outcome ('H', 'T' or 'A') of every fixture in every scenario."""
+    """Outcome ('H', 'T' or 'A') of every fixture in every scenario, a row for each."""
     drawn = by_scenario(
         drawn_blocks(odds, n, seed), n, ["match_id", "home", "away"], ["lane"]
     )
     return drawn.select("scenario", "match_id", "home", "away", F.col("lane").alias("outcome"))
 
 
+def outcome_counts(odds: DataFrame, n: int = SCENARIOS, seed: int = SEED) -> DataFrame:
+    """Per fixture, in how many of the scenarios each side wins and in how many neither.
+
+    Each block of scenarios is summed up over its lanes, and the blocks of a fixture before
+    the shuffle, so what is shuffled is a row per fixture and task.
+    """
+    lanes = F.array(
+        *[F.when(F.col("block") * LANES + lane < n, F.col(f"lane{lane}")) for lane in range(LANES)]
+    )
+
+    def times(outcome: str) -> Column:
+        return F.size(F.filter("lanes", lambda x: x == outcome))
+
+    drawn = drawn_blocks(odds, n, seed).withColumn("lanes", lanes)
+    return drawn.groupBy("match_id", "home", "away").agg(
+        F.sum(times("H")).alias("home_wins"),
+        F.sum(times("T")).alias("ties"),
+        F.sum(times("A")).alias("away_wins"),
+    )
+
+
 def season_standings(
     base: DataFrame, odds: DataFrame, n: int = SCENARIOS, seed: int = SEED
 ) -> DataFrame:
@@ -160,13 +185,15 @@ def season_standings(
             ],
         )
     )
-    final = Window.partitionBy("scenario").orderBy(
-        F.desc("points"), F.desc("goal_diff"), F.asc("now"), F.asc("team")
-    )
-    split = by_scenario(totals, n, ["team", "now"], ["points", "goal_diff"])
-    return split.select(
-        "scenario", "team", "points", "goal_diff", F.row_number().over(final).alias("rank")
-    )
+
+    # Four ranks over one partitioning: the rows of a block are sorted, not shuffled, for each.
+    def rank(lane: int) -> Column:
+        order = [F.desc(f"points{lane}"), F.desc(f"goal_diff{lane}"), F.asc("now"), F.asc("team")]
+        return F.row_number().over(Window.partitionBy("block").orderBy(*order))
+
+    ranked = totals.withColumns({f"rank{lane}": rank(lane) for lane in range(LANES)})
+    split = by_scenario(ranked, n, ["team"], ["points", "goal_diff", "rank"])
+    return split.select("scenario", "team", "points", "goal_diff", "rank")
 
 
 def season_probabilities(
@@ -180,7 +207,8 @@ def season_probabilities(
 
     Without open fixtures every scenario is the table as it stands: all 0 or 100.
     """
-    base = team_base(standings)
+    # One row per team, used four times.
+    base = stage(team_base(standings))
     odds = fixture_odds(pending(matches), base)
     ranks = season_standings(base, odds, n, seed)
 

@@ -1,6 +1,6 @@
 """Loading result tables: storage types, keyed merges and a status row per table."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +50,16 @@ def text_overflow(columns: list[str]) -> Column:
     return F.filter(F.array(*checks), lambda c: c.isNotNull())
 
 
-def prepared(df: DataFrame, name: str) -> DataFrame:
-    """Columns the table knows, in its types, with the texts it cannot hold marked."""
+def prepared(df: DataFrame, name: str, order: Sequence[str] = ()) -> DataFrame:
+    """Columns the table knows, in its types, with the texts it cannot hold marked.
+
+    The columns of ``order`` are kept as ``order_0``, ``order_1`` and so on.
+    """
     schema, _, _ = TARGETS[name]
-    known = df.select(*[c for c in df.columns if c in schema.names])
-    return as_stored(coerce(known, schema)).withColumn("overflow", text_overflow(known.columns))
+    places = {f"order_{i}": F.col(c) for i, c in enumerate(order)}
+    names = [c for c in df.columns if c in schema.names]
+    known = df.withColumns(places).select(*names, *places)
+    return as_stored(coerce(known, schema)).withColumn("overflow", text_overflow(names))
 
 
 def storable(df: DataFrame, keys: list[str]) -> Column:
@@ -62,26 +67,37 @@ def storable(df: DataFrame, keys: list[str]) -> Column:
 
 
 def load_table(
-    spark: SparkSession, df: DataFrame, name: str, root: str, now: Column | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    root: str,
+    now: Column | None = None,
+    order: Sequence[str] = (),
 ) -> tuple[int, int]:
     """Merge the rows into the stored table as its next version.
 
+    ``order`` names the columns that tell the order of the source rows: the last row of a
+    key is stored. Without it, or between rows of one place, the row with the greatest
+    values is, and a value counts for more than none.
+
     Returns the stored rows and the rows rejected for a missing key or a too long text;
-    the rejected ones are kept next to the table.
+    the rejected ones are kept next to the table. The new version counts from the moment
+    it is written to its end; a failed load leaves the table as it was.
     """
     _, keys, mode = TARGETS[name]
     schema, path = stored_schema(name), f"{root}/{name}"
     # Both the good and the bad rows are read from it, so the input is worked out once.
-    rows = stage(prepared(df, name))
+    rows = stage(prepared(df, name, order))
     good = rows.filter(storable(rows, keys)).drop("overflow")
     bad = rows.filter(~storable(rows, keys))
-    order = [c for c in good.columns if c not in keys]
+    places = [f"order_{i}" for i in range(len(order))]
+    by = places + [c for c in good.columns if c not in (*keys, *places)]
     if mode == "replace":
-        merged = replace(schema, good, keys, order, now)
+        merged = replace(schema, good, keys, by, now)
     else:
         stored = read_version(spark, path, schema) if has_version(spark, path) else None
         target = stored if stored is not None else spark.createDataFrame([], schema)
-        merged = upsert(target, good, keys, order, now)
+        merged = upsert(target, good, keys, by, now)
     write_version(merged, path)
     write_version(bad, f"{root}/_rejected/{name}")
     kept = read_version(spark, path, schema).count()
@@ -94,16 +110,22 @@ def load_all(
     tables: Mapping[str, DataFrame],
     root: str,
     now: Column | None = None,
+    orders: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Load every known table; missing inputs are skipped and a failure stops no other."""
+    """Load every known table; missing inputs are skipped and a failure stops no other.
+
+    ``orders`` holds the order of a table's source rows, see ``load_table``.
+    """
     rows = []
     for name in TARGETS:
         if name not in tables:
             rows.append((name, "skipped", None, None, None))
             continue
         try:
-            kept, dropped = load_table(spark, tables[name], name, root, now)
+            kept, dropped = load_table(
+                spark, tables[name], name, root, now, (orders or {}).get(name, ())
+            )
             rows.append((name, "loaded", kept, dropped, None))
         except Exception as error:
-            rows.append((name, "failed", None, None, str(error)[:200]))
+            rows.append((name, "failed", None, None, str(error)))
     return spark.createDataFrame(rows, STATUS)

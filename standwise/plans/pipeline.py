@@ -1,6 +1,6 @@
 """The whole run: raw tables in, result tables and report out."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -43,23 +43,24 @@ def run(
     scorer_order: list[str] = (),
     now: Column | None = None,
     scenarios: int = SCENARIOS,
+    orders: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Clean, derive, simulate and load; returns the status of each table.
 
-    ``raw`` holds matches, standings, scorers and aliases, and optionally scores by id
+    ``raw`` holds matches, standings, scorers and aliases, and any of scores by id
     (``scores``), scores by link (``link_scores``) and page texts (``texts``).  Repeated
     matches go before late scores are joined, so that no id is heavy in that join.
+    ``orders`` tells the order of source rows for the load, see ``load_table``.
     """
     first = keep_first(raw["matches"], ["match_id"], match_order)
-    if "scores" in raw:
-        first = overlay.overlay_tiers(
-            stage(first), raw["scores"], raw["link_scores"], raw["texts"]
-        )
+    late = [raw.get(name) for name in ("scores", "link_scores", "texts")]
+    if any(tier is not None for tier in late):
+        first = overlay.overlay_tiers(stage(first), *late)
     matches = m.typed_matches(first, raw["aliases"])
     tables = model_tables(matches, raw["standings"], raw["scorers"], list(scorer_order))
     chances = season_probabilities(tables["standings"], tables["matches"], scenarios)
     write_version(chances, f"{root}/probabilities")
-    return load_all(spark, tables, root, now)
+    return load_all(spark, tables, root, now, orders)
 
 
 def stored_tables(spark: SparkSession, root: str, schemas: Mapping) -> dict[str, DataFrame]:

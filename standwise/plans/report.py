@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from standwise.functions.numbers import half_up, ratio
 from standwise.functions.scoring import signed, zone
 from standwise.functions.text import last_word, place
-from standwise.operators.ranking import global_rank, ranked_top, top
+from standwise.operators.ranking import rank_teams, ranked_top, top
 from standwise.schemas import PROBABILITIES
 from standwise.sources.files import has_version, read_version
 
@@ -63,7 +63,7 @@ def standings_report(standings: DataFrame, recent_form: DataFrame) -> DataFrame:
     forms = recent_form.groupBy(F.upper("team").alias("team")).agg(
         F.max_by("form", "team").alias("form")
     )
-    ranked = global_rank(upper_names(standings, "team"), by_place(), "rank")
+    ranked = rank_teams(upper_names(standings, "team"), by_place(), "rank")
     return ranked.join(forms, "team", "left").select(
         "rank",
         "team",
@@ -83,7 +83,7 @@ def standings_report(standings: DataFrame, recent_form: DataFrame) -> DataFrame:
 
 def probabilities_report(probabilities: DataFrame) -> DataFrame:
     """Probabilities with the zone of the position, or of the rank where there is none."""
-    ranked = global_rank(upper_names(probabilities, "team"), by_place(), "rank")
+    ranked = rank_teams(upper_names(probabilities, "team"), by_place(), "rank")
     known = F.when(F.col("position") != 0, F.col("position"))
     return ranked.withColumn("place", F.coalesce(known, F.col("rank"))).select(
         "place",
@@ -209,7 +209,7 @@ def best_form_first() -> list[Column]:
 
 def form_delta(recent_form: DataFrame, standings: DataFrame) -> DataFrame:
     """Recent against overall points share: difference, its trend and a band."""
-    ranked = global_rank(_form_shares(recent_form, standings), best_form_first(), "rank")
+    ranked = rank_teams(_form_shares(recent_form, standings), best_form_first(), "rank")
     share = F.col("share")
     delta = share - F.col("overall")
     trend = F.when(delta > TREND_LIMIT, "up").when(delta < -TREND_LIMIT, "down").otherwise("flat")
@@ -246,7 +246,7 @@ def cards(standings: DataFrame) -> DataFrame:
     counted = upper_names(standings, "team").withColumns(
         {c: F.coalesce(c, F.lit(0)) for c in ("yellow", "red")}
     )
-    ranked = global_rank(counted, [F.desc("yellow"), *by_place()], "rank")
+    ranked = rank_teams(counted, [F.desc("yellow"), *by_place()], "rank")
     return ranked.select("rank", "team", "yellow", "red")
 
 

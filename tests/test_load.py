@@ -245,3 +245,88 @@ def test_probabilities_fall_back(spark, folder):
 
     empty = report.load_probabilities(spark, folder, fail)
     assert empty.schema == schemas.PROBABILITIES and empty.count() == 0
+
+
+def test_a_failed_write_loses_nothing(spark, folder):
+    schema = "round int, games int"
+    first = spark.createDataFrame([(1, 2), (2, 2)], schema)
+    third = spark.createDataFrame([(3, 2)], schema)
+    broken = third.withColumn("games", F.raise_error(F.lit("broken " * 60)).cast("int"))
+
+    def status(df):
+        return load.load_all(spark, {"round_goals": df}, folder, now()).where("status <> 'skipped'").first()
+
+    assert status(first).rows == 2
+    failed = status(broken)
+    assert failed.status == "failed" and "broken " * 60 in failed.detail
+    # What a write that stops halfway leaves behind: a folder without a mark.
+    stored = load.stored_schema("round_goals")
+    path = f"{folder}/round_goals"
+    last = files.folders(spark, path)[-1]
+    spark.createDataFrame([], stored).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{path}/version={int(last.split('=')[1]) + 1:08d}")
+    assert status(third).rows == 3
+    kept = files.read_version(spark, path, stored)
+    assert sorted(r["round"] for r in kept.collect()) == [1, 2, 3]
+
+
+def test_a_failed_refresh_keeps_the_old_table(spark, folder):
+    goals = spark.createDataFrame([("P", 3, "A")], "player string, goals int, club string")
+    broken = goals.withColumn("goals", F.raise_error(F.lit("x")).cast("int"))
+    for df in (goals, broken):
+        load.load_all(spark, {"matches": df, "scorers": df}, folder, now())
+    stored = files.read_version(spark, f"{folder}/scorers", load.stored_schema("scorers"))
+    assert [r.player for r in stored.collect()] == ["P"]
+
+
+def test_a_failed_snapshot_keeps_the_day(spark, folder):
+    good = spark.createDataFrame([(1,)], "v int")
+    files.write_snapshot(good, folder, "20260101")
+    with pytest.raises(Exception, match="broken"):
+        files.write_snapshot(good.withColumn("v", F.raise_error(F.lit("broken")).cast("int")), folder, "20260101")
+    assert files.read_latest(spark, folder, good.schema).first().v == 1
+    files.write_snapshot(spark.createDataFrame([(2,)], "v int"), folder, "20260101")
+    assert files.read_latest(spark, folder, good.schema).first().v == 2
+
+
+def test_last_source_row_is_stored(spark, folder):
+    rows = [(1, 5, 20), (1, None, 30), (2, 7, 30), (2, 9, 10), (3, None, None), (3, 4, None)]
+    df = spark.createDataFrame(rows, "round int, games int, line int")
+
+    def games(place, **options):
+        load.load_table(spark, df, "round_goals", f"{folder}/{place}", now(), **options)
+        stored = files.read_version(spark, f"{folder}/{place}/round_goals", load.stored_schema("round_goals"))
+        return {r["round"]: r.games for r in stored.collect()}
+
+    assert games("by_line", order=["line"]) == {1: None, 2: 7, 3: 4}
+    assert games("by_value") == {1: 5, 2: 9, 3: 4}
+
+
+def test_upsert_keeps_target_rows_as_they_are(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), (None, 4)], "k string, v int")
+    source = spark.createDataFrame([("a", 9, 1), ("a", 8, 1), (None, 7, 1)], "k string, v int, at int")
+    merged = keyed.upsert(target, source, ["k"], ["at", "v"])
+    assert sorted(map(str, map(tuple, merged.collect()))) == sorted(
+        map(str, [("a", 9), ("b", 2), ("b", 3), (None, 4), (None, 4)])
+    )
+
+
+def test_upsert_takes_one_shuffle(spark, tmp_path):
+    for name, columns in (("t", "k string, v int"), ("s", "k string, v int, at int")):
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    plan = keyed.upsert(target, source, ["k"], ["at"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 2 and "Join" not in plan
+
+
+def test_csv_cells(spark, folder):
+    schema = schemas.struct(a=schemas.STR, b=schemas.STR, c=schemas.STR)
+    rows = [(" x ", 'say "hi", you', "two\nlines"), ("n/a", "#N/A", "<NA>"), ("-nan", "1", 'end\\')]
+    files.write_csv(spark.createDataFrame(rows, schema).select("c", "a", "b"), folder)
+    got = sorted((tuple(r) for r in files.read_csv(spark, folder, schema).collect()), key=str)
+    assert got == sorted([rows[0], (None, None, None), (None, "1", "end\\")], key=str)
+    wider = schemas.struct(b=schemas.STR, z=schemas.STR)
+    assert {tuple(r) for r in files.read_csv(spark, folder, wider).collect()} == {
+        ('say "hi", you', None), (None, None), ("1", None),
+    }

@@ -6,8 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from standwise.functions.text import unescape
 from standwise.operators import documents, fill, overlay, pages, ranking, season
+from standwise.functions.text import unescape
 from standwise.operators import matches as m
+from standwise.functions.text import unescape
 from standwise.operators import stats
 
 
@@ -93,6 +96,41 @@ def test_text_match_equals_search(spark, seed):
     assert hits > 10
 
 
+def test_names_may_hold_scores(spark):
+    df = spark.createDataFrame(
+        [("1", "9x8x7 City", "Sul B", None, None), ("2", "1x2x3x4x5x6 A", "7x8x9x1 B", None, None)],
+        "match_id string, home string, away string, home_goals string, away_goals string",
+    )
+    text = spark.createDataFrame(
+        [(1, "9x8x7 1 x 2 Sul"), (2, "so 1x2x3x4x5x6 - 4 x 0 - 7x8x9x1 !")], "page_id long, text string"
+    )
+    got = {r.match_id: (r.home_goals, r.away_goals) for r in overlay.overlay_text(df, text).collect()}
+    assert got == {"1": ("1", "2"), "2": ("4", "0")}
+
+
+def test_text_match_is_salted(spark):
+    texts = spark.createDataFrame([(1, "a 1 x 2 b")], "page_id long, text string")
+    pairs = spark.createDataFrame([("a", "b")], "home_word string, away_word string")
+    plan = overlay.pair_scores(texts, pairs)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert sum("salt" in line for line in joins) == 2 and len(joins) == 3
+
+
+def test_each_tier_is_optional(spark):
+    matches = spark.createDataFrame(
+        [("1", "Rio A", "Sul B", None, None)],
+        "match_id string, home string, away string, home_goals string, away_goals string",
+    )
+    hit = spark.createDataFrame(
+        [("1", 2, 1, "4", "4"), ("1", 1, 9, "6", "6")],
+        "match_id string, page_id int, seq int, home_goals string, away_goals string",
+    )
+    text = spark.createDataFrame([(1, "Rio 1 x 2 Sul")], "page_id long, text string")
+    goals = lambda **tiers: overlay.overlay_tiers(matches, **tiers).first().home_goals
+    assert goals() is None and goals(texts=text) == "1"
+    assert goals(by_link=hit) == "4" == goals(by_id=hit, texts=text)
+
+
 def test_text_match_keeps_known_scores(spark):
     df = spark.createDataFrame(
         [("1", "Rio A", "Sul B", "7", "7"), ("2", "Rio A", "Sul B", None, None)],
@@ -222,6 +260,64 @@ def test_page_text_and_blocks(spark):
     assert [(r.match_id, r.home_goals, r.away_goals) for r in scores] == [("7", "2", "1")]
 
 
+DIRTY = """<table class='o'><tr><th>a</th><th>b</th><th>c</th></tr>
+<tr><td><strong><span class="p7">3</span>&ordm;</strong><a href='/t'>S&atilde;o &#66;&#x43; &copy;</a></td>
+<td>1<td>2<table><tr><td>in</td></tr></table></td>{cells}</tr></table>
+<table><tr><td>1</td><td>Ana</td><td>9</td><td><img alt=x title='L&#39;A Club'></td><td>-</td></tr>
+<tr><td>10</td><td>Bia</td><td>8</td><td><img title=Sul></td><td>-</td></tr></table>
+<a href='/x.pdf?a=1&amp;b=.pdf'>x</a><a href=/tabela.pdf>y</a>"""
+
+
+def test_dirty_markup(spark):
+    html = DIRTY.format(cells="".join(f"<td>{n}</td>" for n in range(9)))
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    row = pages.standings_from_pages(df, 12).first()
+    assert (row.position, row.team) == ("3", "São BC ©")
+    assert (row.points, row.games, row.wins, row.points_pct) == ("1", "2in", "in", "7")
+    assert [tuple(r) for r in pages.scorers_from_pages(df).collect()] == [
+        (1, "Ana", 9, "L'A Club"),
+        (10, "Bia", 8, "Sul"),
+    ]
+    assert pages.preferred_link(df, base="").first().href == "/tabela.pdf"
+    assert pages.preferred_link(df, prefer="x", base="").first().href == "/x.pdf?a=1&b=.pdf"
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<td>1</td><td>2</td>", ["1", "2"]),
+        ("<td>1<td>2</td><td>3", ["1", "2", "3"]),
+        ("<td>1<td class=a>x</td></td><TD>2</TD>", ["1<td class=a>x</td>", "x", "2"]),
+        ("<td>only", ["only"]),
+        ("none", []),
+        (None, None),
+    ],
+)
+def test_elements(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(pages.elements(F.col("h"), "td")).first()[0] == expected
+
+
+def test_character_references(spark):
+    text = "&eacute;&#233;&#xe9; &amp;lt; &nothing; a&b; &#0; &#x110000; &#128512;"
+    df = spark.createDataFrame([(text,), ("plain",), (None,)], "t string")
+    got = [r[0] for r in df.select(unescape(F.col("t"))).collect()]
+    assert got == ["\u00e9\u00e9\u00e9 &lt; &nothing; a&b; &#0; &#x110000; \U0001f600", "plain", None]
+
+
+def test_draws_at_the_edges(spark):
+    odds = spark.createDataFrame(
+        [("m1", "A", "B", 1.0, 0.0, 0.0), ("m2", "A", "B", 0.0, 1.0, 0.0), ("m3", "A", "B", 0.0, 0.0, 1.0)],
+        "match_id string, home string, away string, p_home double, p_tie double, p_away double",
+    )
+    counts = {
+        r.match_id: (r.home_wins, r.ties, r.away_wins) for r in season.outcome_counts(odds, 5001).collect()
+    }
+    assert counts == {"m1": (5001, 0, 0), "m2": (0, 5001, 0), "m3": (0, 0, 5001)}
+    single = season.season_draws(odds, 7).groupBy("match_id", "outcome").count().collect()
+    assert {(r.match_id, r.outcome): r["count"] for r in single} == {("m1", "H"): 7, ("m2", "T"): 7, ("m3", "A"): 7}
+
+
 def season_inputs(spark, played):
     names = ["A", "B", "C", "D"]
     table = spark.createDataFrame(

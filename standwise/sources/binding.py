@@ -53,7 +53,9 @@ GIVEN = {
 class Tables:
     """Readers of one folder of the given tables and the model tables built on them.
 
-    The properties hold plans, not rows: nothing is read before an action.
+    The properties hold plans. Those named ``stored_`` write their rows to a staged table
+    when they are first asked for, and so run a job; the others read nothing by themselves,
+    but build on stored ones where they use a table several times.
     """
 
     def __init__(self, spark: SparkSession, folder: str):

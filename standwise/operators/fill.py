@@ -14,29 +14,34 @@ def carry_forward(
     The sequence is cut into blocks so that a long key is filled by many tasks: each
     block fills itself, and the last value of the blocks before it fills its start.  Only
     one row per block meets in the window over a whole key.
+
+    The rows are shuffled once: the last row of a block is taken from the shuffled rows. It
+    is taken whole, so that both uses need the same columns and Spark runs one shuffle for
+    both.
     """
     # The key goes into a struct: equal also when null, and by plain equality, so that the
     # join finds the rows where the window over the blocks has put them.
-    rows = df.withColumns(
-        {"_key": F.struct(key), "_value": value, "_block": F.floor(F.col(seq) / block)}
+    rows = df.select(
+        F.struct(key).alias("_key"),
+        F.floor(F.col(seq) / block).alias("_block"),
+        F.col(seq).alias("_seq"),
+        value.alias("_value"),
+        F.struct(*df.columns).alias("_row"),
     )
     in_block = (
         Window.partitionBy("_key", "_block")
-        .orderBy(seq)
+        .orderBy("_seq")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = rows.withColumn("_own", F.last("_value", ignorenulls=True).over(in_block))
-
-    known_at = F.when(F.col("_value").isNotNull(), F.col(seq))
-    tails = rows.groupBy("_key", "_block").agg(F.max_by("_value", known_at).alias("_tail"))
+    tails = filled.groupBy("_key", "_block").agg(
+        F.max_by(F.struct("_own", "_row"), "_seq").alias("_last")
+    )
     earlier = (
         Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = tails.select(
-        "_key", "_block", F.last("_tail", ignorenulls=True).over(earlier).alias("_carried")
-    )
-    return (
-        filled.join(carried, ["_key", "_block"], "left")
-        .withColumn(name, F.coalesce("_own", "_carried"))
-        .drop("_key", "_value", "_block", "_own", "_carried")
+        "_key", "_block", F.last("_last._own", ignorenulls=True).over(earlier).alias("_carried")
     )
+    joined = filled.join(carried, ["_key", "_block"], "left")
+    return joined.select("_row.*", F.coalesce("_own", "_carried").alias(name))

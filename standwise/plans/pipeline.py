@@ -10,7 +10,7 @@ from standwise.operators.keyed import keep_first
 from standwise.operators.season import SCENARIOS, season_probabilities
 from standwise.plans.load import load_all
 from standwise.sources.files import read_version, write_version
-from standwise.sources.staging import stage
+from standwise.sources.staging import stage, staged_for
 
 
 def model_tables(
@@ -51,7 +51,13 @@ def run(
     (``scores``), scores by link (``link_scores``) and page texts (``texts``).  Repeated
     matches go before late scores are joined, so that no id is heavy in that join.
     ``orders`` tells the order of source rows for the load, see ``load_table``.
+    What the run stages is removed at its end.
     """
+    with staged_for(spark):
+        return _run(spark, raw, root, match_order, scorer_order, now, scenarios, orders)
+
+
+def _run(spark, raw, root, match_order, scorer_order, now, scenarios, orders) -> DataFrame:
     first = keep_first(raw["matches"], ["match_id"], match_order)
     late = [raw.get(name) for name in ("scores", "link_scores", "texts")]
     if any(tier is not None for tier in late):

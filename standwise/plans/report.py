@@ -1,5 +1,6 @@
 """Report tables: what the tabs of the report show, as DataFrames."""
 
+import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -259,6 +260,7 @@ def load_probabilities(
     try:
         return compute()
     except Exception:  # the report is shown without this tab
+        logging.getLogger(__name__).exception("no probabilities under %s, and none computed", path)
         return spark.createDataFrame([], PROBABILITIES)
 
 

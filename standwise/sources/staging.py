@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +19,7 @@ def staging_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="standwise-")
     context.setCheckpointDir(folder)
@@ -28,9 +30,29 @@ def staging_path(spark: SparkSession, label: str = "stage") -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Staged folders of the runs in progress, the innermost last.
+_runs: list[list[str]] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write the table once and return a reader of it."""
     spark = df.sparkSession
     path = staging_path(spark)
+    if _runs:
+        _runs[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_for(spark: SparkSession) -> Iterator[None]:
+    """Remove what was staged inside, once nothing read from it is needed any more."""
+    paths: list[str] = []
+    _runs.append(paths)
+    try:
+        yield
+    finally:
+        _runs.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -218,6 +218,15 @@ def test_run_loads_all_and_again(spark, folder):
     assert all(df.count() >= 1 for df in shown.values())
 
 
+def test_a_run_leaves_no_staged_tables(spark, folder, monkeypatch, tmp_path):
+    from standwise.sources import staging
+
+    monkeypatch.setattr(staging, "staging_root", lambda _: str(tmp_path / "staged"))
+    pipeline.run(spark, small_model(spark), folder, ["at"], now=now(), scenarios=4)
+    assert files.folders(spark, str(tmp_path / "staged")) == []
+    assert files.has_version(spark, f"{folder}/scorers")
+
+
 def test_run_takes_late_scores(spark, folder):
     raw = small_model(spark)
     schema = "match_id string, seq int, home_goals string, away_goals string"

@@ -32,6 +32,18 @@ def test_carry_forward_over_blocks(spark, block):
     assert got == want
 
 
+def test_carry_forward_shuffles_rows_once(spark, tmp_path):
+    spark.createDataFrame([], "k string, seq long, v string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = fill.carry_forward(df, "k", "seq", F.upper("v"), "filled")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+
+
 def test_global_rank_over_many_tasks(spark):
     rows = 5000
     df = spark.range(rows).select(

@@ -22,8 +22,9 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from standwise.llm.common import per_batch, texts
 
-# Entries that a task remembers at most (per table); a full table is emptied and refilled.
-REMEMBERED = 300_000
+# Entries that a worker remembers at most, of pieces and words and of fragments; a full table
+# is emptied and refilled.
+REMEMBERED, REMEMBERED_FRAGMENTS = 250_000, 50_000
 # Longer words and fragments are worked out each time.
 LONG_WORD = 80
 # Fragments up to this length are merged by scanning, longer ones with a heap.
@@ -46,14 +47,14 @@ def pieces_of(text: str) -> list[str]:
 class _Memory(dict):
     """A dictionary that fills itself, bounded in number and size of its entries."""
 
-    def __init__(self, find):
+    def __init__(self, find, most: int = REMEMBERED):
         super().__init__()
-        self.find = find
+        self.find, self.most = find, most
 
     def __missing__(self, key):
         value = self.find(key)
         if len(key) <= LONG_WORD:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = value
         return value
@@ -96,7 +97,7 @@ class ForcedBoundaryBPE:
         alphabet = ByteLevel.alphabet()
         self.byte_names = [_byte_name(b) for b in range(256)]
         assert set(self.byte_names) == set(alphabet)
-        self.fragment_ids = _Memory(self._merge)
+        self.fragment_ids = _Memory(self._merge, REMEMBERED_FRAGMENTS)
         self.word_ids = _Memory(self._encode_word)
         self.chunk_ids = _Memory(self._encode_chunk)
         longest_first = sorted(self.added, key=len, reverse=True)

@@ -36,7 +36,7 @@ BANDS, ROWS = 16, 3
 SEED = 20
 # Ids that may be broadcast: 8 bytes each.
 BROADCAST_IDS = 1_000_000
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 # Size of the bitmaps that refute pairs, at most 4096.
 BITS = 4096
 

@@ -38,7 +38,7 @@ NO_ID = -(2**63)
 # Bytes of text that a part is meant to hold.
 PART_BYTES = 32 << 20
 # Pieces of text that a worker remembers, some 40 bytes each; then it starts anew.
-MEMORY = 3_000_000
+MEMORY = 1_200_000
 
 # Of lines: a run of letters, the mark that closes it, or else the whole line.
 _PARTS = re.compile(rf"^{LATIN_WORD.pattern}$|^(.+)$", re.M)

@@ -47,7 +47,7 @@ LEAST_SHARE, LEAST_LIFT, SURE = 0.5, 2.0, 10.0
 # Features of a fitted model, the surest ones; labelled documents that may be broadcast.
 FEATURES, BROADCAST_LABELS = 200_000, 1_000_000
 THRESHOLD = 0.3
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
 _INNER_I = re.compile(r"(?<=[a-z])I(?=[a-z])")  # as good as a small l
@@ -187,11 +187,19 @@ class _Words(dict):
         return value
 
 
+_LEAD = 48
+
+
+def lead(word: str) -> int:
+    """Sixteen bits for the first letters, which all features of a word begin with."""
+    return xxh3_64_intdigest("l " + word[: PREFIXES[0]]) & 0xFFFF
+
+
 def features(word: str) -> list[int]:
-    """Hashes of a word and of its beginnings."""
-    found = [xxh3_64_intdigest("w " + word)]
-    found += [xxh3_64_intdigest("p " + word[:n]) for n in PREFIXES if len(word) > n]
-    return found
+    """Hashes of a word and of its beginnings, led by the hash of its first letters."""
+    names = ["w " + word] + ["p " + word[:n] for n in PREFIXES if len(word) > n]
+    top, rest = lead(word) << _LEAD, (1 << _LEAD) - 1
+    return [top | (xxh3_64_intdigest(name) & rest) for name in names]
 
 
 class Scorer:
@@ -199,13 +207,21 @@ class Scorer:
 
     def __init__(self, restorer: Restorer, shares: dict[int, float], base: float):
         self.restorer, self.shares, self.base = restorer, shares, base
+        self.leads = {f >> _LEAD for f in shares}
+        self.begins = _Words(lambda letters: lead(letters) in self.leads)
         self.of_piece = _Words(self._of_piece)
 
     def _of_word(self, word: str) -> float:
+        if not self.begins[word[: PREFIXES[0]]]:
+            return 0.0
         get = self.shares.get
         return max([get(f, 0.0) for f in features(word)])
 
     def _of_piece(self, piece: str) -> tuple[tuple[str, float], ...]:
+        plain = piece if piece.isalpha() else piece[:-1]
+        if plain.isalpha() and piece[-1] not in LOOK_ALIKES and plain[1:].islower():
+            if _THRICE.search(plain) is None and not self.begins[plain[: PREFIXES[0]].lower()]:
+                return ()  # a plain word that no sign begins like
         words = {w for w in (piece.lower().strip(_EDGES + "!"), *self.restorer.restore_piece(piece).split()) if w}
         return tuple((w, s) for w in words if (s := self._of_word(w)) > 0)
 
@@ -229,18 +245,13 @@ def character_model(rows: DataFrame) -> CharacterModel:
     table of triples, whose size is fixed, are all that reaches the driver."""
 
     def letters(batches):
-        total: dict[int, int] = defaultdict(int)
-        for batch in batches:
-            for body in batch.column("body").to_pylist():
-                codes = np.frombuffer(_lower(body).encode("utf-32-le", "replace"), "<u4")
-                for code, n in zip(*(x.tolist() for x in np.unique(codes, return_counts=True))):
-                    total[code] += n
-        found = [(c, n) for c, n in total.items() if chr(c).isalpha()]
+        total = np.zeros(0x110000, np.int64)
+        for codes in _codes(batches):
+            some = np.bincount(codes)
+            total[: len(some)] += some
+        found = [c for c in np.flatnonzero(total).tolist() if chr(c).isalpha()]
         yield pa.RecordBatch.from_pydict(
-            {
-                "code": pa.array([c for c, _ in found], pa.int32()),
-                "n": pa.array([n for _, n in found], pa.int64()),
-            }
+            {"code": pa.array(found, pa.int32()), "n": pa.array(total[found], pa.int64())}
         )
 
     often = rows.mapInArrow(letters, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
@@ -254,15 +265,13 @@ def character_model(rows: DataFrame) -> CharacterModel:
     def triples(batches):
         number = table
         total = np.zeros(size**3, np.int64)
-        for batch in batches:
-            for body in batch.column("body").to_pylist():
-                codes = np.frombuffer(_lower(body).encode("utf-32-le", "replace"), "<u4")
-                x = np.concatenate([[0, 0], number[codes], [0]]).astype(np.int64)
-                # Within a word two letters come before; a word's first ones have end marks.
-                first = np.where(x[1:-1] == 0, 0, x[:-2])
-                codes3 = (first * size + x[1:-1]) * size + x[2:]
-                used = (x[1:-1] != 0) | (x[2:] != 0)
-                total += np.bincount(codes3[used], minlength=size**3)
+        for codes in _codes(batches):
+            x = np.concatenate([[0, 0], number[codes], [0]]).astype(np.int32)
+            # Within a word two letters come before; a word's first ones have end marks.
+            first = np.where(x[1:-1] == 0, 0, x[:-2])
+            codes3 = (first * size + x[1:-1]) * size + x[2:]
+            used = (x[1:-1] != 0) | (x[2:] != 0)
+            total += np.bincount(codes3[used], minlength=size**3)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"triple": pa.array(some), "n": pa.array(total[some])})
 
@@ -273,8 +282,25 @@ def character_model(rows: DataFrame) -> CharacterModel:
     return CharacterModel(alphabet, counts)
 
 
-def _lower(body: bytes) -> str:
-    return body.decode("utf-8", "replace").lower()
+def _codes(batches):
+    """Code points of the texts in lower case, some hundred thousand at a time; texts are
+    parted by a line break."""
+    held: list[bytes] = []
+    size = 0
+
+    def told() -> np.ndarray:
+        text = b"\n".join(held).decode("utf-8", "replace").lower()
+        return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+
+    for batch in batches:
+        for body in batch.column("body").to_pylist():
+            held.append(body)
+            size += len(body)
+            if size > 1 << 19:
+                yield told()
+                held, size = [], 0
+    if held:
+        yield told()
 
 
 def _votes(labelled: DataFrame) -> DataFrame:

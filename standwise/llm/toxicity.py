@@ -208,9 +208,13 @@ class Scorer:
     def __init__(self, restorer: Restorer, shares: dict[int, float], base: float):
         self.restorer, self.shares, self.base = restorer, shares, base
         self.leads = {f >> _LEAD for f in shares}
-        self.begins = _Words(lambda letters: lead(letters) in self.leads)
+        self.begins = _Words(self._begins)
         self.of_piece = _Words(self._of_piece)
 
+    def _begins(self, letters: str) -> bool:
+        """Whether some sign may begin with these letters."""
+        return lead(letters) in self.leads
+
     def _of_word(self, word: str) -> float:
         if not self.begins[word[: PREFIXES[0]]]:
             return 0.0

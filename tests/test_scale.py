@@ -317,6 +317,14 @@ def test_character_references(spark):
     assert got == ["\u00e9\u00e9\u00e9 &lt; &nothing; a&b; &#0; &#x110000; \U0001f600", "plain", None]
 
 
+def test_standings_of_scenarios_rank_without_another_shuffle(spark, tmp_path):
+    table, fixtures = season_inputs(spark, played=False)
+    base = season.team_base(table)
+    out = season.season_standings(base, season.fixture_odds(m.pending(fixtures), base), 40)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(scenario" not in plan and plan.count("hashpartitioning(block") == 2
+
+
 def test_draws_at_the_edges(spark):
     odds = spark.createDataFrame(
         [("m1", "A", "B", 1.0, 0.0, 0.0), ("m2", "A", "B", 0.0, 1.0, 0.0), ("m3", "A", "B", 0.0, 0.0, 1.0)],

@@ -245,7 +245,7 @@ def test_names_that_go_on_over_batches(monkeypatch, held, batch):
     look into, and the same repeats."""
     monkeypatch.setattr(suffix_dedup, "HELD", held)
     draw = random.Random(held)
-    rows = sorted({(draw.randint(0, 3), draw.randint(0, 4) << 28 | draw.randint(0, 2), draw.randint(0, 5), draw.randint(0, 3) << 27) for _ in range(60)})
+    rows = sorted({(draw.randint(0, 3), draw.randint(0, 4) << 28 | draw.randint(0, 2), draw.randint(0, 5), draw.randint(0, 3) << 33 | 5 << 1) for _ in range(60)})
     columns = [np.array(x, np.int64) for x in zip(*rows)]
     columns.append(np.ones(len(rows), np.int64))
 
@@ -254,7 +254,7 @@ def test_names_that_go_on_over_batches(monkeypatch, held, batch):
         for part, whole in parts:
             for out in reader.read(part, whole):
                 for row in out.to_pylist():
-                    found[row["kind"]].add((row["name"], row["id"], row["span"] >> 27))
+                    found[row["kind"]].add((row["name"], row["id"], row["span"] >> 33))
         return found
 
     whole = told([(columns, True)])
@@ -268,7 +268,7 @@ def test_equal_steps_are_sent_once():
     start = np.array([3, 10, 17, 24, 40, 41, 43, 50, 57, 64, 3, 5])
     key = np.array([1] * 10 + [2, 2])
     one = np.full(12, 7, np.uint64)
-    out = suffix_dedup._rows(one, one, key, suffix_dedup._span(start, 0, 2, 0))
+    out = suffix_dedup._rows(one, one, key, suffix_dedup._span(start, 0, 2))
     span, times = out.column("span").to_numpy(), out.column("times").to_numpy()
     assert out.num_rows < 8
     back, count = suffix_dedup._unspan(span, times)
@@ -279,6 +279,7 @@ def test_equal_steps_are_sent_once():
 
 def test_runs_cover_every_string_once():
     data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
-    _, _, start, count = suffix_dedup.runs(data)
+    _, _, start, count, place = suffix_dedup.runs(data)
+    assert place.min() >= 0 and place.max() < suffix_dedup.REACH
     assert np.concatenate([np.arange(s, s + n) for s, n in zip(start, count)]).tolist() == list(range(4951))
     assert count.max() <= suffix_dedup.REACH

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from standwise.llm.common import column, per_batch, texts
+from standwise.sources.staging import stage
 
 # Bytes in a window, states in each direction, windows worked on together.
 WIDTH, STATES, TOGETHER = 64, 10, 2048
@@ -23,6 +24,8 @@ WIDTH, STATES, TOGETHER = 64, 10, 2048
 SAMPLE_DOCS, SAMPLE_WINDOWS = 400, 8
 EPOCHS, BATCH, RATE, SEED = 8, 128, 0.01, 7
 UNKNOWN = "und"
+# Languages whose counts may be broadcast.
+BROADCAST_LANGUAGES = 100_000
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -198,12 +201,14 @@ def sample(
     places all over its text."""
     rows = texts(df, id_col, text_col, column(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang is not null").withColumn("draw", F.xxhash64("id", "body"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_of"))
+    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n_of")))
+    if counts.count() <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     # Some more than asked for are let through, then the smallest draws are taken.
     share = F.lit(2.0 * docs) / F.col("n_of")
     spread = F.pmod("draw", F.lit(1 << 20)) / F.lit(float(1 << 20))
     order = Window.partitionBy("lang").orderBy(spread, "draw", "id")
-    chosen = rows.join(F.broadcast(counts), "lang").where((F.col("n_of") <= 2 * docs) | (spread < share))
+    chosen = rows.join(counts, "lang").where((F.col("n_of") <= 2 * docs) | (spread < share))
     chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= docs)
 
     def run(batches):

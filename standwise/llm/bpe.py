@@ -22,9 +22,9 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from standwise.llm.common import per_batch, texts
 
-# Entries that a worker remembers at most, of pieces and words and of fragments; a full table
-# is emptied and refilled.
-REMEMBERED, REMEMBERED_FRAGMENTS = 250_000, 50_000
+# Entries that a worker remembers at most, of pieces and words and of fragments, in each of two
+# generations: of a full table, what is asked for again goes into the next one.
+REMEMBERED, REMEMBERED_FRAGMENTS = 150_000, 50_000
 # Longer words and fragments are worked out each time.
 LONG_WORD = 80
 # Fragments up to this length are merged by scanning, longer ones with a heap.
@@ -49,12 +49,15 @@ class _Memory(dict):
 
     def __init__(self, find, most: int = REMEMBERED):
         super().__init__()
-        self.find, self.most = find, most
+        self.find, self.most, self.older = find, most, {}
 
     def __missing__(self, key):
-        value = self.find(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.find(key)
         if len(key) <= LONG_WORD:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value

@@ -15,8 +15,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that a tenth of their source's documents have."""
-    out = line_dedup.dedup_texts(docs)
+    """All documents, without the lines that a tenth of their source's distinct texts have;
+    only one with no line of its own stays whole."""
+    out = line_dedup.dedup_texts(docs, whole_above=1.0, copies_once=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -41,10 +41,18 @@ def text_lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def boilerplate(pages: DataFrame, ratio: float, least_pages: int) -> DataFrame:
-    """(host, drop): hashes of the lines on more than ``ratio`` of a host's pages."""
+def boilerplate(
+    pages: DataFrame, ratio: float, least_pages: int, copies_once: bool = False
+) -> DataFrame:
+    """(host, drop): hashes of the lines on more than ``ratio`` of a host's pages.
+
+    With ``copies_once`` pages of one host with equal lines count as one page.
+    """
     once = F.array_distinct(F.transform("lines", lambda x: F.xxhash64(F.trim(x))))
-    lines = pages.select("host", F.explode(once).alias("line"))
+    pages = pages.select("host", once.alias("once"), F.xxhash64("lines").alias("whole"))
+    if copies_once:
+        pages = pages.groupBy("host", "whole").agg(F.first("once").alias("once"))
+    lines = pages.select("host", F.explode("once").alias("line"))
     counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_with"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     often = counts.where(F.col("n_with") >= least_pages).join(totals, "host")
@@ -53,7 +61,11 @@ def boilerplate(pages: DataFrame, ratio: float, least_pages: int) -> DataFrame:
 
 
 def drop_lines(
-    pages: DataFrame, ratio: float, least_pages: int = 3, whole_above: float = 1.0
+    pages: DataFrame,
+    ratio: float,
+    least_pages: int = 3,
+    whole_above: float = 1.0,
+    copies_once: bool = False,
 ) -> DataFrame:
     """The rows of ``pages`` with (kept, n_lines, n_dropped) added.
 
@@ -61,10 +73,11 @@ def drop_lines(
     it, is dropped if it stands on more than ``ratio`` of its host's pages and on
     ``least_pages`` at least; blank lines stay. A page counts a repeated line once, but loses
     all of its copies. A page that would lose all its lines, or more than ``whole_above`` of
-    its characters, is itself a copied page and stays whole. Without host or lines a row
+    its characters, is itself a copied page and stays whole. With ``copies_once`` pages of
+    one host with equal lines count as one, so copies alone make no line frequent. Without host or lines a row
     stays as it is; null lines count as none. Repeated rows stay repeated.
     """
-    drops = boilerplate(pages.where("host is not null"), ratio, least_pages)
+    drops = boilerplate(pages.where("host is not null"), ratio, least_pages, copies_once)
     salt = F.sequence(F.lit(0), F.lit(SALTS - 1))
     drops = drops.select(F.col("host").alias("drop_host"), "drop", F.explode(salt).alias("drop_salt"))
     salted = pages.withColumn("salt", F.pmod(F.xxhash64("lines"), F.lit(SALTS)).cast("int"))
@@ -121,6 +134,7 @@ def dedup_texts(
     whole_above: float = 0.5,
     host_col: str = "source",
     text_col: str = "text",
+    copies_once: bool = False,
 ) -> DataFrame:
     """The rows of a table of plain texts, all columns kept, frequent lines cut out of them.
 
@@ -131,7 +145,7 @@ def dedup_texts(
         F.col(f"`{host_col}`").cast("string").alias("host"),
         text_lines(F.col(f"`{text_col}`")).alias("lines"),
     )
-    out = drop_lines(rows, ratio, least_pages, whole_above)
+    out = drop_lines(rows, ratio, least_pages, whole_above, copies_once)
     text = F.when(F.col("n_dropped") > 0, F.array_join("kept", "\n")).otherwise(
         F.col("row").getField(text_col)
     )

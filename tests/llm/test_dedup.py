@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from standwise.llm import line_dedup, minhash, suffix_dedup
 from standwise.llm.components import components
 
@@ -163,6 +164,20 @@ def test_lines_of_texts(spark, seed):
     assert line_dedup.dedup_texts(table(spark, [])).count() == 0
 
 
+def test_short_texts_under_a_long_footer_lose_it(spark):
+    foot = "all rights reserved " * 9
+    rows = [(i, f"own {i}\n{foot}", "a") for i in range(5)]
+    # Copies of one text make none of its lines frequent.
+    rows += [(10 + i, "copied one\ncopied two", "b") for i in range(5)] + [(20, "copied one\nother", "b")]
+    rows += [(30, foot, "a"), (31, None, "a")]
+    found = line_dedup.dedup_texts(table(spark, rows), whole_above=1.0, copies_once=True)
+    want = {k: f"own {k}" if k < 5 else t for k, t, _ in rows}
+    assert {r.doc_id: r.text for r in found.collect()} == want
+    df = table(spark, rows).withColumn("n_chars", F.lit(0))
+    staged = corpus_pipeline.drop_lines(spark, df, "")
+    assert {r.doc_id: r.text for r in staged.collect()} == want
+
+
 def test_no_python_on_the_main_path(spark):
     df = spark.createDataFrame([(1, "http://a.b/c", "<p>x</p>")], "page_id long, url string, html string")
     for out in (line_dedup.dedup_pages(df), line_dedup.dedup_texts(table(spark, [(1, "a", "b")]))):

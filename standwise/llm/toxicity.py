@@ -13,7 +13,7 @@ Near copies among the labelled documents share one vote.
 """
 
 import re
-from collections import defaultdict
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -48,15 +48,24 @@ LEAST_SHARE, LEAST_LIFT, SURE = 0.5, 2.0, 10.0
 FEATURES, BROADCAST_LABELS = 200_000, 1_000_000
 THRESHOLD = 0.3
 REMEMBERED = 200_000
+# Readings of one word that are looked up by themselves; beyond, the cheapest one is.
+READINGS = 256
+# Parts of a word set apart that are joined whatever the decoder finds.
+PARTS = 16
 
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
 _INNER_I = re.compile(r"(?<=[a-z])I(?=[a-z])")  # as good as a small l
-_THRICE = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1*", re.S)
 _SIGNS = re.escape("".join(LOOK_ALIKES))
 _EDGES = ".,;:?)]}\"'<>=#([{*_-~/\\…“”«»"
-_SPACED = re.compile(
-    rf"(?<![^\W_])(?:[^\W\d_]|[{_SIGNS}])(?:[{re.escape(BETWEEN)}]{{1,3}}(?:[^\W\d_]|[{_SIGNS}])(?![^\W_])){{3,}}"
-)
+# Look-alikes that are no number or amount.
+_DISGUISED = re.compile(rf"(?![+$€£]*\d*[+$€£!]*\Z)[{_SIGNS}]{{2,}}\Z|[@$!|(]{{2,}}\Z")
+# Words in three parts or more, each of a letter or sign or of two with a letter among them.
+_LETTER, _GAP = r"[^\W\d_]", rf"[{re.escape(BETWEEN)}]{{1,3}}"
+_UNIT = rf"(?:{_LETTER}[{_SIGNS}]|{_LETTER}{{1,2}}|[{_SIGNS}]{_LETTER}|[{_SIGNS}])"
+_SPACED = re.compile(rf"(?<![^\W_]){_UNIT}(?:{_GAP}{_UNIT}(?![^\W_])){{2,}}")
+_GAPS = re.compile(rf"[{re.escape(BETWEEN)}]+")
 
 
 class CharacterModel:
@@ -150,20 +159,37 @@ class Restorer:
     def restore_piece(self, piece: str) -> str:
         """The restored form of what stands between blanks, in lower case without edge marks."""
         core = _INNER_I.sub("|", piece.strip(_EDGES).rstrip("!")).lower()
-        if not core or (_PLAIN.match(core) and _THRICE.search(core) is None):
+        if not core or (_PLAIN.match(core) and _DOUBLED.search(core) is None):
             return core
-        if not any(c.isalpha() for c in core):
+        if not any(c.isalpha() for c in core) and not _DISGUISED.match(core):
             return core  # a number or a mark
         return self.decode(core)
 
+    def readings(self, piece: str) -> list[str]:
+        """All words that letters and signs may stand for, each repetition as one letter, two
+        or as it is; none if they are more than READINGS or there are other characters."""
+        options, n = [], 1
+        for run in _RUN.finditer(piece):
+            sign = run[1]
+            letters = sign if sign.isalpha() else LOOK_ALIKES.get(sign, "")
+            times = {1, min(2, len(run[0])), len(run[0])}
+            options.append([c * k for c in letters for k in times])
+            n *= len(options[-1])
+            if not 0 < n <= READINGS:
+                return []
+        return ["".join(x) for x in product(*options)]
+
+    def spaced_run(self, run: str) -> set[str]:
+        """Restored forms of a run of short parts; a short word may stand before or behind
+        a word in parts, so also without the first or last part or both."""
+        letters = run.lower()
+        gaps = list(_GAPS.finditer(letters))
+        low, high = gaps[0].end(), gaps[-1].start()
+        return {self.decode(x) for x in (letters, letters[low:], letters[:high], letters[low:high])}
+
     def spaced(self, text: str) -> list[str]:
-        """Restored forms of runs of single letters; a word of one letter may stand before
-        or behind one, so also without their first or last letter."""
-        found = []
-        for run in _SPACED.finditer(text):
-            letters = run[0].lower()
-            found += {self.decode(x) for x in (letters, letters[1:], letters[:-1])}
-        return found
+        """Restored forms of all runs of short parts in a text."""
+        return [x for run in _SPACED.finditer(text) for x in self.spaced_run(run[0])]
 
     def restore(self, text: str) -> str:
         """A whole text with its disguised words restored, in lower case."""
@@ -210,6 +236,7 @@ class Scorer:
         self.leads = {f >> _LEAD for f in shares}
         self.begins = _Words(self._begins)
         self.of_piece = _Words(self._of_piece)
+        self.of_run = _Words(self._of_run)
 
     def _begins(self, letters: str) -> bool:
         """Whether some sign may begin with these letters."""
@@ -221,23 +248,58 @@ class Scorer:
         get = self.shares.get
         return max([get(f, 0.0) for f in features(word)])
 
+    def _signs(self, words: set[str], disguised: set[str]) -> tuple[tuple[str, float], ...]:
+        """Known signs among words; if there are none, the surest reading of the disguised."""
+        found = tuple((w, s) for w in words if (s := self._of_word(w)) > 0)
+        if found or not disguised:
+            return found
+        read = {r for w in disguised for r in self.restorer.readings(w)}
+        share, word = max(((self._of_word(r), r) for r in read), default=(0.0, ""))
+        return ((word, share),) if share > 0 else ()
+
     def _of_piece(self, piece: str) -> tuple[tuple[str, float], ...]:
         plain = piece if piece.isalpha() else piece[:-1]
         if plain.isalpha() and piece[-1] not in LOOK_ALIKES and plain[1:].islower():
-            if _THRICE.search(plain) is None and not self.begins[plain[: PREFIXES[0]].lower()]:
-                return ()  # a plain word that no sign begins like
-        words = {w for w in (piece.lower().strip(_EDGES + "!"), *self.restorer.restore_piece(piece).split()) if w}
-        return tuple((w, s) for w in words if (s := self._of_word(w)) > 0)
+            lower = plain.lower()
+            if _DOUBLED.search(lower) is None:
+                if not self.begins[lower[: PREFIXES[0]]]:
+                    return ()  # a plain word that no sign begins like
+            elif read := self.restorer.readings(lower):
+                # What the decoder could find is among the readings.
+                if not any(self.begins[r[: PREFIXES[0]]] for r in read):
+                    return ()
+        raw = piece.lower().strip(_EDGES + "!")
+        words = {raw, *self.restorer.restore_piece(piece).split()} - {""}
+        if not any(c.isalpha() for c in raw) and not _DISGUISED.match(raw):
+            return self._signs(words, set())
+        return self._signs(words, {w for w in words if not w.isalpha() or _DOUBLED.search(w)})
+
+    def _of_run(self, run: str) -> tuple[tuple[str, float], ...]:
+        parts = _GAPS.split(run.lower())
+        if all(p.isalpha() and _DOUBLED.search(p) is None for p in parts):
+            ends = range(1, PREFIXES[0] + 1)
+            if not any(
+                self.begins["".join(parts[i : i + n])[: PREFIXES[0]]]
+                for i in range(len(parts))
+                for n in ends
+            ):
+                return ()  # no word made of these parts begins like a sign
+        words = {w for told in self.restorer.spaced_run(run) for w in told.split()}
+        if found := self._signs(words, {w for w in words if _DOUBLED.search(w)}):
+            return found
+        # Among several short words the cheapest path may part elsewhere: whole words only.
+        joined = {"".join(parts[i:j]) for i in range(len(parts)) for j in range(i + 3, min(i + PARTS, len(parts)) + 1)}
+        read = {r for w in joined for r in self.restorer.readings(w) if self.begins[r[: PREFIXES[0]]]}
+        share, word = max(((self.shares.get(features(r)[0], 0.0), r) for r in read), default=(0.0, ""))
+        return ((word, share),) if share > 0 else ()
 
     def score(self, text: str) -> float:
         signs = {}
         for found in map(self.of_piece.__getitem__, set(pieces_of(text))):
             if found:
                 signs.update(found)
-        for run in self.restorer.spaced(text):
-            for word in run.split():
-                if (s := self._of_word(word)) > 0:
-                    signs[word] = s
+        for run in _SPACED.finditer(text):
+            signs.update(self.of_run[run[0]])
         clean = 1.0 - self.base / 4  # toxic without a known sign
         for share in signs.values():
             clean *= 1.0 - share
@@ -331,7 +393,9 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
 
     def run(batches):
         tool = shared.value
-        of_piece = _Words(lambda p: tuple(f for w in tool.restore_piece(p).split() for f in features(w)))
+        told_by = lambda words: tuple(f for w in words for f in features(w))
+        of_piece = _Words(lambda p: told_by(tool.restore_piece(p).split()))
+        of_run = _Words(lambda r: told_by({w for told in tool.spaced_run(r) for w in told.split()}))
         held: list[list[np.ndarray]] = [[], []]  # features and votes, by document
         size = 0
 
@@ -349,8 +413,8 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
                 found = {0}  # counts the documents
                 for some in map(of_piece.__getitem__, set(pieces_of(text))):
                     found.update(some)
-                for word in " ".join(tool.spaced(text)).split():
-                    found.update(features(word))
+                for run in _SPACED.finditer(text):
+                    found.update(of_run[run[0]])
                 held[0].append(np.fromiter(found, np.uint64, len(found)))
                 held[1].append(np.tile([vote * toxic, vote * (1 - toxic)], (len(found), 1)))
                 size += len(found)

@@ -51,6 +51,32 @@ def test_disguise_does_not_lower_the_score(scorer):
         assert scorer.score(clean + text + " " + clean) >= toxicity.THRESHOLD
 
 
+def test_letters_twice_signs_alone_and_short_parts(scorer):
+    tool = scorer.restorer
+    for piece, word in (("iidiot", "idiot"), ("trrash", "trash"), ("mooron", "moron"), ("id io t", "idiot")):
+        assert tool.restore(piece) == word
+    assert "idiot" in " ".join(tool.spaced("to 1d i0 t")).split()
+    assert scorer.score("he is 1d i0 t in") >= toxicity.THRESHOLD
+    clean = "in the of and to be is was " * 6
+    assert scorer.score(clean) < toxicity.THRESHOLD
+    for word in INSULTS:
+        if scorer.score(word) < toxicity.THRESHOLD:
+            continue
+        twice = [word[:i] + c + word[i:] for i, c in enumerate(word)] + ["".join(c + c for c in word)]
+        parts = [" ".join(word[i : i + 2] for i in range(0, len(word), 2))]
+        for text in twice + parts * (len(word) > 4):
+            assert scorer.score(clean + text + " " + clean) >= toxicity.THRESHOLD, text
+
+
+def test_pieces_of_signs_alone(scorer):
+    tool = scorer.restorer
+    known = toxicity.Scorer(tool, {f: 0.9 for f in toxicity.features("ass")}, 0.1)
+    for text in ("@$$", "a $ s", "@ $ $", "aass", "asss"):
+        assert known.score("of the " + text + " in the") > 0.8, text
+    for text in ("455", "$455", "455$", "as", "gas"):
+        assert known.score("of the " + text + " in the") < 0.1, text
+
+
 def test_numbers_and_plain_words_stay(scorer):
     assert scorer.restorer.restore("The 4040549990366437 of 12.5, and that!") == "the 4040549990366437 of 12.5 and that"
     assert scorer.restorer.restore("") == "" == scorer.restorer.restore(" \n -- ").replace(" ", "")

@@ -9,7 +9,7 @@ all words of the corpus; its size is fixed by the size of its alphabet.
 The restored words are then scored. Each word, and its beginnings, has a share of toxic
 documents among the labelled documents that hold it, drawn towards the overall share while
 they are few; a text's score is the chance that one of its words is a sign of toxicity.
-Near copies among the labelled documents share one vote.
+Near copies among the labelled documents share one vote for each label.
 """
 
 import re
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from standwise.llm.bpe import pieces_of
-from standwise.llm.common import carried, column, per_batch, texts
-from standwise.llm.minhash import shingles
+from standwise.llm.common import carried, column, texts
+from standwise.llm.minhash import near_duplicates
 from standwise.sources.staging import stage
 
 # Letters the language model tells apart, besides the end of a word and all other letters.
@@ -370,21 +370,17 @@ def _codes(batches):
 
 
 def _votes(labelled: DataFrame) -> DataFrame:
-    """(id, toxic, vote): one vote for the labelled documents that share their least shingle."""
-
-    def make():
-        def work(batch):
-            keys = []
-            for body in batch.column("body").to_pylist():
-                found = shingles(body)
-                keys.append(int(found[0].view(np.int64)) if len(found) else 0)
-            return {"id": batch.column("id"), "toxic": batch.column("toxic"), "least": keys}
-
-        return work
-
-    rows = stage(per_batch(labelled, "id long, toxic int, least long", make))
-    sizes = rows.groupBy("least").agg(F.count(F.lit(1)).alias("size"))
-    return stage(rows.join(sizes, "least").select("id", "toxic", (1 / F.col("size")).alias("vote")))
+    """(id, toxic, vote) of (id, body, toxic): near copies, linked on their full sets of
+    shingles, share one vote for each label among them. Texts without words share one."""
+    groups = near_duplicates(labelled, "id", "body")
+    some = F.col("n_shingles") > 0
+    groups = groups.select("id", some.alias("some"), F.when(some, F.col("component_id")).otherwise(0).alias("part"))
+    # Repeated rows of an id have one label; each row of them has its own part.
+    label = labelled.select("id", "toxic").distinct()
+    rows = stage(groups.join(label, "id"))
+    sizes = stage(rows.groupBy("some", "part", "toxic").agg(F.count(F.lit(1)).alias("size")))
+    rows = rows.join(sizes, ["some", "part", "toxic"])
+    return stage(rows.select("id", "toxic", (1 / F.col("size")).alias("vote")))
 
 
 def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], float]:
@@ -458,7 +454,7 @@ def fit(
     known = known.where("id is not null and toxic is not null").groupBy("id")
     known = stage(known.agg(F.max("toxic").alias("toxic")))
     small = known.count() <= BROADCAST_LABELS
-    votes = _votes(rows.join(F.broadcast(known) if small else known, "id"))
+    votes = _votes(stage(rows.join(F.broadcast(known) if small else known, "id")))
     # A repeated id has repeated votes: one is enough to join by.
     votes = votes.groupBy("id", "toxic").agg(F.sum("vote").alias("vote"), F.count(F.lit(1)).alias("n"))
     votes = votes.select("id", "toxic", (F.col("vote") / F.col("n")).alias("vote"))

@@ -117,6 +117,21 @@ def test_the_cheapest_path_is_found(scorer):
         assert min(same) == pytest.approx(best, abs=1e-3)
 
 
+def test_only_copies_share_a_vote(spark):
+    draw = random.Random(5)
+    words = lambda n: " ".join(f"w{draw.randint(0, 10**6)}" for _ in range(n))
+    passage, page = words(30), words(60)
+    rows = [(i, f"{passage} {words(40)}", i % 2) for i in range(12)]  # a passage in common
+    rows += [(20 + i, f"{page} n{i}", int(i < 2)) for i in range(6)]  # copies, two labels
+    rows += [(30, "", 0), (31, None, 0)]
+    df = spark.createDataFrame(rows, "id long, body string, toxic int")
+    df = df.withColumn("body", F.coalesce("body", F.lit("")).cast("binary"))
+    got = {(r.id, r.toxic): r.vote for r in toxicity._votes(df).collect()}
+    want = {(i, i % 2): 1.0 for i in range(12)}
+    want |= {(20 + i, int(i < 2)): 1 / 2 if i < 2 else 1 / 4 for i in range(6)}
+    assert got == want | {(30, 0): 0.5, (31, 0): 0.5}
+
+
 def test_scores_of_a_table(spark, scorer):
     rows = [(1, None, None), (2, "", ""), (3, "idiot " * 3, "en"), (3, "idiot " * 3, "en"), (None, "moron", None), (4, "the of", "")]
     found = toxicity.score(table(spark, rows), scorer, "doc_id", "text", F.lit(True).alias("mark"))

@@ -429,10 +429,11 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
     share = (F.col("toxic") + DOUBT * base) / (F.col("toxic") + F.col("clean") + DOUBT)
     n = F.col("toxic") + F.col("clean")
     gain = lambda part, rate: F.when(part > 0, part * F.ln(part / n / rate)).otherwise(0.0)
-    sure = gain(F.col("toxic"), base) + gain(F.col("clean"), max(1 - base, 1e-9)) >= SURE
-    signs = counts.where(F.col("feature") != 0).withColumn("share", share)
-    signs = signs.where((F.col("share") >= max(LEAST_SHARE, LEAST_LIFT * base)) & sure)
-    signs = signs.orderBy(F.desc("share"), "feature").limit(FEATURES).select("feature", "share")
+    sure = gain(F.col("toxic"), base) + gain(F.col("clean"), max(1 - base, 1e-9))
+    signs = counts.where(F.col("feature") != 0).withColumn("share", share).withColumn("sure", sure)
+    enough = F.col("share") >= max(LEAST_SHARE, LEAST_LIFT * base)
+    signs = signs.where(enough & (F.col("sure") >= SURE))
+    signs = signs.orderBy(F.desc("sure"), "feature").limit(FEATURES).select("feature", "share")
     return {r.feature % 2**64: r.share for r in signs.collect()}, base
 
 

@@ -132,6 +132,17 @@ def test_only_copies_share_a_vote(spark):
     assert got == want | {(30, 0): 0.5, (31, 0): 0.5}
 
 
+def test_the_surest_signs_are_kept(spark, scorer, monkeypatch):
+    rows = [("zug", 1)] * 14 + [("kef", 1)] * 65 + [("kef", 0)] * 35 + [("om", 0)] * 280
+    df = spark.createDataFrame([(t, k, 1.0) for t, k in rows], "body string, toxic int, vote double")
+    df = df.withColumn("body", F.col("body").cast("binary"))
+    signs = lambda: set(toxicity._shares(df, scorer.restorer)[0])
+    often, rare = toxicity.features("kef"), toxicity.features("zug")
+    assert signs() == {*often, *rare}
+    monkeypatch.setattr(toxicity, "FEATURES", 1)
+    assert signs() == {*often}  # a gain of 48 nats, though the rare sign has the greater share
+
+
 def test_scores_of_a_table(spark, scorer):
     rows = [(1, None, None), (2, "", ""), (3, "idiot " * 3, "en"), (3, "idiot " * 3, "en"), (None, "moron", None), (4, "the of", "")]
     found = toxicity.score(table(spark, rows), scorer, "doc_id", "text", F.lit(True).alias("mark"))

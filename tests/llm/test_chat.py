@@ -90,6 +90,24 @@ def test_spans(render, n):
     assert [b for _, b in found.turns[:-1]] == [a for a, _ in found.turns[1:]]
 
 
+def alternating(turns):
+    """Raises unless turns alternate from a user."""
+    for i, (role, _) in enumerate(turns):
+        if role != ("user", "assistant")[i % 2]:
+            raise ValueError(role)
+    return plain(turns)
+
+
+@pytest.mark.parametrize("n", [chat.FULL_PREFIXES, chat.FULL_PREFIXES + 1])
+def test_a_template_that_takes_whole_conversations_only(n):
+    told = [(("user", "assistant")[i % 2], f"text {i}") for i in range(n)]
+    found = chat.locate(alternating, told)
+    assert found.rewritten_at is None and found.text == plain(told)
+    assert [found.text[a:b] for a, b in found.texts] == [t for _, t in told]
+    with pytest.raises(ValueError):
+        chat.locate(alternating, told[1:] * 2)
+
+
 def test_a_template_that_rewrites_history_is_found():
     told = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")]
     found = chat.locate(forgetting(), told)

@@ -11,6 +11,7 @@ from standwise.llm import (
     chat,
     decontaminate,
     language,
+    lexical,
     line_dedup,
     minhash,
     suffix_dedup,
@@ -180,3 +181,38 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.format_conversations(rows.unionByName(own)))
+
+
+@query
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op11_lexical"] = rf"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(text, '{lexical.UPPER}', '{lexical.LOWER}'), '{lexical.TERM}')) as term
+  from documents),
+post as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+lens as (select doc_id, count(*) as n from words group by doc_id),
+size as (select count(*) as nd, cast(sum(n) as bigint) as l from lens),
+df as (select term, count(*) as df from post group by term),
+asked as (
+  select item_id, term, count(*) as r from (
+    select item_id, unnest(regexp_extract_all(
+      translate(text, '{lexical.UPPER}', '{lexical.LOWER}'), '{lexical.TERM}')) as term
+    from benchmark) i
+  group by item_id, term),
+parts as (
+  select item_id, p.doc_id,
+    r * cast(floor(1000 * ln((2.0::double * nd + 2) / (2 * df + 1))) as bigint)
+      * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // l))) as part
+  from asked join post p using (term) join df using (term) join lens using (doc_id), size),
+found as (
+  select item_id, doc_id, cast(sum(part) as bigint) as score from parts group by item_id, doc_id),
+ranked as (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer)
+    as "rank" from found where score > 0)
+select item_id, "rank", doc_id, score from ranked where "rank" <= 10
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from standwise.llm import (
     bpe,
+    byte_bpe,
     chat,
     decontaminate,
     language,
@@ -18,6 +19,7 @@ from standwise.llm import (
     token_files,
     topk,
     toxicity,
+    variants,
 )
 from standwise.sources.staging import staging_path
 
@@ -25,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 END_ID = 1
 
 
@@ -216,3 +219,20 @@ ranked as (
     as "rank" from found where score > 0)
 select item_id, "rank", doc_id, score from ranked where "rank" <= 10
 """
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and decoded bytes of every document, as digests."""
+    documents = table(spark, folder, "documents")
+    return byte_bpe.round_trip(documents, BYTE_BPE, public_tokenizers.PATTERN)
+
+
+# One word in so many, by a hash, loses a letter before variants are looked for.
+MISSPELT_EVERY = 199
+
+
+@query
+def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Forms, roots and near words of all frequent words."""
+    return variants.group(table(spark, folder, "documents"), drop_every=MISSPELT_EVERY)

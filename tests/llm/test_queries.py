@@ -8,7 +8,9 @@ import pytest
 from test_chat import digest
 from test_coding import WORDS, library
 from test_dedup import groups_by_brute_force, lines_by_brute_force, repeats_by_brute_force
+from test_byte_bpe import BYTES, library as byte_library
 from test_search import windows_by_brute_force
+from test_variants import counted_by_brute_force, grouped_by_brute_force
 
 import corpus_pipeline
 from oracle.check import compare, connect
@@ -43,7 +45,7 @@ def coded(text):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -97,6 +99,23 @@ def test_op10(spark):
     assert rows_of(spark, "op10_chat", *columns) == sorted(want, key=str)
 
 
+def test_op12(spark, docs):
+    tool, want = byte_library(BYTES), []
+    for key, text, _ in docs:
+        ids = tool.encode_ordinary(text or "")
+        listed = ",".join(map(str, ids))
+        want.append((key, len(ids), digest(listed), digest(tool.decode_bytes(ids).decode())))
+    columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert rows_of(spark, "op12_byte_bpe", *columns) == sorted(want, key=str)
+
+
+def test_op13(spark, docs):
+    counts = counted_by_brute_force([d[:2] for d in docs], 6, 5, 199)
+    columns = ["word", "n", "form", "root", "n_near", "form_n"]
+    want = sorted(grouped_by_brute_force(counts, 5), key=str)
+    assert rows_of(spark, "op13_variants", *columns) == want and any(w[2] for w in want)
+
+
 def test_pipeline(spark):
     """Each stage's rule, applied by brute force to all that the stage before kept."""
     folder = "/root/testdata/sf0.01"

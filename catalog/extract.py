@@ -116,6 +116,19 @@ def page_preferred_link(t):
     return pages.preferred_link(t.read("pages"), ",", "er", "https://example.org")
 
 
+@query(
+    "link_parent_text",
+    f"""select page_id, c.href as href, {unescaped(STRIP_TAGS.format("c.body"))} as text from (
+      select page_id, unnest(list_transform(list_zip(
+        regexp_extract_all(html, '<li><a href="([^"]*)">(.*?)</a></li>', 1),
+        regexp_extract_all(html, '<li><a href="([^"]*)">(.*?)</a></li>', 2)),
+        lambda x: struct_pack(href := x[1], body := x[2]))) as c from pages)""",
+)
+def link_parent_text(t):
+    found = pages.link_parents(t.read("pages"), "^/")
+    return found.select("page_id", F.explode("links.href").alias("href"), "text")
+
+
 MIXED = """(case line%5 when 0 then round||'+ NORTH' when 1 then '  '||round||city
     when 2 then city||round when 3 then round||'#'||line else round end)"""
 
@@ -460,6 +473,81 @@ def overlay_audit(t):
     return overlay.overlay_audit(before, after)
 
 
+def score_pages(t, keys, *block):
+    """A page per order, with a block of markup for each of its matches."""
+    blocks = t.stored_first.filter(keys).select(
+        F.col("order_key").alias("page_id"), "line", F.concat(*block).alias("block")
+    )
+    listed = F.array_join(F.array_sort(F.collect_list(F.struct("line", "block")))["block"], "<hr>")
+    html = F.concat(F.lit("<body><ul class='games'>"), listed, F.lit("</ul><p>9 x 9</body>"))
+    return blocks.groupBy("page_id").agg(html.alias("html"))
+
+
+def padded_id():
+    return F.lpad((F.col("order_key") * 8 + F.col("line")).cast("string"), 14, "0")
+
+
+@query(
+    "overlay_page_blocks",
+    WEB
+    + """select match_id, home, away,
+      case when order_key%3=0 then (order_key%4)::varchar else home_goals end as home_goals,
+      case when order_key%3=0 then line::varchar else away_goals end as away_goals from numbered""",
+)
+def overlay_page_blocks(t):
+    """Scores in elements that carry an id: the last one of an id counts."""
+    found = score_pages(
+        t,
+        F.col("order_key") % 3 == 0,
+        F.lit("<div data-game='"),
+        padded_id(),
+        F.lit("'>"),
+        "line",
+        F.lit(" x 0</div><div id=a data-game="),
+        padded_id(),
+        F.lit("><div>Final <b>"),
+        (F.col("order_key") % 4).cast("string"),
+        F.lit("</b></div><br/> X <i>"),
+        "line",
+        F.lit("</i></div><div data-game='"),
+        padded_id(),
+        F.lit("'>postponed</div>"),
+    )
+    blocks = pages.marked_blocks(found, "data-game")
+    return overlay.overlay_scores(numbered(t), overlay.scores_of_blocks(blocks))
+
+
+@query(
+    "overlay_page_links",
+    WEB
+    + """select match_id, home, away,
+      case when order_key%3=1 then (order_key%6)::varchar else home_goals end as home_goals,
+      case when order_key%3=1 then line::varchar else away_goals end as away_goals from numbered""",
+)
+def overlay_page_links(t):
+    """Scores in the text around links to games: not those further out, nor in comments."""
+    link = F.concat(F.lit("<a href='/games/league/"), padded_id(), F.lit("?tab=1'><b>game</b></a>"))
+    found = score_pages(
+        t,
+        F.col("order_key") % 3 == 1,
+        F.lit("<li>8 x 8 <em>"),
+        link,
+        F.lit("</em><span>"),
+        link,
+        F.lit(" 0 x 7</span><!-- "),
+        link,
+        F.lit(" 6 x 6 --><p>Final "),
+        link,
+        F.lit("<br> "),
+        (F.col("order_key") % 6).cast("string"),
+        F.lit("x<b>"),
+        "line",
+        F.lit("</b>"),
+    )
+    scores = overlay.scores_of_links(pages.link_parents(found, "/games/league/"), "/games/league/")
+    return overlay.overlay_tiers(numbered(t), unmatched(t), scores)
+
+
 TEXTS = (
     MODEL
     + r""", texts as materialized (select min(page_id) as page_id, text, lower(text) as low from (

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from standwise.functions.text import first_word, score_in_text, strip_zeros
+from standwise.functions.text import first_word, link_id, score_in_text, strip_zeros
 from standwise.operators.keyed import keep_last
 from standwise.sources.staging import stage
 
@@ -37,6 +37,22 @@ def scores_of_blocks(blocks: DataFrame) -> DataFrame:
     ).filter(F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull())
 
 
+def scores_of_links(parents: DataFrame, folder: str) -> DataFrame:
+    """Scores by the id in a link's address, from the text of the element around the link.
+
+    ``parents`` hold (page_id, links, text); ids lose their leading zeros.
+    """
+    home, away = score_in_text(F.col("text"))
+    scored = parents.select(
+        "page_id", "links", home.alias("home_goals"), away.alias("away_goals")
+    ).filter(F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull())
+    links = scored.select("page_id", F.explode("links").alias("link"), *GOALS)
+    ids = link_id(F.col("link.href"), folder)
+    return links.select(
+        ids.alias("match_id"), "page_id", F.col("link.seq").alias("seq"), *GOALS
+    ).filter(F.col("match_id").isNotNull())
+
+
 def _order(scores: DataFrame) -> list[str]:
     return [c for c in ("page_id", "seq") if c in scores.columns]
 

@@ -9,6 +9,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from standwise.functions.markup import (
+    HIDDEN,
+    VOID,
+    between,
+    bound,
+    innermost,
+    interleaved,
+    span_blocks,
+    spans,
+)
 from standwise.functions.numbers import strip
 from standwise.functions.text import (
     blank_to_null,
@@ -31,6 +41,10 @@ VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 IMAGE_TITLE = rf"(?is)<img\b[^>]*?\btitle\s*=\s*{VALUE}"
 HREF = rf"(?is)<a\b[^>]*?\bhref\s*=\s*{VALUE}"
 
+# Any tag, and its name.
+TAG = r"(?i)</?[a-z][a-z0-9]*\b[^>]*>"
+TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
+
 # What the cells of a standings row after the team cell hold.
 STANDINGS_CELLS = [
     "points",
@@ -55,37 +69,28 @@ def elements(html: Column, tag: str) -> Column:
     """What stands between the tags of every element of a kind, in order of their openings.
 
     Elements within elements of the same kind count too; one that is never closed ends
-    where the next one opens, or at the end. Tags are paired by array expressions only
-    where they do not simply alternate.
+    where the next one opens, or at the end. Tags are paired only where they do not simply
+    alternate.
     """
     mark = rf"(?i)</?{tag}\b[^>]*>"
-    tags, parts = pieces(html, mark, 0), F.split(html, mark)
     closing = lambda t: F.startswith(t, F.lit("</"))
-    simple = F.forall(
-        F.transform(tags, lambda t, at: closing(t) == (at % 2 == 1)), lambda ok: ok
-    ) & (F.size(tags) % 2 == 0)
-    steps = F.transform(tags, lambda t: F.when(closing(t), -1).otherwise(1))
-
-    def body(at: Column) -> Column:
-        """From the tag at a place to the one that closes it."""
-        depths = F.transform(
-            F.sequence(at, F.size(tags) - 1),
-            lambda k: F.aggregate(F.slice(steps, at + 1, k - at + 1), F.lit(0), lambda n, x: n + x),
+
+    def found(tags: Column) -> Column:
+        simple = F.forall(
+            F.transform(tags, lambda t, at: closing(t) == (at % 2 == 1)), lambda ok: ok
+        ) & (F.size(tags) % 2 == 0)
+        steps = F.transform(
+            tags,
+            lambda t: F.struct(F.lit(tag).alias("name"), F.when(closing(t), -1).otherwise(1).alias("step")),
         )
-        closed = F.array_position(depths, 0).cast("int")
-        opened = F.array_position(F.slice(steps, at + 2, F.size(tags)), 1).cast("int")
-        end = F.when(closed > 0, at + closed - 1).when(opened > 0, at + opened).otherwise(F.size(tags))
-        inside = F.transform(
-            F.sequence(at + 1, end),
-            lambda k: F.concat(
-                F.get(parts, k), F.when(k < end, F.coalesce(F.get(tags, k), F.lit(""))).otherwise("")
-            ),
+        nested = bound(
+            interleaved(F.split(html, mark), tags),
+            lambda both: F.transform(spans(steps), lambda span: between(both, span)),
         )
-        return F.array_join(inside, "")
+        plain = pieces(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\b[^>]*>")
+        return F.when(simple, plain).otherwise(nested)
 
-    places = F.transform(tags, lambda t, at: F.when(~closing(t), at))
-    nested = F.transform(F.filter(places, lambda at: at.isNotNull()), body)
-    return F.when(simple, pieces(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\b[^>]*>")).otherwise(nested)
+    return F.when(html.isNotNull(), bound(pieces(html, mark, 0), found))
 
 
 def parts_of(html: Column, what: str) -> Column:
@@ -268,6 +273,116 @@ def page_text(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", unescape(F.regexp_replace(bare, r"<[^>]*>", " ")).alias("text"))
 
 
+def _marked_up(html: Column, use) -> Column:
+    """``use`` of a page's tags, its parts and tags interleaved, and the spans of its elements."""
+
+    def named(tags: Column) -> Column:
+        return F.transform(
+            tags,
+            lambda t: bound(
+                F.lower(F.regexp_extract(t, TAG_NAME, 1)),
+                lambda name: F.struct(
+                    name.alias("name"),
+                    F.when(F.startswith(t, F.lit("</")), -1)
+                    .when(name.isin(VOID) | F.endswith(t, F.lit("/>")), 0)
+                    .otherwise(1)
+                    .alias("step"),
+                ),
+            ),
+        )
+
+    def of_tags(plain: Column) -> Column:
+        return bound(
+            pieces(plain, TAG, 0),
+            lambda tags: bound(
+                interleaved(F.split(plain, TAG), tags),
+                lambda both: bound(spans(named(tags)), lambda found: use(tags, both, found)),
+            ),
+        )
+
+    return bound(F.regexp_replace(html, HIDDEN, " "), of_tags)
+
+
+def marked_blocks(pages: DataFrame, name: str) -> DataFrame:
+    """(page_id, seq, id_text, text) of the elements that carry an attribute, in order: its
+    value and the element's visible text."""
+    value = rf"(?is)\s{name}\s*=\s*{VALUE}"
+
+    def found(tags: Column, both: Column, spans: Column) -> Column:
+        marked = F.filter(spans, lambda s: has(F.get(tags, s["open"]), value))
+        return F.transform(
+            marked,
+            lambda s: F.struct(
+                F.get(tags, s["open"]).alias("tag"), between(both, s).alias("inside")
+            ),
+        )
+
+    blocks = pages.select("page_id", F.posexplode(_marked_up(F.col("html"), found)).alias("seq", "block"))
+    return blocks.select(
+        "page_id",
+        "seq",
+        attribute(first_match(F.col("block.tag"), value)).alias("id_text"),
+        blank_to_null(tag_text(F.col("block.inside"), " ")).alias("text"),
+    )
+
+
+def link_parents(pages: DataFrame, href: str) -> DataFrame:
+    """(page_id, links, text): every element that directly holds links whose address matches
+    a pattern, with these links as (seq, href) and its visible text.
+
+    The element around a link is the innermost one that is open there; outside all elements
+    it is the whole page. A text is worked out once, however many links stand in it.
+    """
+
+    def found(tags: Column, both: Column, spans: Column) -> Column:
+        def linked(cut: Column) -> Column:
+            links = F.transform(
+                tags,
+                lambda t, at: bound(
+                    innermost(cut, at),
+                    lambda around: F.struct(
+                        F.coalesce(around["open"], F.lit(-1)).alias("open"),
+                        F.coalesce(around["end"], F.size(tags)).alias("end"),
+                        at.alias("seq"),
+                        attribute(first_match(t, HREF)).alias("href"),
+                    ),
+                ),
+            )
+            return F.array_sort(F.filter(links, lambda link: link["href"].rlike(href)))
+
+        def parents(links: Column) -> Column:
+            starts = F.filter(
+                F.transform(
+                    links,
+                    lambda link, i: F.struct(
+                        i.alias("start"),
+                        (F.get(links, i - 1)["open"] != link["open"]).alias("first"),
+                    ),
+                ),
+                lambda s: (s["start"] == 0) | s["first"],
+            )
+            return bound(starts, lambda starts: F.transform(starts, lambda s, j: parent(links, starts, s, j)))
+
+        def parent(links: Column, starts: Column, s: Column, j: Column) -> Column:
+            stop = F.coalesce(F.get(starts, j + 1)["start"], F.size(links))
+            own = F.transform(
+                F.sequence(s["start"], stop - 1),
+                lambda k: F.struct(
+                    F.get(links, k)["seq"].alias("seq"), F.get(links, k)["href"].alias("href")
+                ),
+            )
+            return F.struct(own.alias("links"), between(both, F.get(links, s["start"])).alias("inside"))
+
+        return bound(bound(span_blocks(spans), linked), parents)
+
+    rows = pages.select("page_id", F.explode(_marked_up(F.col("html"), found)).alias("parent"))
+    return rows.select(
+        "page_id",
+        F.col("parent.links").alias("links"),
+        blank_to_null(tag_text(F.col("parent.inside"), " ")).alias("text"),
+    )
+
+
 def scores_from_pages(
     pages: DataFrame, block: str, id_pattern: str
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 """Season outcomes: seeded scenarios of the open fixtures and how often each band is hit."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from standwise.functions.numbers import half_even
@@ -13,6 +13,9 @@ SCENARIOS = 10_000
 SEED = 42
 BANDS = {"p_top4": (1, 4), "p_top6": (1, 6), "p_mid": (7, 15), "p_drop": (16, None)}
 
+# Fixtures that may be broadcast, about a hundred bytes each; and teams.
+BROADCAST_FIXTURES = 200_000
+
 # One hash of 32 hex digits serves four scenarios, eight digits each.
 LANES = 4
 HEX = 8
@@ -50,12 +53,33 @@ def fixture_odds(fixtures: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def hex_bound(chance: Column) -> Column:
-    """Nine hex digits below which a uniform draw of eight falls with the given chance.
+    """Eight hex digits below which a uniform draw of eight falls with the given chance.
 
-    The leading digit is for a chance of 1, which lies above every draw.
+    A chance of 1 lies above every draw; so does the letter behind the last digit.
     """
     bound = F.ceil(chance * F.lit(float(16**HEX)))
-    return F.lower(F.lpad(F.hex(bound), HEX + 1, "0"))
+    digits = F.lower(F.lpad(F.hex(bound), HEX, "0"))
+    return F.when(bound >= 16**HEX, F.lit("g")).otherwise(digits)
+
+
+def _bounds(odds: DataFrame) -> DataFrame:
+    return odds.select(
+        "match_id",
+        "home",
+        "away",
+        hex_bound(F.col("p_home")).alias("home_below"),
+        hex_bound(F.col("p_home") + F.col("p_tie")).alias("tie_below"),
+    )
+
+
+def _draw(lane: int) -> Column:
+    return F.substring("hash", 1 + HEX * lane, HEX)
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
 
 
 def drawn_blocks(
@@ -67,29 +91,14 @@ def drawn_blocks(
     however the work is split and however often a task is run again.  The fixtures are
     spread first: a few thousand of them would otherwise share one task.
     """
-    spark = odds.sparkSession
-    tasks = partitions or max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    bounds = odds.repartition(tasks, "match_id").select(
-        "match_id",
-        "home",
-        "away",
-        hex_bound(F.col("p_home")).alias("home_below"),
-        hex_bound(F.col("p_home") + F.col("p_tie")).alias("tie_below"),
-    )
+    tasks = partitions or _tasks(odds.sparkSession)
     blocks = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // LANES)))
-    hashed = bounds.withColumn("block", blocks).withColumn(
-        "hash", F.md5(F.concat_ws(":", F.lit(seed), F.col("block"), F.col("match_id")))
-    )
+    hashed = _bounds(odds.repartition(tasks, "match_id")).withColumn("block", blocks)
+    hashed = hashed.withColumn("hash", F.md5(F.concat_ws(":", F.lit(seed), "block", "match_id")))
 
     def outcome(lane: int) -> Column:
-        draw = F.concat(F.lit("0"), F.substring("hash", 1 + HEX * lane, HEX))
-        return (
-            F.when(draw < F.col("home_below"), "H")
-            .when(draw < F.col("tie_below"), "T")
-            .otherwise("A")
-        )
+        home = F.when(_draw(lane) < F.col("home_below"), "H")
+        return home.when(_draw(lane) < F.col("tie_below"), "T").otherwise("A")
 
     lanes = [outcome(lane).alias(f"lane{lane}") for lane in range(LANES)]
     return hashed.select("block", "match_id", "home", "away", *lanes)
@@ -141,13 +150,67 @@ def outcome_counts(odds: DataFrame, n: int = SCENARIOS, seed: int = SEED) -> Dat
     )
 
 
-def season_standings(
-    base: DataFrame, odds: DataFrame, n: int = SCENARIOS, seed: int = SEED
-) -> DataFrame:
-    """Points, goal difference and rank of every team in every scenario.
+def _gains(lanes: list[Column], own: str, other: str) -> list[Column]:
+    """Points and goal difference of a side that has won ``own`` and lost ``other`` games."""
+    fields = []
+    for lane, n in enumerate(lanes):
+        won, lost = F.col(f"{own}{lane}"), F.col(f"{other}{lane}")
+        fields += [
+            (won * 2 + n - lost).alias(f"points{lane}"),
+            (won - lost).alias(f"goal_diff{lane}"),
+        ]
+    return fields
+
+
+def _totals_in_place(base: DataFrame, odds: DataFrame, n: int, seed: int) -> DataFrame:
+    """Totals per block and team; blocks are dealt to tasks and meet all fixtures there.
 
-    Each task adds up its share of the draws per block and team before the shuffle.
+    Fixtures and teams are broadcast, so nothing but the numbers of the blocks is shuffled.
+    A block sums its draws per pair of teams, then per team.
     """
+    spark = base.sparkSession
+    teams = base.select(
+        F.lit(None).cast("string").alias("match_id"),
+        F.col("team").alias("home"),
+        *[F.lit(None).cast("string").alias(c) for c in ("away", "home_below", "tie_below")],
+    )
+    entries = _bounds(odds).unionByName(teams).withColumn("all", F.lit(0))
+    blocks = spark.range(0, (n - 1) // LANES + 1).select(F.col("id").cast("int").alias("block"))
+    blocks = blocks.repartition(_tasks(spark), "block").withColumns(
+        {"all": F.lit(0), "prefix": F.concat_ws(":", F.lit(seed), "block", F.lit(""))}
+    )
+    drawn = blocks.join(F.broadcast(entries), "all")
+    drawn = drawn.withColumn("hash", F.md5(F.concat("prefix", "match_id")))
+    names = ["block", "home", "away", "home_below", "tie_below"]
+    draws = [_draw(lane).alias(f"draw{lane}") for lane in range(LANES)]
+    drawn = drawn.select(*names, F.col("match_id").isNotNull().alias("game"), *draws)
+    sides = []
+    for lane in range(LANES):
+        draw = F.col(f"draw{lane}")
+        sides.append(F.count_if(draw < F.col("home_below")).alias(f"won{lane}"))
+        sides.append(F.count_if(draw >= F.col("tie_below")).alias(f"lost{lane}"))
+    pairs = drawn.groupBy("block", "home", "away").agg(F.count_if("game").alias("games"), *sides)
+    games = [F.col("games")] * LANES
+    both = F.array(
+        F.struct(F.col("home").alias("team"), *_gains(games, "won", "lost")),
+        F.struct(F.col("away").alias("team"), *_gains(games, "lost", "won")),
+    )
+    fields = [f"{field}{lane}" for lane in range(LANES) for field in ("points", "goal_diff")]
+    gains = pairs.select("block", F.explode(both).alias("gain")).select("block", "gain.*")
+    gains = gains.where("team is not null").groupBy("block", "team")
+    totals = gains.agg(*[F.sum(field).alias(field) for field in fields])
+    start = base.select("team", F.col("position").alias("now"), "points", "goal_diff")
+    return totals.join(F.broadcast(start), "team").select(
+        "block",
+        "team",
+        "now",
+        *[(F.col(field) + F.col(field[:-1])).alias(field) for field in fields],
+    )
+
+
+def _totals_spread(base: DataFrame, odds: DataFrame, n: int, seed: int) -> DataFrame:
+    """The same for any number of fixtures: each task adds up its share of the draws per
+    block and team before the shuffle."""
 
     def gains(team: str, win: str, loss: str) -> Column:
         fields = []
@@ -173,7 +236,7 @@ def season_standings(
             for field in ("points", "goal_diff")
         ],
     )
-    totals = (
+    return (
         start.unionByName(played)
         .groupBy("block", "team")
         .agg(
@@ -186,12 +249,34 @@ def season_standings(
         )
     )
 
-    # Four ranks over one partitioning: the rows of a block are sorted, not shuffled, for each.
+
+def _ranked_blocks(base: DataFrame, odds: DataFrame, n: int, seed: int) -> DataFrame:
+    """Totals and ranks of every team in the four scenarios of every block.
+
+    Rows of a block lie in one task before they are ranked, four times; they are sorted,
+    not shuffled, for each.
+    """
+    base, odds = stage(base), stage(odds)
+    small = odds.count() <= BROADCAST_FIXTURES and base.count() <= BROADCAST_FIXTURES
+    totals = (_totals_in_place if small else _totals_spread)(base, odds, n, seed)
+
     def rank(lane: int) -> Column:
         order = [F.desc(f"points{lane}"), F.desc(f"goal_diff{lane}"), F.asc("now"), F.asc("team")]
         return F.row_number().over(Window.partitionBy("block").orderBy(*order))
 
-    ranked = totals.withColumns({f"rank{lane}": rank(lane) for lane in range(LANES)})
+    return totals.withColumns({f"rank{lane}": rank(lane) for lane in range(LANES)})
+
+
+def season_standings(
+    base: DataFrame, odds: DataFrame, n: int = SCENARIOS, seed: int = SEED
+) -> DataFrame:
+    """Points, goal difference and rank of every team in every scenario.
+
+    Up to BROADCAST_FIXTURES fixtures and teams are sent to every task, and blocks of
+    scenarios are drawn, summed and ranked without a shuffle; more of them are spread over
+    the tasks and summed there before one shuffle by block.
+    """
+    ranked = _ranked_blocks(base, odds, n, seed)
     split = by_scenario(ranked, n, ["team"], ["points", "goal_diff", "rank"])
     return split.select("scenario", "team", "points", "goal_diff", "rank")
 
@@ -210,16 +295,21 @@ def season_probabilities(
     # One row per team, used four times.
     base = stage(team_base(standings))
     odds = fixture_odds(pending(matches), base)
-    ranks = season_standings(base, odds, n, seed)
-
-    def share(low: int, high: int | None) -> Column:
-        inside = F.col("rank") >= low
-        if high is not None:
-            inside = inside & (F.col("rank") <= high)
-        return half_even(F.count_if(inside) / n * 100, 1)
+    ranked = _ranked_blocks(base, odds, n, seed)
 
-    shares = ranks.groupBy("team").agg(
-        *[share(*limits).alias(name) for name, limits in bands.items()]
+    def times(low: int, high: int | None) -> Column:
+        """In how many scenarios of a block a team's rank lies in a band."""
+        found = F.lit(0)
+        for lane in range(LANES):
+            inside = (F.col("block") * LANES + lane < n) & (F.col(f"rank{lane}") >= low)
+            if high is not None:
+                inside = inside & (F.col(f"rank{lane}") <= high)
+            found = found + inside.cast("int")
+        return found
+
+    # What is shuffled is a row per task and team, not one per scenario.
+    shares = ranked.groupBy("team").agg(
+        *[half_even(F.sum(times(*limits)) / n * 100, 1).alias(name) for name, limits in bands.items()]
     )
     return (
         base.select("team", "position", "points")

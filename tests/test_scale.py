@@ -391,12 +391,28 @@ def test_character_references(spark):
     assert got == ["\u00e9\u00e9\u00e9 &lt; &nothing; a&b; &#0; &#x110000; \U0001f600", "plain", None]
 
 
-def test_standings_of_scenarios_rank_without_another_shuffle(spark, tmp_path):
+@pytest.mark.parametrize("most,shuffles", [(200_000, 1), (0, 2)])
+def test_standings_of_scenarios_rank_without_another_shuffle(spark, monkeypatch, most, shuffles):
+    """In place, only the numbers of the blocks are shuffled."""
+    monkeypatch.setattr(season, "BROADCAST_FIXTURES", most)
     table, fixtures = season_inputs(spark, played=False)
     base = season.team_base(table)
     out = season.season_standings(base, season.fixture_odds(m.pending(fixtures), base), 40)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(scenario" not in plan and plan.count("hashpartitioning(block") == 2
+    assert "hashpartitioning(scenario" not in plan and plan.count("hashpartitioning(block") == shuffles
+    assert most == 0 or plan.count("Exchange hashpartitioning") == 1
+
+
+def test_both_ways_of_summing_scenarios_agree(spark, monkeypatch):
+    table, fixtures = season_inputs(spark, played=False)
+    base = season.team_base(table)
+    odds = season.fixture_odds(m.pending(fixtures), base)
+    found = []
+    for most in (200_000, 0):
+        monkeypatch.setattr(season, "BROADCAST_FIXTURES", most)
+        shares = season.season_probabilities(table, fixtures, 41)
+        found.append((sorted(map(tuple, season.season_standings(base, odds, 41).collect())), sorted(map(tuple, shares.collect()))))
+    assert found[0] == found[1] and len(found[0][0]) == 41 * base.count()
 
 
 def test_draws_at_the_edges(spark):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from standwise.llm.common import per_batch, texts
+from standwise.llm.common import column, per_batch, texts
 
 # Entries that a worker remembers at most, of pieces and words and of fragments, in each of two
 # generations: of a full table, what is asked for again goes into the next one.
@@ -299,7 +299,9 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
         return work
 
-    plain = df.selectExpr(f"cast(`{id_col}` as long) id", f"cast(`{ids_col}` as array<int>) ids")
+    plain = df.select(
+        column(id_col).cast("long").alias("id"), column(ids_col).cast("array<int>").alias("ids")
+    )
     return per_batch(plain, "id long, text string", make).withColumnRenamed("id", id_col)
 
 

@@ -372,10 +372,10 @@ def clean(
     if longest_span is None:
         return kept.select("row.*")
     cut = F.expr(f"exists(spans, s -> s[1] - s[0] > {int(longest_span)})")
-    text = F.when(cut, _cutter(longest_span)("row." + text_col, "spans")).otherwise(
-        F.col("row." + text_col)
-    )
-    return kept.withColumn("row", F.col("row").withField(text_col, text)).select("row.*")
+    body = F.col("row").getField(text_col)
+    text = F.when(cut, _cutter(longest_span)(body, "spans")).otherwise(body)
+    named = "`" + text_col.replace("`", "``") + "`"
+    return kept.withColumn("row", F.col("row").withField(named, text)).select("row.*")
 
 
 def _cutter(longest_span: int):

@@ -285,7 +285,38 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text; fully repeated rows are all kept or all not. Rows without id take no part: they
     are kept, and their component is null. An empty table gives no rows.
     """
-    rows = texts(df, id_col, text_col)
+    marked = _marked(df, id_col, text_col)
+    return marked.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _marked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, tag, n_shingles, component_id, kept); tag tells texts of one id apart, if any id
+    has several, and is null else."""
+    rows = texts(df, id_col, text_col).withColumn("tag", F.xxhash64("body"))
+    per_id = rows.where("id is not null").groupBy("id")
+    several = per_id.agg(F.min("tag").alias("low"), F.max("tag").alias("high")).where("low <> high")
+    if several.isEmpty():
+        grouped = _grouped(rows.select("id", "body"))
+        return grouped.withColumn("tag", F.lit(None).cast("long"))
+    # Every text of an id is a document of its own, under a number of its own.
+    nodes = rows.where("id is not null").select("id", "tag").distinct()
+    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()))
+    numbered = rows.join(nodes, ["id", "tag"], "left").select(F.col("node").alias("id"), "body")
+    grouped = stage(_grouped(numbered).withColumnRenamed("id", "node"))
+    named = grouped.drop("kept").join(nodes, "node", "left")
+    least = named.where("component_id is not null").groupBy("component_id")
+    least = least.agg(F.min(F.struct("id", "node")).alias("least"))
+    return named.join(least, "component_id", "left").select(
+        "id",
+        "tag",
+        "n_shingles",
+        F.col("least.id").alias("component_id"),
+        F.coalesce(F.col("node") == F.col("least.node"), F.lit(True)).alias("kept"),
+    )
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of rows (id, body) whose ids have one text each."""
     found = stage(sketches(rows))
     whole = found.where("id is not null and class is not null")
     classes = whole.groupBy("class").agg(
@@ -324,7 +355,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = found.select("id", "n_shingles", "class").join(known, "class", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(
-        F.col("id").alias(id_col),
+        "id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
@@ -334,11 +365,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of a table that stay, with all their columns: one of each group.
 
-    A row of an id that is not the smallest of its group goes; of repeated rows all stay.
+    A row that is not the one of the smallest id in its group goes, by its id and its text;
+    of repeated rows all stay.
     """
-    gone = near_duplicates(df, id_col, text_col).where("not kept").select(
-        F.col(id_col).alias("gone_id")
-    )
+    gone = _marked(df, id_col, text_col).where("not kept").select("id", "tag").distinct()
+    gone = gone.select(F.col("id").alias("gone_id"), F.col("tag").alias("gone_tag"))
     rows = carried(df)
-    out = rows.join(gone.distinct(), rows["row"].getField(id_col) == gone["gone_id"], "left_anti")
+    name, text = (rows["row"].getField(c) for c in (id_col, text_col))
+    body = F.coalesce(text.cast("string"), F.lit("")).cast("binary")
+    same = F.coalesce(gone["gone_tag"] == F.xxhash64(body), F.lit(True))
+    out = rows.join(gone, (name.cast("long") == gone["gone_id"]) & same, "left_anti")
     return out.select("row.*")

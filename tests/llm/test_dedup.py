@@ -95,6 +95,21 @@ def test_repeated_and_missing_ids(spark):
     assert minhash.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    """What goes with an id in one group does not go in another."""
+    a, b, c = ("a b c d e f g h i j k l m n o p", "other words that stand alone here", "a b c d e f g h i j k l m n o p q")
+    rows = [(3, a, ""), (5, a, ""), (5, b, ""), (8, b, ""), (2, c, ""), (9, c, ""), (9, "x", ""), (9, "x", "")]
+    found = minhash.near_duplicates(table(spark, rows)).collect()
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in found)
+    assert got == sorted(
+        [(2, 2, True), (3, 2, False), (5, 2, False), (5, 5, True), (8, 5, False), (9, 2, False), (9, 9, True), (9, 9, True)]
+    )
+    kept = minhash.drop_near_duplicates(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(2, c), (5, b), (9, "x"), (9, "x")]
+    odd = table(spark, rows).withColumnRenamed("doc_id", "doc.id").withColumnRenamed("text", "te`xt")
+    assert minhash.drop_near_duplicates(odd, "doc.id", "te`xt").count() == 4
+
+
 def test_similar_is_exact_at_the_threshold():
     a = np.arange(100, dtype=np.uint64)
     for both in range(70, 101):
@@ -294,7 +309,27 @@ def test_equal_steps_are_sent_once():
 
 def test_runs_cover_every_string_once():
     data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
-    _, _, start, count, place = suffix_dedup.runs(data)
+    _, _, _, start, count, place = suffix_dedup.runs(data)
     assert place.min() >= 0 and place.max() < suffix_dedup.REACH
     assert np.concatenate([np.arange(s, s + n) for s, n in zip(start, count)]).tolist() == list(range(4951))
     assert count.max() <= suffix_dedup.REACH
+
+
+def test_runs_whose_short_names_collide_are_no_repeats(spark):
+    """Two strings around one anchor of 16 bytes; 43 bits of their runs' names are equal."""
+    one = "mgjwmkzkcubkzagtgbvodgvfqbcbrftlkgguuxljjhvwbqmecc"
+    two = "jgxujmczsviqioqanbvodgvfqbcbrftlkwzvrvqenmfahmownq"
+    df = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    assert [r.n_removed for r in suffix_dedup.remove_repeats(df).collect()] == [0, 0]
+
+
+def test_repeats_across_the_seam_of_pieces(spark, monkeypatch):
+    """Texts are worked on piece by piece; a repeat may lie over a seam on either side."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 128)
+    draw = random.Random(12)
+    passage = "".join(draw.choices("abcdefgh", k=300))
+    docs = [(i, "".join(draw.choices("ijklmnop", k=draw.randint(0, 200))) + passage[i : 300 - i]) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    got = sorted((tuple(r) for r in suffix_dedup.remove_repeats(df).select(*columns).collect()), key=str)
+    assert got == repeats_by_brute_force(docs)

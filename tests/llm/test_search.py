@@ -129,6 +129,9 @@ def test_long_spans_are_cut_out(spark):
     kept = decontaminate.clean(df, marks, coverage=(1, 2), longest_span=15).first().text
     assert kept == "x " * 500 + "É!  tail"
     assert decontaminate.clean(df, marks, coverage=(1, 2), longest_span=25).first().text == text
+    odd = df.withColumnRenamed("text", "te.xt")
+    cut = decontaminate.clean(odd, marks, "te.xt", coverage=(1, 2), longest_span=15).first()
+    assert cut["te.xt"] == "x " * 500 + "É!  tail"
 
 
 def test_pieces_of_a_long_item_hold_the_same_windows(monkeypatch):

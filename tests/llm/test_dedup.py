@@ -275,7 +275,7 @@ def test_names_that_go_on_over_batches(monkeypatch, held, batch):
     look into, and the same repeats."""
     monkeypatch.setattr(suffix_dedup, "HELD", held)
     draw = random.Random(held)
-    rows = sorted({(draw.randint(0, 3), draw.randint(0, 4) << 28 | draw.randint(0, 2), draw.randint(0, 5), draw.randint(0, 3) << 33 | 5 << 1) for _ in range(60)})
+    rows = sorted({(draw.randint(0, 3), draw.randint(0, 4), draw.randint(0, 2), draw.randint(0, 5), draw.randint(0, 3) << 33 | 5 << 1) for _ in range(60)})
     columns = [np.array(x, np.int64) for x in zip(*rows)]
     columns.append(np.ones(len(rows), np.int64))
 
@@ -298,7 +298,7 @@ def test_equal_steps_are_sent_once():
     start = np.array([3, 10, 17, 24, 40, 41, 43, 50, 57, 64, 3, 5])
     key = np.array([1] * 10 + [2, 2])
     one = np.full(12, 7, np.uint64)
-    out = suffix_dedup._rows(one, one, key, suffix_dedup._span(start, 0, 2))
+    out = suffix_dedup._rows(one, one, one, key, suffix_dedup._span(start, 0, 2))
     span, times = out.column("span").to_numpy(), out.column("times").to_numpy()
     assert out.num_rows < 8
     back, count = suffix_dedup._unspan(span, times)

@@ -230,10 +230,13 @@ def q07(t):
 @query(
     "q08_unbeaten",
     MODEL
-    + """select team, count(*) as unbeaten_games, string_agg(result,'' order by rn desc) as sequence
-    from (select team, result, row_number() over (
-            partition by team order by round desc, match_id desc) as rn from sides)
-    where result in ('W','T') and rn<=5 group by team having count(*)>=3""",
+    + """select team, len(good)::bigint as unbeaten_games, array_to_string(good, '') as sequence
+    from (
+      select team, list_reverse(list_filter(results[1:5], lambda x: x <> 'L')) as good
+      from (
+        select team, list(result order by round desc, match_id desc) as results
+        from sides group by team))
+    where len(good) >= 3""",
 )
 def q08(t):
     return q.unbeaten(t.finished)

@@ -15,9 +15,9 @@ def carry_forward(
     block fills itself, and the last value of the blocks before it fills its start.  Only
     one row per block meets in the window over a whole key.
 
-    The rows are shuffled once: the last row of a block is taken from the shuffled rows. It
-    is taken whole, so that both uses need the same columns and Spark runs one shuffle for
-    both.
+    The rows are shuffled once: the last row of a block, which no other follows, is taken
+    from the shuffled rows. It goes on with all its columns, so that both uses need the same
+    ones and Spark runs one shuffle for both.
     """
     # The key goes into a struct: equal also when null, and by plain equality, so that the
     # join finds the rows where the window over the blocks has put them.
@@ -33,15 +33,19 @@ def carry_forward(
         .orderBy("_seq")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    filled = rows.withColumn("_own", F.last("_value", ignorenulls=True).over(in_block))
-    tails = filled.groupBy("_key", "_block").agg(
-        F.max_by(F.struct("_own", "_row"), "_seq").alias("_last")
+    following = Window.partitionBy("_key", "_block").orderBy("_seq")
+    filled = rows.withColumns(
+        {
+            "_own": F.last("_value", ignorenulls=True).over(in_block),
+            "_ends": F.lead(F.lit(True)).over(following).isNull(),
+        }
     )
     earlier = (
         Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = tails.select(
-        "_key", "_block", F.last("_last._own", ignorenulls=True).over(earlier).alias("_carried")
-    )
+    known = F.when(F.col("_own").isNotNull(), F.struct("_own", "_row"))
+    before = F.last(known, ignorenulls=True).over(earlier)
+    carried = filled.where("_ends").select("_key", "_block", before.alias("_before"))
+    carried = carried.select("_key", "_block", F.col("_before._own").alias("_carried"))
     joined = filled.join(carried, ["_key", "_block"], "left")
     return joined.select("_row.*", F.coalesce("_own", "_carried").alias(name))

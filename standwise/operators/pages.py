@@ -335,20 +335,26 @@ def link_parents(pages: DataFrame, href: str) -> DataFrame:
     """
 
     def found(tags: Column, both: Column, spans: Column) -> Column:
+        named = F.transform(
+            tags,
+            lambda t, at: F.struct(at.alias("at"), attribute(first_match(t, HREF)).alias("href")),
+        )
+        wanted = F.filter(named, lambda link: link["href"].rlike(href))
+
         def linked(cut: Column) -> Column:
             links = F.transform(
-                tags,
-                lambda t, at: bound(
-                    innermost(cut, at),
+                wanted,
+                lambda link: bound(
+                    innermost(cut, link["at"]),
                     lambda around: F.struct(
                         F.coalesce(around["open"], F.lit(-1)).alias("open"),
                         F.coalesce(around["end"], F.size(tags)).alias("end"),
-                        at.alias("seq"),
-                        attribute(first_match(t, HREF)).alias("href"),
+                        link["at"].alias("seq"),
+                        link["href"].alias("href"),
                     ),
                 ),
             )
-            return F.array_sort(F.filter(links, lambda link: link["href"].rlike(href)))
+            return F.array_sort(links)
 
         def parents(links: Column) -> Column:
             starts = F.filter(

@@ -140,11 +140,12 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def lines_by_brute_force(rows, ratio, least, whole_above):
-    pages, hosts = {}, {}
+def lines_by_brute_force(rows, ratio, least, whole_above, copies_once=False):
+    pages, hosts, met = {}, {}, set()
     for _, text, host in rows:
-        if host is None:
+        if host is None or copies_once and (host, text) in met:
             continue
+        met.add((host, text))
         hosts[host] = hosts.get(host, 0) + 1
         for line in {x.strip(" ") for x in (text or "").split("\n")} if text is not None else ():
             pages[host, line] = pages.get((host, line), 0) + 1

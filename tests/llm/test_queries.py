@@ -125,7 +125,7 @@ def test_pipeline(spark):
     scorer = toxicity.fit(frame, trusted_labels(spark, folder))
     rows = [d for d in docs if scorer.score(d[1] or "") < toxicity.THRESHOLD]
     assert 0 < len(rows) < len(docs)
-    texts = dict(lines_by_brute_force(rows, 0.1, 3, 0.5))
+    texts = dict(lines_by_brute_force(rows, 0.1, 3, 1.0, copies_once=True))
     groups = groups_by_brute_force(list(texts.items()))
     rows = [(k, texts[k]) for k, _, component in groups if k == component]
     marked = windows_by_brute_force(rows, items, 13)
@@ -137,6 +137,22 @@ def test_pipeline(spark):
     assert sorted(got, key=str) == want
 
 
+def test_the_rule_of_the_line_stage(spark):
+    """Rows that another share, or copies that count each, would leave or cut otherwise."""
+    foot = "all rights reserved " * 9
+    rows = [(i, f"own {i}\n{foot}", "a") for i in range(6)] + [(40, foot, "a"), (41, None, "a")]
+    rows += [(10 + i, "copied one\ncopied two", "b") for i in range(6)] + [(20, "copied one\nother", "b")]
+    rows += [(30 + i, f"head\nlonger line of its own {i}", "b") for i in range(4)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    df = spark.createDataFrame([(k, t, None, s, None) for k, t, s in rows], schema)
+    found = corpus_pipeline.drop_lines(spark, df, FOLDER).collect()
+    got = sorted(((r.doc_id, r.text) for r in found), key=str)
+    assert got == lines_by_brute_force(rows, 0.1, 3, 1.0, copies_once=True)
+    assert got != lines_by_brute_force(rows, 0.1, 3, 0.5, copies_once=True)
+    assert got != lines_by_brute_force(rows, 0.1, 3, 1.0)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found)
+
+
 @pytest.mark.parametrize("k", range(4))
 def test_stages_return_the_columns_of_documents(spark, k):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score double, row int, kept string"

@@ -48,6 +48,8 @@ LEAST_SHARE, LEAST_LIFT, SURE = 0.5, 2.0, 10.0
 FEATURES, BROADCAST_LABELS = 200_000, 1_000_000
 THRESHOLD = 0.3
 REMEMBERED = 200_000
+# First letters by which plain words are told from possible signs.
+BEGINNING = 6
 # Readings of one word that are looked up by themselves; beyond, the cheapest one is.
 READINGS = 256
 # Parts of a word set apart that are joined whatever the decoder finds.
@@ -57,6 +59,7 @@ _PLAIN = re.compile(r"[^\W\d_]+\Z")
 _INNER_I = re.compile(r"(?<=[a-z])I(?=[a-z])")  # as good as a small l
 _DOUBLED = re.compile(r"(.)\1")
 _RUN = re.compile(r"(.)\1*", re.S)
+_HEAD = re.compile(r"(?:(.)\1*){1,4}", re.S)  # all that decides on four letters
 _SIGNS = re.escape("".join(LOOK_ALIKES))
 _EDGES = ".,;:?)]}\"'<>=#([{*_-~/\\…“”«»"
 # Look-alikes that are no number or amount.
@@ -65,9 +68,26 @@ _DISGUISED = re.compile(rf"(?![+$€£]*\d*[+$€£!]*\Z)[{_SIGNS}]{{2,}}\Z|[@$!
 _LETTER, _GAP = r"[^\W\d_]", rf"[{re.escape(BETWEEN)}]{{1,3}}"
 _UNIT = rf"(?:{_LETTER}[{_SIGNS}]|{_LETTER}{{1,2}}|[{_SIGNS}]{_LETTER}|[{_SIGNS}])"
 _SPACED = re.compile(rf"(?<![^\W_]){_UNIT}(?:{_GAP}{_UNIT}(?![^\W_])){{2,}}")
+# Its second part and third part, found sooner: there is a part one to four places before.
+_SECOND = re.compile(rf"[{re.escape(BETWEEN)}]{_UNIT}(?![^\W_]){_GAP}{_UNIT}(?![^\W_])")
 _GAPS = re.compile(rf"[{re.escape(BETWEEN)}]+")
 
 
+def _spaced_runs(text: str) -> list[str]:
+    """All that ``_SPACED`` finds in a text."""
+    found, at = [], 0
+    while (second := _SECOND.search(text, at)) is not None:
+        place = second.start()
+        for start in range(max(at, place - 4), place):
+            if (run := _SPACED.match(text, start)) is not None and run.end() > place + 1:
+                found.append(run[0])
+                at = run.end()
+                break
+        else:
+            at = place + 1
+    return found
+
+
 class CharacterModel:
     """Costs of a letter after two others, for words with an end mark on either side."""
 
@@ -94,7 +114,7 @@ class Restorer:
     def __init__(self, model: CharacterModel):
         self.model = model
         self.cost = model.cost.tolist()
-        self.remembered: dict[str, str] = {}
+        self.coded: dict[tuple[str, int], list[tuple[list[int], str, float]]] = {}
 
     def _options(self, sign: str, times: int) -> list[tuple[str, float]]:
         """What a run of one sign may stand for: output, channel cost. A blank ends a word."""
@@ -116,18 +136,34 @@ class Restorer:
                 found += [(c, extra + STRETCHED), (c + c, extra + 2 * STRETCHED), (c * times, MEANT)]
         return found
 
+    def _coded(self, sign: str, times: int) -> list[tuple[list[int], str, float]]:
+        """Options with the numbers of their letters; those of short runs are remembered."""
+        found = self.coded.get((sign, times))
+        if found is None:
+            number, end = self.model.of, CharacterModel.END
+            options = self._options(sign, times)
+            found = [([end if c == " " else number(c) for c in o], o, x) for o, x in options]
+            if times <= 3 and len(self.coded) < REMEMBERED:
+                self.coded[sign, times] = found
+        return found
+
     def decode(self, text: str) -> str:
         """The cheapest reading of a piece of text in lower case."""
         number, cost, end = self.model.of, self.cost, CharacterModel.END
         paths: dict[tuple[int, int], tuple[float, tuple]] = {(end, end): (0.0, ())}
-        i = 0
-        while i < len(text):
-            j = i + 1
-            while j < len(text) and text[j] == text[i]:
-                j += 1
+        for run in _RUN.finditer(text):
+            sign, times = run[1], len(run[0])
             onward: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for output, extra in self._options(text[i], j - i):
-                codes = [end if c == " " else number(c) for c in output]
+            if times == 1 and sign.isalpha():  # the one thing it can mean
+                c = number(sign)
+                for (a, b), (so_far, told) in paths.items():
+                    total = so_far + cost[a][b][c]
+                    best = onward.get((b, c))
+                    if best is None or total < best[0]:
+                        onward[b, c] = (total, (told, sign))
+                paths = onward
+                continue
+            for codes, output, extra in self._coded(sign, times):
                 for (a, b), (so_far, told) in paths.items():
                     total, x, y = so_far + extra, a, b
                     for c, letter in zip(codes, output):
@@ -143,9 +179,7 @@ class Restorer:
                     best = onward.get((x, y))
                     if best is None or total < best[0]:
                         onward[x, y] = (total, told)
-            if onward:
-                paths = onward
-            i = j
+            paths = onward
         total, told = min(
             ((t + (cost[a][b][end] if b != end else 0.0), told) for (a, b), (t, told) in paths.items()),
             key=lambda p: p[0],
@@ -189,7 +223,7 @@ class Restorer:
 
     def spaced(self, text: str) -> list[str]:
         """Restored forms of all runs of short parts in a text."""
-        return [x for run in _SPACED.finditer(text) for x in self.spaced_run(run[0])]
+        return [x for run in _spaced_runs(text) for x in self.spaced_run(run)]
 
     def restore(self, text: str) -> str:
         """A whole text with its disguised words restored, in lower case."""
@@ -198,16 +232,19 @@ class Restorer:
 
 
 class _Words(dict):
-    """Restored words of a piece, remembered."""
+    """Restored words of a piece, remembered; what is not met again for long is forgotten."""
 
     def __init__(self, find):
         super().__init__()
-        self.find = find
+        self.find, self.older = find, {}
 
     def __missing__(self, piece: str):
-        value = self.find(piece)
+        value = self.older.get(piece)
+        if value is None:
+            value = self.find(piece)
         if len(piece) <= 64:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value
@@ -235,6 +272,8 @@ class Scorer:
         self.restorer, self.shares, self.base = restorer, shares, base
         self.leads = {f >> _LEAD for f in shares}
         self.begins = _Words(self._begins)
+        self.opens = _Words(self._opens)
+        self.dull = _Words(self._dull)
         self.of_piece = _Words(self._of_piece)
         self.of_run = _Words(self._of_run)
 
@@ -242,6 +281,51 @@ class Scorer:
         """Whether some sign may begin with these letters."""
         return lead(letters) in self.leads
 
+    def _opens(self, piece: str) -> bool:
+        """Whether some word that a piece in lower case may be read as begins like a sign.
+
+        Words begin at its start and behind whatever is no letter, and may end there.
+        """
+        runs = [(run[1], len(run[0])) for run in _RUN.finditer(piece)]
+        begins, most = self.begins, PREFIXES[0]
+        for i in range(len(runs)):
+            if i and runs[i - 1][0].isalpha():
+                continue
+            read = {""}
+            for sign, times in runs[i:]:
+                letters, grown = sign, set()
+                if not sign.isalpha():
+                    if any(begins[r] for r in read if r):
+                        return True
+                    letters = LOOK_ALIKES.get(sign, "")
+                    if sign in BETWEEN:
+                        grown = set(read)
+                for c in letters:
+                    for r in read:
+                        grown.add(r + c)
+                        if times > 1:
+                            grown.update((r + c + c, r + c * times))
+                        if r.endswith(c):
+                            grown.add(r)  # doubled across a gap
+                read = set()
+                for r in grown:
+                    if len(r) < most:
+                        read.add(r)
+                    elif begins[r[:most]]:
+                        return True
+                if not read:
+                    break
+            if any(begins[r] for r in read if r):
+                return True
+        return False
+
+    def _dull(self, letters: str) -> bool:
+        """Whether no plain word with these first letters may be read as a sign."""
+        lower = letters.lower()
+        head = _HEAD.match(lower)[0]
+        known = len(head) < len(lower) and letters.isalpha() and letters[1:].islower()
+        return known and not self.opens[head]
+
     def _of_word(self, word: str) -> float:
         if not self.begins[word[: PREFIXES[0]]]:
             return 0.0
@@ -258,16 +342,12 @@ class Scorer:
         return ((word, share),) if share > 0 else ()
 
     def _of_piece(self, piece: str) -> tuple[tuple[str, float], ...]:
-        plain = piece if piece.isalpha() else piece[:-1]
-        if plain.isalpha() and piece[-1] not in LOOK_ALIKES and plain[1:].islower():
-            lower = plain.lower()
-            if _DOUBLED.search(lower) is None:
-                if not self.begins[lower[: PREFIXES[0]]]:
-                    return ()  # a plain word that no sign begins like
-            elif read := self.restorer.readings(lower):
-                # What the decoder could find is among the readings.
-                if not any(self.begins[r[: PREFIXES[0]]] for r in read):
-                    return ()
+        core = piece.strip(_EDGES)
+        if core.isalpha() and core[1:].islower():
+            if not self.opens[_HEAD.match(core.lower())[0]]:
+                return ()
+        elif any(map(str.isalpha, core)) and not self._opens(_INNER_I.sub("|", core).lower()):
+            return ()
         raw = piece.lower().strip(_EDGES + "!")
         words = {raw, *self.restorer.restore_piece(piece).split()} - {""}
         if not any(c.isalpha() for c in raw) and not _DISGUISED.match(raw):
@@ -275,15 +355,9 @@ class Scorer:
         return self._signs(words, {w for w in words if not w.isalpha() or _DOUBLED.search(w)})
 
     def _of_run(self, run: str) -> tuple[tuple[str, float], ...]:
+        if not self._opens(run.lower()):
+            return ()
         parts = _GAPS.split(run.lower())
-        if all(p.isalpha() and _DOUBLED.search(p) is None for p in parts):
-            ends = range(1, PREFIXES[0] + 1)
-            if not any(
-                self.begins["".join(parts[i : i + n])[: PREFIXES[0]]]
-                for i in range(len(parts))
-                for n in ends
-            ):
-                return ()  # no word made of these parts begins like a sign
         words = {w for told in self.restorer.spaced_run(run) for w in told.split()}
         if found := self._signs(words, {w for w in words if _DOUBLED.search(w)}):
             return found
@@ -294,14 +368,21 @@ class Scorer:
         return ((word, share),) if share > 0 else ()
 
     def score(self, text: str) -> float:
-        signs = {}
-        for found in map(self.of_piece.__getitem__, set(pieces_of(text))):
+        signs, dull = {}, self.dull
+        pieces = [
+            p
+            for p in set(pieces_of(text))
+            if not dull[p[:BEGINNING]]
+            or not (p.isalpha() or p[:-1].isalpha() and p[-1] in _EDGES)
+            or not p[1:].islower()
+        ]
+        for found in map(self.of_piece.__getitem__, pieces):
             if found:
                 signs.update(found)
-        for run in _SPACED.finditer(text):
-            signs.update(self.of_run[run[0]])
+        for run in _spaced_runs(text):
+            signs.update(self.of_run[run])
         clean = 1.0 - self.base / 4  # toxic without a known sign
-        for share in signs.values():
+        for share in sorted(signs.values()):
             clean *= 1.0 - share
         return 1.0 - clean
 
@@ -409,8 +490,8 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
                 found = {0}  # counts the documents
                 for some in map(of_piece.__getitem__, set(pieces_of(text))):
                     found.update(some)
-                for run in _SPACED.finditer(text):
-                    found.update(of_run[run[0]])
+                for run in _spaced_runs(text):
+                    found.update(of_run[run])
                 held[0].append(np.fromiter(found, np.uint64, len(found)))
                 held[1].append(np.tile([vote * toxic, vote * (1 - toxic)], (len(found), 1)))
                 size += len(found)

@@ -76,6 +76,22 @@ class Located:
         self.rewritten_at: int | None = None
 
 
+class _Refused(Exception):
+    """A template raised something for turns that begin midway."""
+
+
+def _refusing(render: Template) -> Template:
+    """The template, with whatever it raises told apart from errors around it."""
+
+    def asked(turns: list[Turn]) -> str:
+        try:
+            return render(turns)
+        except Exception as why:
+            raise _Refused from why
+
+    return asked
+
+
 def _text_span(render: Template, before: list[Turn], role: str, whole: str) -> tuple[int, int]:
     """Where the last turn's text stands in ``whole``, which renders it after ``before``."""
     one, two = (render([*before, (role, mark)]) for mark in MARKS)
@@ -95,8 +111,8 @@ def locate(render: Template, turns: list[Turn]) -> Located:
     """
     if len(turns) > FULL_PREFIXES:
         try:
-            found = _prefixes(render, turns, NEAR)
-        except Exception:  # whatever a template raises for turns that begin midway
+            found = _prefixes(_refusing(render), turns, NEAR)
+        except _Refused:
             found = None
         if found is not None and found.rewritten_at is None and found.text == render(turns):
             return found

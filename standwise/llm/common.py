@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A batch of rows that a Python worker gets at once; one longer text makes its own batch.
 BATCH_BYTES = 16 << 20
@@ -51,7 +52,7 @@ def texts(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame
 
 
 def per_batch(
-    df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]
+    df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], dict]]
 ) -> DataFrame:
     """Columns from a function of Arrow batches; ``make`` builds it once per task."""
     fields = _arrow_schema(df.sparkSession, schema)
@@ -68,11 +69,10 @@ def per_batch(
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def _arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 def carried(df: DataFrame) -> DataFrame:

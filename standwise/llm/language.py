@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from standwise.llm.common import column, per_batch, texts
 from standwise.sources.staging import stage
@@ -239,12 +240,11 @@ def sample(
 def predict(
     df: DataFrame, network: Network | None, id_col: str, text_col: str, *more: Column
 ) -> DataFrame:
-    """(id, lang_pred, score, more...) for every row."""
-    names = [c.name for c in texts(df, id_col, text_col, *more).schema.fields[2:]]
-    rows = texts(df, id_col, text_col, *more)
-    schema = "id long, lang_pred string, score double"
-    for field in rows.schema.fields[2:]:
-        schema += f", {field.name} {field.dataType.simpleString()}"
+    """(id, lang_pred, score, more...) for every row; further columns keep whatever name they have."""
+    rows = texts(df, id_col, text_col, *([F.struct(*more).alias("more")] if more else []))
+    schema = T.StructType.fromDDL("id long, lang_pred string, score double")
+    schema = T.StructType(schema.fields + rows.schema.fields[2:])
+    further = rows.columns[2:]
     shared = df.sparkSession.sparkContext.broadcast(network)
 
     def make():
@@ -262,11 +262,12 @@ def predict(
                 "id": batch.column("id"),
                 "lang_pred": label,
                 "score": score,
-            } | {name: batch.column(name) for name in names}
+            } | {name: batch.column(name) for name in further}
 
         return work
 
-    return per_batch(rows, schema, make).withColumnRenamed("id", id_col)
+    out = per_batch(rows, schema, make)
+    return out.select(F.col("id").alias(id_col), "lang_pred", "score", *(["more.*"] if more else []))
 
 
 def identify(

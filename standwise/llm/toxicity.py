@@ -567,11 +567,13 @@ def _scored(rows: DataFrame, scorer: Scorer, names: list[str], text_of) -> DataF
 def score(
     df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text", *more: Column
 ) -> DataFrame:
-    """(id, more..., score) for every row; null and empty texts have the lowest score."""
-    rows = texts(df, id_col, text_col, *more)
+    """(id, more..., score) for every row; null and empty texts have the lowest score. Further
+    columns keep whatever name they have."""
+    rows = texts(df, id_col, text_col, *([F.struct(*more).alias("more")] if more else []))
     names = [n for n in rows.columns if n != "body"]
     read = lambda batch: [b.decode("utf-8", "replace") for b in batch.column("body").to_pylist()]
-    return _scored(rows, scorer, names, read).withColumnRenamed("id", id_col)
+    found = _scored(rows, scorer, names, read)
+    return found.select(F.col("id").alias(id_col), *(["more.*"] if more else []), "score")
 
 
 def drop_toxic(

@@ -241,3 +241,51 @@ def test_language_held_out(spark):
     langs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang")
     rows = found.where("held_out").join(langs, "doc_id").where("lang is not null").collect()
     assert sum(r.lang_pred == r.lang for r in rows) / len(rows) > 0.95
+
+
+def test_shortcuts_lose_no_sign(scorer):
+    """Scores with and without the tests that pass over pieces before they are decoded."""
+    draw = random.Random(5)
+    quick = toxicity.Scorer(scorer.restorer, scorer.shares, scorer.base)
+    slow = toxicity.Scorer(scorer.restorer, scorer.shares, scorer.base)
+    slow._opens = lambda piece: True
+    slow.opens, slow.dull = toxicity._Words(slow._opens), toxicity._Words(lambda letters: False)
+    signs = {"a": "@4", "e": "3", "i": "1!|", "o": "0", "s": "$5", "t": "7+"}
+    plain = ["letter", "Iddle", "summer.", "(see", "42%", "no!", "***", "MOOD", "trees", "a-b"]
+
+    def disguised(word):
+        parts = [draw.choice(signs.get(c, c) + c) * draw.choice([1, 1, 1, 2, 4]) for c in word]
+        return draw.choice(["", "", ".", " ", "-"]).join(parts) + draw.choice(["", "!", ".", "%%", "s"])
+
+    toxic = 0
+    for _ in range(1500):
+        words = [draw.choice([draw.choice(plain), disguised(draw.choice(INSULTS + plain))]) for _ in range(6)]
+        text = draw.choice([" ", "\n", " %"]).join(words)
+        assert quick.score(text) == pytest.approx(slow.score(text), abs=1e-12), text
+        toxic += quick.score(text) > 0.3
+    assert 300 < toxic < 1500
+
+
+def test_spaced_runs_are_all_found():
+    draw = random.Random(6)
+    for _ in range(5000):
+        text = "".join(draw.choice("abI1!$. -*,_%x9\n") for _ in range(draw.randint(0, 40)))
+        found = [run[0] for run in toxicity._SPACED.finditer(text)]
+        assert toxicity._spaced_runs(text) == found, text
+
+
+def test_further_columns_of_any_name(spark, scorer):
+    """Names of the result, of the work inside, and names that no plain identifier is."""
+    rows = spark.createDataFrame(
+        [(1, "you idiot", "en"), (2, None, None), (3, "", "x")], "doc_id long, text string, lang string"
+    )
+    odd = ["score", "id", "body", "lang_pred", "held out", "a.b", "c`d"]
+    more = [F.col("lang").alias(name) for name in odd]
+    found = toxicity.score(rows, scorer, "doc_id", "text", *more)
+    assert found.columns == ["doc_id", *odd, "score"]
+    found = {r[0]: tuple(r) for r in found.collect()}
+    assert set(found) == {1, 2, 3} and found[3][1:8] == ("x",) * 7 and found[1][-1] > found[2][-1]
+    found = language.predict(rows, None, "doc_id", "text", *more)
+    assert found.columns == ["doc_id", "lang_pred", "score", *odd]
+    found = {r[0]: tuple(r) for r in found.collect()}
+    assert found[1][1:] == ("und", 0.0, *("en",) * 7) and found[2][3:] == (None,) * 7

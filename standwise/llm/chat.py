@@ -12,6 +12,7 @@ which streams through sorted rows and holds one conversation at a time.
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,10 +32,10 @@ _ESCAPE = re.compile(r"\\(\\?)")
 _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(MIDDLE) + "(.*?)" + re.escape(END), re.S)
 # Two letters of the private use area that no template treats differently.
 MARKS = ("\ue000", "\ue001")
-# Conversations up to this length are rendered in full for each prefix.
-FULL_PREFIXES = 64
-# Beyond it, the turns before a turn that are rendered with it.
+# Where windows are asked for, the turns before a turn that are rendered with it.
 NEAR = 8
+# Rendered turns that the template of this module remembers, and the longest text of one.
+REMEMBERED, SHORT = 4096, 4096
 
 
 def escape(text: str) -> str:
@@ -46,9 +47,20 @@ def unescape(text: str) -> str:
     return _ESCAPE.sub(r"\1", text)
 
 
+def _marked(role: str, text: str) -> str:
+    return f"{START}{escape(role)}{MIDDLE}{escape(text)}{END}\n"
+
+
+# A turn is rendered again in every prefix that holds it.
+_remembered = lru_cache(REMEMBERED)(_marked)
+
+
 def marked_turns(turns: list[Turn]) -> str:
     """The template of this module."""
-    return "".join(f"{START}{escape(role)}{MIDDLE}{escape(text)}{END}\n" for role, text in turns)
+    return "".join(
+        (_remembered if len(role) + len(text) <= SHORT else _marked)(role, text)
+        for role, text in turns
+    )
 
 
 def read_turns(formatted: str) -> list[Turn]:
@@ -100,16 +112,20 @@ def _text_span(render: Template, before: list[Turn], role: str, whole: str) -> t
     return start, len(whole) - after
 
 
-def locate(render: Template, turns: list[Turn]) -> Located:
+def locate(render: Template, turns: list[Turn], windows_beyond: int | None = None) -> Located:
     """Spans by comparing the outputs of successive prefixes.
 
     ``rewritten_at`` is the first turn (from 0) whose rendering changes what stood before;
-    spans are then given for the turns before it only. A long conversation is rendered with
-    the turns near each turn alone, and the pieces are compared with one rendering of the
-    whole; if they differ, or the template takes no such pieces, every prefix is rendered in
-    full.
+    spans are then given for the turns before it only. Every prefix is rendered whole,
+    however long the conversation is.
+
+    ``windows_beyond`` trades that for speed where the template is known to look back no
+    further than ``NEAR`` turns: a conversation of more turns is then rendered with the turns
+    near each turn alone, and the pieces are compared with one rendering of the whole; if
+    they differ, or the template takes no such pieces, every prefix is rendered after all. A
+    template that rewrites history at one length and back at the next goes unnoticed there.
     """
-    if len(turns) > FULL_PREFIXES:
+    if windows_beyond is not None and len(turns) > windows_beyond:
         try:
             found = _prefixes(_refusing(render), turns, NEAR)
         except _Refused:
@@ -160,13 +176,16 @@ def format_conversations(
     turn_col: str = "turn",
     role_col: str = "role",
     text_col: str = "text",
+    windows_beyond: int | None = None,
 ) -> DataFrame:
     """(id, formatted, n_turns, rewritten_at, turns, loss): one row for each conversation.
 
     turns and loss are [start, end) in code points of ``formatted``: all turns, and the texts
     (as the template escaped them) of the role that is learned. Turns are taken in ascending
     order, nulls first, equal ones by role and text; null roles and texts are empty; a null
-    id is a conversation of its own. An empty table gives no rows.
+    id is a conversation of its own. An empty table gives no rows. Texts of any length are
+    kept whole. Only the four named columns are read, so further ones may have any name.
+    ``windows_beyond`` is that of ``locate``; without it all prefixes are rendered whole.
     """
     bounded(df.sparkSession)
     rows = df.select(
@@ -179,7 +198,7 @@ def format_conversations(
 
     def run(batches):
         for keys, conversations in _grouped(batches):
-            located = [locate(render, turns) for turns in conversations]
+            located = [locate(render, turns, windows_beyond) for turns in conversations]
             loss = [
                 [list(s) for s, (role, _) in zip(found.texts, turns) if role == learned]
                 for found, turns in zip(located, conversations)

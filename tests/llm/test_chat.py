@@ -8,6 +8,7 @@ import pytest
 from standwise.llm import chat
 from standwise.llm.queries import INJECTED
 
+LONG = 64
 SCHEMA = "conv_id long, turn long, role string, text string, id int, loss string, formatted int"
 
 
@@ -79,11 +80,12 @@ def numbered(turns):
 
 
 @pytest.mark.parametrize("render", [plain, numbered, chat.marked_turns])
-@pytest.mark.parametrize("n", [0, 1, 5, chat.FULL_PREFIXES + 9])
-def test_spans(render, n):
+@pytest.mark.parametrize("n", [0, 1, 5, LONG + 9])
+@pytest.mark.parametrize("windows_beyond", [None, LONG])
+def test_spans(render, n, windows_beyond):
     draw = random.Random(n)
     told = [(draw.choice(["user", "assistant"]), draw.choice(["", "user", "x" * i])) for i in range(n)]
-    found = chat.locate(render, told)
+    found = chat.locate(render, told, windows_beyond)
     assert found.rewritten_at is None and found.text == render(told)
     safe = chat.escape if render is chat.marked_turns else str
     assert [found.text[a:b] for a, b in found.texts] == [safe(t) for _, t in told]
@@ -98,22 +100,42 @@ def alternating(turns):
     return plain(turns)
 
 
-@pytest.mark.parametrize("n", [chat.FULL_PREFIXES, chat.FULL_PREFIXES + 1])
+@pytest.mark.parametrize("n", [LONG, LONG + 1])
 def test_a_template_that_takes_whole_conversations_only(n):
     told = [(("user", "assistant")[i % 2], f"text {i}") for i in range(n)]
-    found = chat.locate(alternating, told)
+    found = chat.locate(alternating, told, LONG)
     assert found.rewritten_at is None and found.text == plain(told)
     assert [found.text[a:b] for a, b in found.texts] == [t for _, t in told]
     with pytest.raises(ValueError):
-        chat.locate(alternating, told[1:] * 2)
+        chat.locate(alternating, told[1:] * 2, LONG)
 
 
 def test_a_template_that_rewrites_history_is_found():
     told = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")]
     found = chat.locate(forgetting(), told)
     assert found.rewritten_at == 2 and len(found.turns) == 2
-    long = told * chat.FULL_PREFIXES
+    long = told * LONG
     assert chat.locate(forgetting(), long).rewritten_at == 2
+    assert chat.locate(forgetting(), long, LONG).rewritten_at == 2
+
+
+@pytest.mark.parametrize("length", [5, LONG + 6, 300])
+def test_a_template_that_rewrites_history_at_one_length_only(length):
+    def heading(turns):
+        return ("long\n" if len(turns) == length else "") + plain(turns)
+
+    told = [(("user", "assistant")[i % 2], f"text {i}") for i in range(length + 1)]
+    found = chat.locate(heading, told)
+    assert found.rewritten_at == length - 1 and len(found.turns) == length - 1
+
+
+def test_very_long_texts_and_conversations_stay_whole(spark):
+    told = [(("user", "assistant")[i % 2], f"[INST] {i} \\" * (20_000 if i == 7 else 1)) for i in range(500)]
+    df = spark.createDataFrame([(1, i, r, t, 0, "", 0) for i, (r, t) in enumerate(told)], SCHEMA)
+    row = chat.read_back(chat.format_conversations(df)).first()
+    assert row.turns_sha256 == digest("".join(f"{r}\n{t}\n" for r, t in told))
+    assert row.loss_sha256 == digest("".join(t for r, t in told if r == "assistant"))
+    assert row.formatted_chars == len(chat.marked_turns(told))
 
 
 def test_rewriting_in_a_table(spark):

@@ -8,7 +8,7 @@ from standwise import schemas
 from standwise.functions import numbers as n
 from standwise.operators import keyed
 from standwise.operators.matches import coerce
-from standwise.plans import load, pipeline
+from standwise.plans import daily, load, pipeline
 from standwise.sources import binding as b
 from standwise.sources import files
 from standwise.sources.staging import staging_path
@@ -295,3 +295,23 @@ def whole_run(t):
     }
     status = pipeline.run(t.spark, raw, staging_path(t.spark, "run"), b.SOURCE_ORDER, now=moment())
     return status.select("table", "rows", "rejected")
+
+
+def two_days(t):
+    """A first day that knows some games of all rounds, and a second with two rounds in three."""
+    root = staging_path(t.spark, "daily")
+    number = F.col("round")
+    known = t.stored_finished.filter((number % 3 == 0) | (F.length("match_id") % 2 == 0))
+    daily.add_rounds(t.spark, known, number.isNull() | (number >= 0), root)
+    daily.add_rounds(t.spark, t.stored_finished, number.isNull() | (number % 3 != 0), root)
+    return root
+
+
+@query("team_stats_daily", MODEL + "select * from team_stats")
+def team_stats_daily(t):
+    return daily.team_stats(t.spark, two_days(t), t.standings)
+
+
+@query("round_goals_daily", MODEL + "select * from round_goals")
+def round_goals_daily(t):
+    return daily.round_goals(t.spark, two_days(t))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from standwise.functions.numbers import half_even
 from standwise.functions.scoring import performance_score, points, points_pct
 from standwise.operators.matches import one_per_team, sides
-from standwise.schemas import TEAM_STATS
+from standwise.schemas import ROUND_TOTALS, TEAM_STATS
 
 
 def _side_aggregates(prefix: str, part: Column) -> list[Column]:
@@ -36,10 +36,32 @@ def team_totals(finished: DataFrame) -> DataFrame:
     )
 
 
+def round_totals(finished: DataFrame) -> DataFrame:
+    """The counts of ``team_totals`` for each round and team; no round is a round of its own."""
+    played = sides(finished).filter(F.col("team").isNotNull())
+    sums = [
+        *_side_aggregates("total", F.lit(True)),
+        *_side_aggregates("home", ~F.col("is_away")),
+        *_side_aggregates("away", F.col("is_away")),
+    ]
+    return played.groupBy("round", "team").agg(*sums).select(*ROUND_TOTALS.names)
+
+
+def merged_totals(rounds: DataFrame) -> DataFrame:
+    """The counts of ``team_totals`` from those of all rounds."""
+    sums = [F.sum(c).alias(c) for c in ROUND_TOTALS.names if c not in ("round", "team")]
+    return rounds.groupBy("team").agg(*sums)
+
+
 def team_stats(finished: DataFrame, standings: DataFrame) -> DataFrame:
     """Totals with averages, points share, place in the standings and score."""
+    return measured(team_totals(finished), standings)
+
+
+def measured(totals: DataFrame, standings: DataFrame) -> DataFrame:
+    """Counts per team with what ``team_stats`` adds to them."""
     games = F.col("total_games")
-    totals = team_totals(finished).withColumns(
+    totals = totals.withColumns(
         {
             "goal_diff_calc": F.col("total_goals_for") - F.col("total_goals_against"),
             "avg_goals_for": half_even(F.col("total_goals_for") / games, 2),

@@ -87,6 +87,17 @@ TEAM_STATS = struct(
     away_goals_against=LONG,
 )
 
+# Counts of a team within one round.
+ROUND_TOTALS = struct(
+    round=INT,
+    team=STR,
+    **{
+        f"{part}_{count}": LONG
+        for part in ("total", "home", "away")
+        for count in ("games", "wins", "ties", "losses", "goals_for", "goals_against")
+    },
+)
+
 RECENT_FORM = struct(
     team=STR,
     recent_games=LONG,

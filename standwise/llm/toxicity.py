@@ -13,7 +13,7 @@ Near copies among the labelled documents share one vote for each label.
 """
 
 import re
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
@@ -147,8 +147,31 @@ class Restorer:
                 self.coded[sign, times] = found
         return found
 
+    def _pairs(self, text: str) -> str | None:
+        """The cheapest reading of letters of which some stand twice, or None if more than two
+        or two pairs stand together.
+
+        The two readings of a pair differ in what is paid for the letters of the pair and the
+        one behind; from there on both paths are in one state. So each pair is settled alone.
+        """
+        number, cost, end = self.model.of, self.cost, CharacterModel.END
+        parts, at = [], 0
+        for pair in _DOUBLED.finditer(text):
+            i = pair.start()
+            behind = text[i + 2 : i + 3]
+            if (at and i == at) or behind == pair[1]:
+                return None
+            b, c = number(text[i - 1]) if i else end, number(pair[1])
+            d = number(behind) if behind else end
+            once = DOUBLED + cost[b][c][d] < cost[b][c][c] + cost[c][c][d]
+            parts.append(text[at : i + 1] if once else text[at : i + 2])
+            at = i + 2
+        return "".join([*parts, text[at:]])
+
     def decode(self, text: str) -> str:
         """The cheapest reading of a piece of text in lower case."""
+        if text.isalpha() and (told := self._pairs(text)) is not None:
+            return told
         number, cost, end = self.model.of, self.cost, CharacterModel.END
         paths: dict[tuple[int, int], tuple[float, tuple]] = {(end, end): (0.0, ())}
         for run in _RUN.finditer(text):
@@ -250,12 +273,12 @@ class _Words(dict):
         return value
 
 
-_LEAD = 48
+_LEAD = 40
 
 
 def lead(word: str) -> int:
-    """Sixteen bits for the first letters, which all features of a word begin with."""
-    return xxh3_64_intdigest("l " + word[: PREFIXES[0]]) & 0xFFFF
+    """24 bits for the first letters, which all features of a word begin with."""
+    return xxh3_64_intdigest("l " + word[: PREFIXES[0]]) & 0xFFFFFF
 
 
 def features(word: str) -> list[int]:
@@ -276,6 +299,8 @@ class Scorer:
         self.dull = _Words(self._dull)
         self.of_piece = _Words(self._of_piece)
         self.of_run = _Words(self._of_run)
+        self.silent: set[str] = set()
+        self.silent_before: set[str] = set()
 
     def _begins(self, letters: str) -> bool:
         """Whether some sign may begin with these letters."""
@@ -344,8 +369,12 @@ class Scorer:
     def _of_piece(self, piece: str) -> tuple[tuple[str, float], ...]:
         core = piece.strip(_EDGES)
         if core.isalpha() and core[1:].islower():
-            if not self.opens[_HEAD.match(core.lower())[0]]:
+            lower = core.lower()
+            if not self.opens[_HEAD.match(lower)[0]]:
                 return ()
+            if lower.isalpha() and _DOUBLED.search(lower) is None:  # reads as itself alone
+                share = self._of_word(lower)
+                return ((lower, share),) if share > 0 else ()
         elif any(map(str.isalpha, core)) and not self._opens(_INNER_I.sub("|", core).lower()):
             return ()
         raw = piece.lower().strip(_EDGES + "!")
@@ -367,18 +396,29 @@ class Scorer:
         share, word = max(((self.shares.get(features(r)[0], 0.0), r) for r in read), default=(0.0, ""))
         return ((word, share),) if share > 0 else ()
 
+    def _is_dull(self, piece: str) -> bool:
+        """Whether the first letters alone tell that a piece holds no sign."""
+        return (
+            self.dull[piece[:BEGINNING]]
+            and piece[1:].islower()
+            and (piece.isalpha() or (piece[:-1].isalpha() and piece[-1] in _EDGES))
+        )
+
+    def _silence(self, piece: str) -> None:
+        """Remember a piece without signs, in two generations."""
+        if len(self.silent) >= REMEMBERED:
+            self.silent_before, self.silent = self.silent, set()
+        if len(piece) <= 64:
+            self.silent.add(piece)
+
     def score(self, text: str) -> float:
-        signs, dull = {}, self.dull
-        pieces = [
-            p
-            for p in set(pieces_of(text))
-            if not dull[p[:BEGINNING]]
-            or not (p.isalpha() or p[:-1].isalpha() and p[-1] in _EDGES)
-            or not p[1:].islower()
-        ]
-        for found in map(self.of_piece.__getitem__, pieces):
+        signs = {}
+        for piece in set(pieces_of(text)) - self.silent - self.silent_before:
+            found = () if self._is_dull(piece) else self.of_piece[piece]
             if found:
                 signs.update(found)
+            else:
+                self._silence(piece)
         for run in _spaced_runs(text):
             signs.update(self.of_run[run])
         clean = 1.0 - self.base / 4  # toxic without a known sign
@@ -473,32 +513,49 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
         told_by = lambda words: tuple(f for w in words for f in features(w))
         of_piece = _Words(lambda p: told_by(tool.restore_piece(p).split()))
         of_run = _Words(lambda r: told_by({w for told in tool.spaced_run(r) for w in told.split()}))
-        held: list[list[np.ndarray]] = [[], []]  # features and votes, by document
+        of = lambda name: of_piece[name] if isinstance(name, str) else of_run[name[0]]
+        numbers: dict[str | tuple[str], int] = {}  # pieces, and runs in tuples, of some documents
+        held: list[np.ndarray] = []  # their numbers, by document
+        votes: list[tuple[float, float]] = []
         size = 0
 
         def told():
-            kind, parts = np.unique(np.concatenate(held[0]), return_inverse=True)
-            toxic, clean = (np.bincount(parts, np.concatenate(held[1])[:, k], len(kind)) for k in (0, 1))
+            """Votes of every feature, once for each document that has it."""
+            told_by_name = list(map(of, numbers))
+            n_of = np.fromiter(map(len, told_by_name), np.int64, len(numbers))
+            flat = np.fromiter(chain.from_iterable(told_by_name), np.uint64, n_of.sum())
+            kinds, place = np.unique(flat, return_inverse=True)
+            first = np.cumsum(n_of) - n_of
+            names = np.concatenate(held)
+            document = np.repeat(np.arange(len(held)), [len(x) for x in held])
+            times = n_of[names]
+            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            pairs = np.repeat(document, times) * len(kinds) + place[np.repeat(first[names], times) + within]
+            document, place = np.divmod(np.unique(pairs), max(1, len(kinds)))
+            given = np.array(votes)
+            sums = [np.bincount(place, given[document, k], len(kinds)) for k in (0, 1)]
+            # Feature 0 counts the documents.
             return pa.RecordBatch.from_pydict(
-                {"feature": pa.array(kind.view(np.int64)), "toxic": toxic, "clean": clean}
+                {
+                    "feature": pa.array(np.append(kinds, np.uint64(0)).view(np.int64)),
+                    "toxic": np.append(sums[0], given[:, 0].sum()),
+                    "clean": np.append(sums[1], given[:, 1].sum()),
+                }
             )
 
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("body", "toxic", "vote")]
             for body, toxic, vote in zip(*columns):
                 text = body.decode("utf-8", "replace")
-                found = {0}  # counts the documents
-                for some in map(of_piece.__getitem__, set(pieces_of(text))):
-                    found.update(some)
-                for run in _spaced_runs(text):
-                    found.update(of_run[run])
-                held[0].append(np.fromiter(found, np.uint64, len(found)))
-                held[1].append(np.tile([vote * toxic, vote * (1 - toxic)], (len(found), 1)))
+                names = {*pieces_of(text), *zip(_spaced_runs(text))}
+                found = [numbers.setdefault(name, len(numbers)) for name in names]
+                held.append(np.array(found, np.int64))
+                votes.append((vote * toxic, vote * (1 - toxic)))
                 size += len(found)
-                if size > 1 << 20:
+                if size > 1 << 18:
                     yield told()
-                    held, size = [[], []], 0
-        if size:
+                    numbers, held, votes, size = {}, [], [], 0
+        if held:
             yield told()
 
     counts = rows.mapInArrow(run, "feature long, toxic double, clean double").groupBy("feature")

@@ -289,3 +289,16 @@ def test_further_columns_of_any_name(spark, scorer):
     assert found.columns == ["doc_id", "lang_pred", "score", *odd]
     found = {r[0]: tuple(r) for r in found.collect()}
     assert found[1][1:] == ("und", 0.0, *("en",) * 7) and found[2][3:] == (None,) * 7
+
+
+def test_pairs_are_settled_as_on_the_lattice(monkeypatch):
+    draw = random.Random(5)
+    n = 4 + 2
+    counts = np.array([draw.choice([0, 0, 1, 9, 400]) for _ in range(n**3)])
+    restorer = toxicity.Restorer(toxicity.CharacterModel("abcd", counts))
+    words = ["".join(draw.choice("aabbccdxy") for _ in range(draw.randint(1, 9))) for _ in range(3000)]
+    words += ["aabaa", "xxyy", "xyyx", "aaa", "aabb", "a", "bb"]
+    assert sum(restorer._pairs(w) not in (None, w) for w in words) > 100
+    found = list(map(restorer.decode, words))
+    monkeypatch.setattr(restorer, "_pairs", lambda text: None)
+    assert found == list(map(restorer.decode, words))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from standwise.llm import bpe, decontaminate, line_dedup, minhash, toxicity
 from standwise.llm.queries import WORD_BPE, table, trusted_labels
-from standwise.sources.staging import stage
+from standwise.sources.staging import in_turn
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +49,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another, each written as Parquet and read again."""
-    rows = table(spark, sf_dir, "documents")
-    for _, work in STAGES:
-        rows = stage(work(spark, rows, sf_dir))
-    return rows
+    """The stages one after another, each written as Parquet and read again; what a stage
+    leaves behind is removed once the next one stands."""
+    steps = [lambda rows, work=work: work(spark, rows, sf_dir) for _, work in STAGES]
+    return in_turn(spark, table(spark, sf_dir, "documents"), steps)

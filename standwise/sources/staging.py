@@ -2,7 +2,7 @@
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +52,34 @@ def staged_for(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _runs.remove(paths)
+        _runs.pop()
         for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def in_turn(
+    spark: SparkSession, rows: DataFrame, steps: Iterable[Callable[[DataFrame], DataFrame]]
+) -> DataFrame:
+    """What the steps make of the rows one after another, each result staged.
+
+    All that a step staged itself goes once its result is written, and so does the result
+    before it: at most two results and one step's own tables stand at a time.
+    """
+    last = None
+    for step in steps:
+        path = staging_path(spark)
+        with staged_for(spark):
+            made = step(rows)
+            made.write.parquet(path)
+        rows = spark.read.schema(made.schema).parquet(path)
+        if last is not None:
+            _remove(spark, last)
+        last = path
+    if last is not None and _runs:
+        _runs[-1].append(last)
+    return rows

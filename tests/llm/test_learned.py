@@ -1,5 +1,6 @@
 """Toxicity and language: the parts by themselves, and held-out accuracy."""
 
+import os
 import random
 
 import numpy as np
@@ -172,6 +173,17 @@ def test_toxicity_held_out(spark):
     assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
 
 
+@pytest.mark.parametrize("size, recall, precision", [("sf0.01", 0.6, 0.95), ("sf0.1", 0.9, 0.75)])
+def test_toxic_documents_are_caught(spark, size, recall, precision):
+    """Of the held-out toxic documents some use words that few learned ones do."""
+    folder = f"{os.path.dirname(FOLDER)}/{size}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    found = QUERIES["op3_toxicity"](spark, folder).where("held_out").join(labels, "doc_id")
+    n = {tuple(r[:2]): r[2] for r in found.groupBy("predicted", "toxic").count().collect()}
+    assert n[1, 1] >= recall * (n[1, 1] + n[0, 1])
+    assert n[1, 1] >= precision * (n[1, 1] + n.get((1, 0), 0))
+
+
 def test_gradients():
     network = language.Network(["a", "b"], states=3)
     draw = np.random.default_rng(0)

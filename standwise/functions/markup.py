@@ -7,10 +7,14 @@ not they are closed. Values used inside lambdas are bound first: Spark works an
 out again for each element otherwise.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from standwise.llm.common import bounded
 
 # Elements that have no content and no closing tag.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
@@ -143,6 +147,72 @@ def spans(tags: Column) -> Column:
     return bound(tags, paired)
 
 
+def paired_tags(names: list[str], steps: list[int]) -> tuple[list[int], list[int]]:
+    """Openings and ends of the elements of one page, as ``spans`` finds them, in one pass."""
+    n = len(names)
+    waiting: dict[str, list[int]] = {}
+    closed: dict[int, int] = {}
+    following: dict[int, int] = {}
+    newest: dict[str, int] = {}
+    openings = []
+    for at in range(n):
+        step, name = steps[at], names[at]
+        if step == 1:
+            openings.append(at)
+            waiting.setdefault(name, []).append(at)
+            if name in newest:
+                following[newest[name]] = at
+            newest[name] = at
+        elif step == -1 and waiting.get(name):
+            closed[waiting[name].pop()] = at
+    ends = []
+    around: list[int] = []
+    for at in openings:
+        end = closed.get(at)
+        if end is None:
+            # A closed element that has ended stands around nothing further on.
+            while around and around[-1] <= at:
+                around.pop()
+            ends.append(min(following.get(at, n), around[-1] if around else n))
+        else:
+            ends.append(end)
+            around.append(end)
+    return openings, ends
+
+
+def with_spans(df: DataFrame, tags: str, name: str) -> DataFrame:
+    """``spans`` of an array column of tags in its place, under another name.
+
+    For whole pages: their many tags are paired by one pass over plain lists.
+    """
+    bounded(df.sparkSession)
+    rest = [c for c in df.columns if c != tags]
+    span = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("open", "end")]))
+    schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(name, span)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = batch.column(tags)
+            first, last = given.offsets[0].as_py(), given.offsets[-1].as_py()
+            flat = given.values.slice(first, last - first)
+            names, steps = (flat.field(i).to_pylist() for i in range(2))
+            offsets = [x - first for x in given.offsets.to_pylist()]
+            opens, ends, sizes = [], [], [0]
+            for low, high in zip(offsets, offsets[1:]):
+                some, their = paired_tags(names[low:high], steps[low:high])
+                opens += some
+                ends += their
+                sizes.append(len(opens))
+            found = pa.StructArray.from_arrays(
+                [pa.array(opens, pa.int32()), pa.array(ends, pa.int32())], ["open", "end"]
+            )
+            columns = [batch.column(c) for c in rest]
+            columns.append(pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), found))
+            yield pa.RecordBatch.from_arrays(columns, [*rest, name])
+
+    return df.mapInArrow(run, schema)
+
+
 def interleaved(parts: Column, tags: Column) -> Column:
     """Part, tag, part, ..., part and an empty text: tag k stands at 2 k + 1."""
     return bound(

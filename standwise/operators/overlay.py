@@ -70,8 +70,11 @@ def _replace_goals(joined: DataFrame, columns: list[str]) -> DataFrame:
 
 def overlay_scores(matches: DataFrame, scores: DataFrame) -> DataFrame:
     """Matches with the goals of the last score of the same id, where there is one."""
-    joined = matches.join(last_scores(scores), "match_id", "left")
-    return _replace_goals(joined, matches.columns)
+    return _with_last(matches, last_scores(scores))
+
+
+def _with_last(matches: DataFrame, last: DataFrame) -> DataFrame:
+    return _replace_goals(matches.join(last, "match_id", "left"), matches.columns)
 
 
 def has_overlap(matches: DataFrame, scores: DataFrame) -> bool:
@@ -238,11 +241,14 @@ def overlay_tiers(
     """Scores by id; if those touch no match, scores by link; failing both, by page text.
 
     A tier that is not given touches no match. Which tier applies is settled by a look for
-    the first overlap, so the page texts are read only when they are needed.
+    the first overlap, so the page texts are read only when they are needed. What a tier
+    found is written once, for that look and for the overlay: it may be read from pages.
     """
     for scores in (by_id, by_link):
-        if scores is not None and has_overlap(matches, scores):
-            return overlay_scores(matches, scores)
+        if scores is not None:
+            last = stage(last_scores(scores))
+            if has_overlap(matches, last):
+                return _with_last(matches, last)
     return matches if texts is None else overlay_text(matches, texts)
 
 

@@ -18,6 +18,7 @@ from standwise.functions.markup import (
     interleaved,
     span_blocks,
     spans,
+    with_spans,
 )
 from standwise.functions.numbers import strip
 from standwise.functions.text import (
@@ -273,8 +274,9 @@ def page_text(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", unescape(F.regexp_replace(bare, r"<[^>]*>", " ")).alias("text"))
 
 
-def _marked_up(html: Column, use) -> Column:
-    """``use`` of a page's tags, its parts and tags interleaved, and the spans of its elements."""
+def _marked_up(pages: DataFrame) -> DataFrame:
+    """(page_id, tags, both, spans): a page's tags, its parts and tags interleaved, and the
+    spans of its elements."""
 
     def named(tags: Column) -> Column:
         return F.transform(
@@ -294,13 +296,22 @@ def _marked_up(html: Column, use) -> Column:
     def of_tags(plain: Column) -> Column:
         return bound(
             pieces(plain, TAG, 0),
-            lambda tags: bound(
-                interleaved(F.split(plain, TAG), tags),
-                lambda both: bound(spans(named(tags)), lambda found: use(tags, both, found)),
+            lambda tags: F.struct(
+                tags.alias("tags"),
+                interleaved(F.split(plain, TAG), tags).alias("both"),
+                named(tags).alias("named"),
             ),
         )
 
-    return bound(F.regexp_replace(html, HIDDEN, " "), of_tags)
+    whole = bound(F.regexp_replace("html", HIDDEN, " "), of_tags)
+    cut = pages.where("html is not null").select("page_id", F.explode(F.array(whole)).alias("page"))
+    return with_spans(cut.select("page_id", "page.*"), "named", "spans")
+
+
+def shown(inside: Column) -> Column:
+    """Visible text of a piece of markup.  It is worked out before a page's elements become
+    rows: a filter on what is read from it would work it out again."""
+    return blank_to_null(tag_text(inside, " "))
 
 
 def marked_blocks(pages: DataFrame, name: str) -> DataFrame:
@@ -313,16 +324,19 @@ def marked_blocks(pages: DataFrame, name: str) -> DataFrame:
         return F.transform(
             marked,
             lambda s: F.struct(
-                F.get(tags, s["open"]).alias("tag"), between(both, s).alias("inside")
+                F.get(tags, s["open"]).alias("tag"), shown(between(both, s)).alias("text")
             ),
         )
 
-    blocks = pages.select("page_id", F.posexplode(_marked_up(F.col("html"), found)).alias("seq", "block"))
+    blocks = _marked_up(pages).select(
+        "page_id",
+        F.posexplode(found(F.col("tags"), F.col("both"), F.col("spans"))).alias("seq", "block"),
+    )
     return blocks.select(
         "page_id",
         "seq",
         attribute(first_match(F.col("block.tag"), value)).alias("id_text"),
-        blank_to_null(tag_text(F.col("block.inside"), " ")).alias("text"),
+        F.col("block.text").alias("text"),
     )
 
 
@@ -377,16 +391,14 @@ def link_parents(pages: DataFrame, href: str) -> DataFrame:
                     F.get(links, k)["seq"].alias("seq"), F.get(links, k)["href"].alias("href")
                 ),
             )
-            return F.struct(own.alias("links"), between(both, F.get(links, s["start"])).alias("inside"))
+            inside = between(both, F.get(links, s["start"]))
+            return F.struct(own.alias("links"), shown(inside).alias("text"))
 
         return bound(bound(span_blocks(spans), linked), parents)
 
-    rows = pages.select("page_id", F.explode(_marked_up(F.col("html"), found)).alias("parent"))
-    return rows.select(
-        "page_id",
-        F.col("parent.links").alias("links"),
-        blank_to_null(tag_text(F.col("parent.inside"), " ")).alias("text"),
-    )
+    around = found(F.col("tags"), F.col("both"), F.col("spans"))
+    rows = _marked_up(pages).select("page_id", F.explode(around).alias("parent"))
+    return rows.select("page_id", "parent.links", "parent.text")
 
 
 def scores_from_pages(

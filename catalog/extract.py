@@ -266,7 +266,7 @@ def doc_rows_parse(t):
 @query("round_forward_fill", DOCS + "select doc_id, seq, round from filled")
 def round_forward_fill(t):
     rows = documents.game_rows(documents.named_cells(b.document_rows(t)))
-    return documents.fill_round(rows).select("doc_id", "seq", "round")
+    return documents.fill_round(rows.select("doc_id", "seq", "round"))
 
 
 SCORERS = (

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from standwise.functions.numbers import strip
 from standwise.functions.text import NO_KICKOFF, first_match, game
 from standwise.operators.fill import carry_forward
+from standwise.sources.staging import stage
 
 # What the cells of a document row hold, in order.
 CELLS = ["match_id", "round", "match_date", "kickoff", "game", "venue", "city", "state"]
@@ -29,10 +30,14 @@ def game_rows(rows: DataFrame) -> DataFrame:
 
 
 def fill_round(rows: DataFrame) -> DataFrame:
-    """Round of each row, carried on from the last row that named one."""
-    named = first_match(F.col("round_cell"), r"(?U)(\d+)").try_cast("int")
-    cells = rows.withColumnRenamed("round", "round_cell")
-    return carry_forward(cells, "doc_id", "seq", named, "round").drop("round_cell")
+    """Round of each row, carried on from the last row that named one.
+
+    The rows are read from cells and used twice, so they are written once.
+    """
+    named = first_match(F.col("round"), r"(?U)(\d+)").try_cast("int")
+    cells = stage(rows.withColumn("named_round", named).drop("round"))
+    filled = carry_forward(cells, "doc_id", "seq", F.col("named_round"), "round")
+    return filled.drop("named_round")
 
 
 def parse_games(rows: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Filling in scores found elsewhere: by match id, or by team names in page text."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ SALTS = 16
 # Pairs with a score that may be broadcast, some dozens of bytes each.
 BROADCAST_PAIRS = 200_000
 
+# Letters of a word that are looked up before words are cut out of a text, and places of the
+# table they are looked up in.
+LETTERS = 3
+PLACES = 4096
+
 # A whole number, a cross, and the start of another number.
 SCORE_START = r"(?U)(?<!\d)(\d+)\s*[xX]\s*(?=\d)"
 
@@ -133,27 +140,53 @@ def _lengths(words: DataFrame, column: str) -> Column:
     return words.agg(F.collect_set(F.length(column))).scalar()
 
 
-def _words_before(hits: DataFrame) -> DataFrame:
+def _letters(words: DataFrame, column: str, cut: Callable) -> tuple[Column, Callable]:
+    """How many letters are looked up, and whether some letters may be those of a word.
+
+    ``cut`` takes the letters from an end of the word.  Their hashes are marked in a table of
+    a fixed size, so a place in a text that no word can stand at is told before it is cut.
+    """
+    size = words.agg(F.least(F.lit(LETTERS), F.min(F.length(column)))).scalar()
+
+    def place(letters: Column) -> Column:
+        return F.pmod(F.hash(letters), F.lit(PLACES))
+
+    used = words.select(place(cut(F.col(column), size)).alias("used"))
+    every = F.sequence(F.lit(0), F.lit(PLACES - 1))
+    marked = used.agg(F.collect_set("used").alias("used")).select(
+        F.transform(every, lambda i: F.array_contains("used", i))
+    )
+    table = marked.scalar()
+    return size, lambda letters: F.get(table, place(letters))
+
+
+def _words_before(hits: DataFrame, pairs: DataFrame) -> DataFrame:
     """(page_id, at, home_word): texts of known lengths that end at most ``REACH``
-    non-digits before a score."""
+    non-digits before a score, where the last letters are those of a word."""
     left, n, skip = F.col("left"), F.col("n"), F.col("skip")
+    size, known = _letters(pairs, "home_word", F.right)
     gap = F.length(F.regexp_extract(F.right(left, F.lit(REACH)), r"[^0-9]*$", 0))
-    skips = F.sequence(F.lit(0), F.least(gap, F.length(left) - n))
+    skips = F.sequence(F.lit(0), F.least(gap, F.length(left) - 1))
     return (
-        hits.select("page_id", "at", "left", F.explode("home_lengths").alias("n"))
-        .filter(n <= F.length(left))
-        .withColumn("skip", F.explode(skips))
+        hits.filter(F.length(left) > 0)
+        .select("page_id", "at", "left", "home_lengths", F.explode(skips).alias("skip"))
+        .filter(known(F.substring(left, F.length(left) - skip - size + 1, size)))
+        .withColumn("n", F.explode("home_lengths"))
+        .filter(n + skip <= F.length(left))
         .select("page_id", "at", F.substring(left, F.length(left) - skip - n + 1, n).alias("home_word"))
     )
 
 
-def _words_after(hits: DataFrame) -> DataFrame:
-    """One row per text of a known length starting at most ``REACH`` non-digits after a score."""
+def _words_after(hits: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row per text of a known length starting at most ``REACH`` non-digits after a score,
+    where the first letters are those of a word."""
     right, n, skip = F.col("right"), F.col("n"), F.col("skip")
+    size, known = _letters(pairs, "away_word", F.left)
     gap = F.length(F.regexp_extract(right, rf"^[^0-9]{{0,{REACH}}}", 0))
     return (
-        hits.withColumn("n", F.explode("away_lengths"))
-        .withColumn("skip", F.explode(F.sequence(F.lit(0), gap)))
+        hits.withColumn("skip", F.explode(F.sequence(F.lit(0), gap)))
+        .filter(known(F.substring(right, skip + 1, size)))
+        .withColumn("n", F.explode("away_lengths"))
         .withColumn("away_word", F.substring(right, skip + 1, n))
         .drop("left", "right", "home_lengths", "away_lengths", "n", "skip")
     )
@@ -187,9 +220,9 @@ def pair_scores(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     salt = F.pmod(F.hash("page_id", "at"), F.lit(SALTS))
     homes = _spread(pairs.select("home_word").distinct())
-    before = _words_before(hits).withColumn("salt", salt).join(homes, ["home_word", "salt"])
+    before = _words_before(hits, pairs).withColumn("salt", salt).join(homes, ["home_word", "salt"])
     near_home = hits.join(before.distinct(), ["page_id", "at"])
-    near_both = _words_after(near_home).join(_spread(pairs), ["home_word", "away_word", "salt"])
+    near_both = _words_after(near_home, pairs).join(_spread(pairs), ["home_word", "away_word", "salt"])
 
     place = F.struct("page_id", "at")
     per_salt = near_both.groupBy("home_word", "away_word", "salt").agg(

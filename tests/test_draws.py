@@ -26,6 +26,18 @@ def test_counts_of_texts_of_any_length(monkeypatch):
         assert (won[i], lost[i]) == (sum(w for w, _ in each), sum(x for _, x in each)), i
 
 
+def test_what_all_texts_share_is_added_once():
+    """Words that are the same in all texts have no place for each text."""
+    texts = [b"42:1234:M1000%03d-1" % i for i in range(5)]
+    fronts = draws._heads([b"42:1234"], 1)
+    ends = draws._padded([x[7:] for x in texts], 7, 1).T
+    words = draws._joined(fronts, [end if end.any() else None for end in ends])
+    assert words[0].ndim == 0 and words[1].ndim == words[2].ndim == 1 and words[6] is None
+    lanes = draws.md5_lanes(words, (5,))
+    for i, text in enumerate(texts):
+        assert hashlib.md5(text).hexdigest() == "".join(f"{x[i]:08x}" for x in lanes)
+
+
 def test_sums_of_teams_beyond_a_byte():
     """600 games of one pair, and a team that plays itself."""
     tails = [f":{i}".encode() for i in range(603)]

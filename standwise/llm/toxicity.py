@@ -46,6 +46,8 @@ DOUBT = 4.0
 LEAST_SHARE, LEAST_LIFT, SURE = 0.5, 2.0, 10.0
 # Features of a fitted model, the surest ones; labelled documents that may be broadcast.
 FEATURES, BROADCAST_LABELS = 200_000, 1_000_000
+# One in so many clean documents is counted with the toxic ones.
+EARLY = 4
 THRESHOLD = 0.3
 REMEMBERED = 200_000
 # First letters by which plain words are told from possible signs.
@@ -309,40 +311,49 @@ class Scorer:
     def _opens(self, piece: str) -> bool:
         """Whether some word that a piece in lower case may be read as begins like a sign.
 
-        Words begin at its start and behind whatever is no letter, and may end there.
+        Words begin at its start and behind whatever is no letter, and may end there. What has
+        been read of all of them is followed together, in one pass.
         """
-        runs = [(run[1], len(run[0])) for run in _RUN.finditer(piece)]
         begins, most = self.begins, PREFIXES[0]
-        for i in range(len(runs)):
-            if i and runs[i - 1][0].isalpha():
-                continue
-            read = {""}
-            for sign, times in runs[i:]:
+        read: set[str] = set()
+        start = True
+        for run in _RUN.finditer(piece):
+            sign = run[1]
+            if start:
+                read.add("")
+                start = False
+            if not sign.isalpha():
+                start = True
+                if any(begins[r] for r in read if r):
+                    return True
+                letters = LOOK_ALIKES.get(sign, "")
+                grown = set(read) if sign in BETWEEN else set()
+            elif read:
                 letters, grown = sign, set()
-                if not sign.isalpha():
-                    if any(begins[r] for r in read if r):
-                        return True
-                    letters = LOOK_ALIKES.get(sign, "")
-                    if sign in BETWEEN:
-                        grown = set(read)
-                for c in letters:
-                    for r in read:
-                        grown.add(r + c)
-                        if times > 1:
-                            grown.update((r + c + c, r + c * times))
-                        if r.endswith(c):
-                            grown.add(r)  # doubled across a gap
-                read = set()
-                for r in grown:
-                    if len(r) < most:
-                        read.add(r)
-                    elif begins[r[:most]]:
-                        return True
-                if not read:
-                    break
-            if any(begins[r] for r in read if r):
-                return True
-        return False
+            else:
+                continue
+            times = run.end() - run.start()
+            for c in letters:
+                for r in read:
+                    grown.add(r + c)
+                    if times > 1:
+                        grown.update((r + c + c, r + c * times))
+                    if r.endswith(c):
+                        grown.add(r)  # doubled across a gap
+            read = set()
+            for r in grown:
+                if len(r) < most:
+                    read.add(r)
+                elif begins[r[:most]]:
+                    return True
+        return any(begins[r] for r in read if r)
+
+    def _tells(self, piece: str) -> bool:
+        """Whether some word that a piece may be read as begins like a sign, or it is no word."""
+        core = piece.strip(_EDGES)
+        if core.isalpha() and core[1:].islower():
+            return self.opens[_HEAD.match(core.lower())[0]]
+        return not any(map(str.isalpha, core)) or self._opens(_INNER_I.sub("|", core).lower())
 
     def _dull(self, letters: str) -> bool:
         """Whether no plain word with these first letters may be read as a sign."""
@@ -367,16 +378,14 @@ class Scorer:
         return ((word, share),) if share > 0 else ()
 
     def _of_piece(self, piece: str) -> tuple[tuple[str, float], ...]:
+        if not self._tells(piece):
+            return ()
         core = piece.strip(_EDGES)
         if core.isalpha() and core[1:].islower():
             lower = core.lower()
-            if not self.opens[_HEAD.match(lower)[0]]:
-                return ()
             if lower.isalpha() and _DOUBLED.search(lower) is None:  # reads as itself alone
                 share = self._of_word(lower)
                 return ((lower, share),) if share > 0 else ()
-        elif any(map(str.isalpha, core)) and not self._opens(_INNER_I.sub("|", core).lower()):
-            return ()
         raw = piece.lower().strip(_EDGES + "!")
         words = {raw, *self.restorer.restore_piece(piece).split()} - {""}
         if not any(c.isalpha() for c in raw) and not _DISGUISED.match(raw):
@@ -504,15 +513,28 @@ def _votes(labelled: DataFrame) -> DataFrame:
     return stage(rows.select("id", "toxic", (1 / F.col("size")).alias("vote")))
 
 
-def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], float]:
-    """Share of toxic documents by feature, from (body, toxic, vote), and the overall share."""
-    shared = rows.sparkSession.sparkContext.broadcast(restorer)
+def _votes_by_feature(
+    rows: DataFrame, restorer: Restorer, wanted: frozenset[int] | None = None
+) -> DataFrame:
+    """(feature, toxic, clean): the votes of the documents that have it, from (body, toxic,
+    vote). Only ``wanted`` features are counted, if given: then words that do not begin like
+    one of them are passed over, as in scoring."""
+    tool = restorer if wanted is None else Scorer(restorer, dict.fromkeys(wanted, 0.0), 0.0)
+    shared = rows.sparkSession.sparkContext.broadcast(tool)
 
     def run(batches):
         tool = shared.value
         told_by = lambda words: tuple(f for w in words for f in features(w))
-        of_piece = _Words(lambda p: told_by(tool.restore_piece(p).split()))
-        of_run = _Words(lambda r: told_by({w for told in tool.spaced_run(r) for w in told.split()}))
+        all_of_piece = lambda p: told_by(tool.restore_piece(p).split())
+        all_of_run = lambda r: told_by({w for told in tool.spaced_run(r) for w in told.split()})
+        find_piece, find_run, passed = all_of_piece, all_of_run, None
+        if wanted is not None:
+            scorer, tool = tool, tool.restorer
+            some = lambda found: tuple(f for f in found if f in scorer.shares)
+            find_piece = lambda p: some(all_of_piece(p)) if scorer._tells(p) else ()
+            find_run = lambda r: some(all_of_run(r)) if scorer._opens(r.lower()) else ()
+            passed = scorer._is_dull
+        of_piece, of_run = _Words(find_piece), _Words(find_run)
         of = lambda name: of_piece[name] if isinstance(name, str) else of_run[name[0]]
         numbers: dict[str | tuple[str], int] = {}  # pieces, and runs in tuples, of some documents
         held: list[np.ndarray] = []  # their numbers, by document
@@ -534,20 +556,18 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
             document, place = np.divmod(np.unique(pairs), max(1, len(kinds)))
             given = np.array(votes)
             sums = [np.bincount(place, given[document, k], len(kinds)) for k in (0, 1)]
-            # Feature 0 counts the documents.
             return pa.RecordBatch.from_pydict(
-                {
-                    "feature": pa.array(np.append(kinds, np.uint64(0)).view(np.int64)),
-                    "toxic": np.append(sums[0], given[:, 0].sum()),
-                    "clean": np.append(sums[1], given[:, 1].sum()),
-                }
+                {"feature": pa.array(kinds.view(np.int64)), "toxic": sums[0], "clean": sums[1]}
             )
 
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("body", "toxic", "vote")]
             for body, toxic, vote in zip(*columns):
                 text = body.decode("utf-8", "replace")
-                names = {*pieces_of(text), *zip(_spaced_runs(text))}
+                names = set(pieces_of(text))
+                if passed is not None:
+                    names = {name for name in names if not passed(name)}
+                names.update(zip(_spaced_runs(text)))
                 found = [numbers.setdefault(name, len(numbers)) for name in names]
                 held.append(np.array(found, np.int64))
                 votes.append((vote * toxic, vote * (1 - toxic)))
@@ -559,18 +579,39 @@ def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], floa
             yield told()
 
     counts = rows.mapInArrow(run, "feature long, toxic double, clean double").groupBy("feature")
-    counts = stage(counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    total = counts.where("feature = 0").first()
-    if total is None or not total.toxic:
+    return stage(counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+
+
+def _shares(rows: DataFrame, restorer: Restorer) -> tuple[dict[int, float], float]:
+    """Share of toxic documents by feature, from (body, toxic, vote), and the overall share.
+
+    All features of toxic documents and of a part of the others are counted first. More clean
+    documents only lower a share, and without enough toxic ones chance explains it, so in the
+    other documents only features that may still be signs are counted.
+    """
+    given = F.col("vote") * F.col("toxic"), F.col("vote") * (1 - F.col("toxic"))
+    total = rows.agg(F.sum(given[0]).alias("toxic"), F.sum(given[1]).alias("clean")).first()
+    if not total.toxic:
         return {}, 0.0
     base = total.toxic / (total.toxic + total.clean)
+    least = max(LEAST_SHARE, LEAST_LIFT * base)
     share = (F.col("toxic") + DOUBT * base) / (F.col("toxic") + F.col("clean") + DOUBT)
+    early = (F.col("toxic") != 0) | (F.pmod(F.xxhash64("body"), F.lit(EARLY)) == 0)
+    counts = _votes_by_feature(rows.where(early), restorer)
+    # What is not quite enough may be so by rounding.
+    known = F.col("toxic") * -np.log(base).item() >= SURE * (1 - 1e-9)
+    counts = counts.where(known & (share >= least * (1 - 1e-9)))
+    wanted = None
+    if counts.count() <= FEATURES:
+        wanted = frozenset(r.feature % 2**64 for r in counts.select("feature").collect())
+    if wanted is None or wanted:
+        counts = counts.union(_votes_by_feature(rows.where(~early), restorer, wanted))
+        counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n = F.col("toxic") + F.col("clean")
     gain = lambda part, rate: F.when(part > 0, part * F.ln(part / n / rate)).otherwise(0.0)
     sure = gain(F.col("toxic"), base) + gain(F.col("clean"), max(1 - base, 1e-9))
-    signs = counts.where(F.col("feature") != 0).withColumn("share", share).withColumn("sure", sure)
-    enough = F.col("share") >= max(LEAST_SHARE, LEAST_LIFT * base)
-    signs = signs.where(enough & (F.col("sure") >= SURE))
+    signs = counts.withColumn("share", share).withColumn("sure", sure)
+    signs = signs.where((F.col("share") >= least) & (F.col("sure") >= SURE))
     signs = signs.orderBy(F.desc("sure"), "feature").limit(FEATURES).select("feature", "share")
     return {r.feature % 2**64: r.share for r in signs.collect()}, base
 

@@ -314,3 +314,81 @@ def test_pairs_are_settled_as_on_the_lattice(monkeypatch):
     found = list(map(restorer.decode, words))
     monkeypatch.setattr(restorer, "_pairs", lambda text: None)
     assert found == list(map(restorer.decode, words))
+
+
+def test_starts_of_words_are_followed_in_one_pass(scorer):
+    """As if each place where a word may begin were followed by itself, in as many steps as
+    the piece has parts."""
+
+    class Counted(dict):
+        def __missing__(self, letters):
+            return self.find(letters)
+
+        def __getitem__(self, letters):
+            self.n = getattr(self, "n", 0) + 1
+            return self.find(letters)
+
+    tool = toxicity.Scorer(scorer.restorer, {f: 0.9 for f in toxicity.features("scum") + toxicity.features("ass")}, 0.1)
+    begins, counted = tool.begins, Counted()
+    counted.find = begins.__getitem__
+    tool.begins = counted
+    assert not tool._opens("b " * 5000)
+    assert counted.n < 50_000
+    tool.begins = begins
+
+    def from_place(runs):
+        read = {""}
+        for sign, times in runs:
+            if not sign.isalpha() and any(begins[r] for r in read if r):
+                return True
+            letters = sign if sign.isalpha() else toxicity.LOOK_ALIKES.get(sign, "")
+            grown = set(read) if sign in toxicity.BETWEEN else set()
+            for c in letters:
+                for r in read:
+                    grown |= {r + c, r + c + c, r + c * times} if times > 1 else {r + c}
+                    grown |= {r} if r.endswith(c) else set()
+            if any(len(r) >= 4 and begins[r[:4]] for r in grown):
+                return True
+            read = {r for r in grown if len(r) < 4}
+        return any(begins[r] for r in read if r)
+
+    draw, seen = random.Random(4), 0
+    for _ in range(3000):
+        parts = [draw.choice(["scu", "as", "s", "c", "u", "m", "a", "5", "$", "-", "%"]) * draw.choice([1, 1, 2]) for _ in range(draw.randint(1, 7))]
+        piece = "".join(parts)
+        runs = [(run[1], len(run[0])) for run in toxicity._RUN.finditer(piece)]
+        places = [i for i in range(len(runs)) if not i or not runs[i - 1][0].isalpha()]
+        assert tool._opens(piece) == any(from_place(runs[i:]) for i in places), piece
+        seen += tool._opens(piece)
+    assert 100 < seen < 2900
+
+
+def test_features_that_cannot_be_signs_are_not_counted_to_the_end(spark, scorer, monkeypatch):
+    draw = random.Random(3)
+    words = [f"{a}{b}{c}" for a in ("zor", "kef", "bli") for b in ("tan", "mu") for c in ("go", "sel", "x")]
+    rows = []
+    for i in range(400):
+        toxic = int(i % 5 == 0)
+        own = draw.sample(words[:9], 2) if toxic or i % 11 == 0 else []
+        rows.append((" ".join(own + draw.sample(words[9:], 3) + [f"{i}q"]), toxic, draw.choice([0.5, 1.0])))
+    df = spark.createDataFrame(rows, "body string, toxic int, vote double")
+    df = df.withColumn("body", F.col("body").cast("binary"))
+    passes, count = [], toxicity._votes_by_feature
+
+    def noted(rows, *more):
+        passes.append((rows.count(), count(rows, *more)))
+        return passes[-1][1]
+
+    monkeypatch.setattr(toxicity, "_votes_by_feature", noted)
+    signs, base = toxicity._shares(df, scorer.restorer)
+    (early, every), (late, some) = passes
+    assert early + late == 400 and late > 200 and every.count() > 100
+    assert 0 < some.count() < every.count() / 2 and some.where("toxic > 0").count() == 0
+    monkeypatch.setattr(toxicity, "EARLY", 1)
+    whole, same = toxicity._shares(df, scorer.restorer)
+    assert base == pytest.approx(same) and len(signs) > 5
+    assert signs == {f: pytest.approx(x) for f, x in whole.items()}
+    monkeypatch.setattr(toxicity, "EARLY", 4)
+    monkeypatch.setattr(toxicity, "FEATURES", 2)  # too many may be signs: all are counted
+    most, _ = toxicity._shares(df, scorer.restorer)
+    assert len(most) == 2 and most == {f: pytest.approx(whole[f]) for f in most}

@@ -19,6 +19,15 @@ BLOCKS = (
     r"(?:[\s/][^>]*)?>"
 )
 TAGS = r"<[!/]?[A-Za-z][^>]*>"
+# The same for Java's search, which tries alternatives one by one: each has its first letters once.
+NOT_TEXT_PARTED = r"(?is)<(?:(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|!--.*?-->)"
+BLOCKS_PARTED = (
+    r"(?i)</?(?:a(?:ddress|rticle|side)|b(?:lockquote|ody|r)|d(?:[dlt]|iv)|f(?:ooter|orm)"
+    r"|h(?:[1-6r]|ead(?:er)?|tml)|li|main|nav|ol|p(?:re)?|section"
+    r"|t(?:able|body|[dr]|foot|h(?:ead)?|itle)|ul)(?:[\s/][^>]*)?>"
+)
+# White space in a line, unless it is one blank already: most of it is.
+WHITE = r"[ \t\r\x0B\f](?:(?<! )|(?=[ \t\r\x0B\f]))[ \t\r\x0B\f]*"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
@@ -29,10 +38,10 @@ def host_of(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """Lines of text of a page: markup gone, white space single, no empty lines."""
-    text = F.regexp_replace(html, NOT_TEXT, "\n")
-    text = F.regexp_replace(text, BLOCKS, "\n")
+    text = F.regexp_replace(html, NOT_TEXT_PARTED, "\n")
+    text = F.regexp_replace(text, BLOCKS_PARTED, "\n")
     text = F.regexp_replace(text, TAGS, "")
-    text = F.regexp_replace(text, r"[ \t\r\x0B\f]+", " ")
+    text = F.regexp_replace(text, WHITE, " ")
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda line: line != "")
 
 

@@ -334,3 +334,30 @@ def test_repeats_across_the_seam_of_pieces(spark, monkeypatch):
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     got = sorted((tuple(r) for r in suffix_dedup.remove_repeats(df).select(*columns).collect()), key=str)
     assert got == repeats_by_brute_force(docs)
+
+
+def test_only_white_space_that_changes_is_matched(spark):
+    draw = random.Random(8)
+    texts = ["".join(draw.choice("a  \t\r\x0b\f\n") for _ in range(draw.randint(0, 12))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, "a b c", " "]], "text string")
+    want = F.regexp_replace("text", r"[ \t\r\x0B\f]+", " ")
+    got = F.regexp_replace("text", line_dedup.WHITE, " ")
+    assert df.where(want != got).count() == 0
+    assert re.search(line_dedup.WHITE, " a b c ") is None
+
+
+def test_parted_patterns_match_the_same(spark):
+    draw = random.Random(9)
+    names = ("address article aside blockquote body br dd div dl dt footer form head header hr html li main nav ol p pre section table tbody td tfoot th thead title tr ul h1 h6").split()
+    names += ["script", "style"] * 12 + ["h7", "script", "style", "b", "preface", "heade", "theads", "d", "t", "!--", "--"]
+    parts = ["<", "</", ">", " ", "/", "\n", "x", *["-->", "<!--"] * 12, *names]
+    made = lambda: "".join(
+        f"<{draw.choice(['', '/'])}{draw.choice([str.upper, str])(draw.choice(names))}{draw.choice(['', ' a=1', '/', 'x'])}>"
+        if draw.random() < 0.6
+        else draw.choice(parts)
+        for _ in range(draw.randint(1, 14))
+    )
+    df = spark.createDataFrame([(made(),) for _ in range(6000)], "text string")
+    for old, new in (("NOT_TEXT", "NOT_TEXT_PARTED"), ("BLOCKS", "BLOCKS_PARTED")):
+        want, got = (F.regexp_replace("text", getattr(line_dedup, x), "|") for x in (old, new))
+        assert df.where(want != got).count() == 0 and df.where(want != F.col("text")).count() > 200

@@ -6,7 +6,7 @@ from catalog.registry import query
 from oracle.model import MODEL, RAW_ORDER
 from standwise import schemas
 from standwise.functions import numbers as n
-from standwise.operators import keyed
+from standwise.operators import keyed, stats
 from standwise.operators.matches import coerce
 from standwise.plans import daily, load, pipeline
 from standwise.sources import binding as b
@@ -253,14 +253,15 @@ def store_overflow(t):
 def load_all(t):
     """Every table as it is; rows with texts that a table cannot hold are counted as rejected."""
     tables = {
-        "standings": t.standings,
+        "standings": t.stored_standings,
         "matches": t.stored_matches,
         "finished": t.stored_finished,
-        "team_stats": t.team_stats,
+        "team_stats": stats.team_stats(t.stored_finished, t.stored_standings),
         "recent_form": t.recent_form,
         "scorers": t.scorers,
     }
-    return load.load_all(t.spark, tables, staging_path(t.spark, "load"), moment())
+    stored = ["standings", "matches", "finished"]
+    return load.load_all(t.spark, tables, staging_path(t.spark, "load"), moment(), stored=stored)
 
 
 @query(

@@ -1,7 +1,9 @@
 """Loading result tables: storage types, keyed merges and a status row per table."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,9 @@ from standwise.schemas import DECIMALS, STAMPED, TARGETS, TEXT_LIMITS
 from standwise.sources.files import has_version, read_version, write_version
 from standwise.sources.staging import stage
 
+# Tables loaded at the same time; the last tasks of one leave cores to the next.
+AT_ONCE = 3
+
 STATUS = T.StructType(
     [
         T.StructField("table", T.StringType()),
@@ -44,10 +49,15 @@ def as_stored(df: DataFrame) -> DataFrame:
 
 def text_overflow(columns: list[str]) -> Column:
     """Names of the text columns whose value is longer than the table allows."""
-    checks = [
-        F.when(F.length(c) > TEXT_LIMITS[c], F.lit(c)) for c in columns if c in TEXT_LIMITS
-    ]
-    return F.filter(F.array(*checks), lambda c: c.isNotNull())
+    none = F.array().cast("array<string>")
+
+    def check(name: str) -> Column:
+        # A text has no more characters than bytes, which are known without counting.
+        limit = TEXT_LIMITS[name]
+        too_long = (F.octet_length(name) > limit) & (F.length(name) > limit)
+        return F.when(too_long, F.array(F.lit(name))).otherwise(none)
+
+    return F.concat(none, *[check(c) for c in columns if c in TEXT_LIMITS])
 
 
 def prepared(df: DataFrame, name: str, order: Sequence[str] = ()) -> DataFrame:
@@ -73,12 +83,15 @@ def load_table(
     root: str,
     now: Column | None = None,
     order: Sequence[str] = (),
+    stored: bool = False,
 ) -> tuple[int, int]:
     """Merge the rows into the stored table as its next version.
 
     ``order`` names the columns that tell the order of the source rows: the last row of a
     key is stored. Without it, or between rows of one place, the row with the greatest
     values is, and a value counts for more than none.
+    ``stored`` tells that the rows are read from a stored table, with nothing but columns and
+    filters of one row between: they are read twice then instead of being written once more.
 
     Returns the stored rows and the rows rejected for a missing key or a too long text;
     the rejected ones are kept next to the table. The new version counts from the moment
@@ -86,8 +99,10 @@ def load_table(
     """
     _, keys, mode = TARGETS[name]
     schema, path = stored_schema(name), f"{root}/{name}"
-    # Both the good and the bad rows are read from it, so the input is worked out once.
-    rows = stage(prepared(df, name, order))
+    rows = prepared(df, name, order)
+    if not stored:
+        # Both the good and the bad rows are read from it, so the input is worked out once.
+        rows = stage(rows)
     good = rows.filter(storable(rows, keys)).drop("overflow")
     bad = rows.filter(~storable(rows, keys))
     places = [f"order_{i}" for i in range(len(order))]
@@ -111,21 +126,28 @@ def load_all(
     root: str,
     now: Column | None = None,
     orders: Mapping[str, Sequence[str]] | None = None,
+    stored: Collection[str] = (),
 ) -> DataFrame:
     """Load every known table; missing inputs are skipped and a failure stops no other.
 
-    ``orders`` holds the order of a table's source rows, see ``load_table``.
+    ``orders`` holds the order of a table's source rows and ``stored`` names the tables whose
+    rows are read from stored ones, see ``load_table``.
     """
-    rows = []
-    for name in TARGETS:
+    orders = orders or {}
+
+    def status(name: str) -> tuple:
         if name not in tables:
-            rows.append((name, "skipped", None, None, None))
-            continue
+            return name, "skipped", None, None, None
         try:
             kept, dropped = load_table(
-                spark, tables[name], name, root, now, (orders or {}).get(name, ())
+                spark, tables[name], name, root, now, orders.get(name, ()), name in stored
             )
-            rows.append((name, "loaded", kept, dropped, None))
+            return name, "loaded", kept, dropped, None
         except Exception as error:
-            rows.append((name, "failed", None, None, str(error)))
+            return name, "failed", None, None, str(error)
+
+    # Hands the session back where threads need nothing.
+    inherit = inheritable_thread_target(spark)
+    with ThreadPool(AT_ONCE) as pool:
+        rows = pool.map(status if inherit is spark else inherit(status), TARGETS, chunksize=1)
     return spark.createDataFrame(rows, STATUS)

@@ -66,7 +66,7 @@ def _run(spark, raw, root, match_order, scorer_order, now, scenarios, orders) ->
     tables = model_tables(matches, raw["standings"], raw["scorers"], list(scorer_order))
     chances = season_probabilities(tables["standings"], tables["matches"], scenarios)
     write_version(chances, f"{root}/probabilities")
-    return load_all(spark, tables, root, now, orders)
+    return load_all(spark, tables, root, now, orders, stored=["standings", "matches", "finished"])
 
 
 def stored_tables(spark: SparkSession, root: str, schemas: Mapping) -> dict[str, DataFrame]:

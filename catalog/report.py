@@ -90,10 +90,15 @@ def report_prob_slices(t):
 
 @query("report_prob_fallback", PROB + "select * from prob")
 def report_prob_fallback(t):
+    """Computed where none are stored, then read as stored; a failure in either is raised."""
     path = staging_path(t.spark, "probabilities")
-    computed = report.load_probabilities(t.spark, path, lambda: probable(t))
+
+    def not_stored():
+        raise FileNotFoundError(f"no probabilities were stored under {path}")
+
+    computed = report.load_probabilities(t.spark, path, lambda: probable(t), required=True)
     files.write_version(computed, path)
-    return report.load_probabilities(t.spark, path, lambda: computed.limit(0))
+    return report.load_probabilities(t.spark, path, not_stored, required=True)
 
 
 @query(

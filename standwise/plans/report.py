@@ -252,14 +252,22 @@ def cards(standings: DataFrame) -> DataFrame:
 
 
 def load_probabilities(
-    spark: SparkSession, path: str, compute: Callable[[], DataFrame]
+    spark: SparkSession, path: str, compute: Callable[[], DataFrame], required: bool = False
 ) -> DataFrame:
-    """Stored probabilities, computed ones when there are none, else an empty table."""
+    """Stored probabilities, or computed ones when there are none.
+
+    What is stored, or handed on as a result, has to be ``required``: if it cannot be computed,
+    the failure is raised. Without that a failure is logged and gives an empty table, for a
+    report that is shown without this tab.
+    """
     if has_version(spark, path):
         return read_version(spark, path, PROBABILITIES)
     try:
         return compute()
-    except Exception:  # the report is shown without this tab
+    except Exception:
+        if required:
+            raise
+        # The report is shown without this tab.
         logging.getLogger(__name__).exception("no probabilities under %s, and none computed", path)
         return spark.createDataFrame([], PROBABILITIES)
 

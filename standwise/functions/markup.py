@@ -7,7 +7,8 @@ not they are closed. Values used inside lambdas are bound first: Spark works an
 out again for each element otherwise.
 """
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,18 @@ from standwise.llm.common import bounded
 # Elements that have no content and no closing tag.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 
+VOID_NAMES = frozenset(VOID)
+
+# Any tag, and its name behind the sign it opens with.
+TAG = r"(?i)</?[a-z][a-z0-9]*\b[^>]*>"
+NAME = re.compile("[A-Za-z][A-Za-z0-9]*")
+
+# Length of tags that are remembered, and how many of them.
+SHORT, REMEMBERED = 16, 10_000
+
+# Characters of elements that are handed on at once.
+CHARS_AT_ONCE = 16_000_000
+
 # What is no markup of the page: comments, scripts and styles.
 HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
 
@@ -192,11 +205,8 @@ def with_spans(df: DataFrame, tags: str, name: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = batch.column(tags)
-            first, last = given.offsets[0].as_py(), given.offsets[-1].as_py()
-            flat = given.values.slice(first, last - first)
+            flat, offsets = _lists(batch.column(tags))
             names, steps = (flat.field(i).to_pylist() for i in range(2))
-            offsets = [x - first for x in given.offsets.to_pylist()]
             opens, ends, sizes = [], [], [0]
             for low, high in zip(offsets, offsets[1:]):
                 some, their = paired_tags(names[low:high], steps[low:high])
@@ -213,6 +223,119 @@ def with_spans(df: DataFrame, tags: str, name: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def names_and_steps(
+    tags: list[str], known: dict[str, tuple[str, int]]
+) -> tuple[list[str], list[int]]:
+    """Names of tags, and 1 for one that opens, -1 for one that closes, 0 for one that is whole.
+
+    ``known`` remembers short tags, which come again.
+    """
+    found = []
+    for tag in tags:
+        both = known.get(tag)
+        if both is None:
+            closes = tag[1] == "/"
+            name = NAME.match(tag, 2 if closes else 1).group().lower()
+            both = name, -1 if closes else 0 if name in VOID_NAMES or tag.endswith("/>") else 1
+            if len(tag) <= SHORT and len(known) < REMEMBERED:
+                known[tag] = both
+        found.append(both)
+    return [name for name, _ in found], [step for _, step in found]
+
+
+def places(plain: str, tags: list[str]) -> tuple[list[int], list[int]]:
+    """Where the tags of a text begin and end: each is the first one like it behind the one before."""
+    starts, stops, at = [], [], 0
+    for tag in tags:
+        start = plain.index(tag, at)
+        at = start + len(tag)
+        starts.append(start)
+        stops.append(at)
+    return starts, stops
+
+
+def around(openings: list[int], ends: list[int], wanted: Iterable[int]) -> list[tuple[int, int]]:
+    """The innermost element around each of some places, which ascend: its opening and end, or
+    (-1, -1) outside all elements."""
+    found, inside, k = [], [], 0
+    for at in wanted:
+        while k < len(openings) and openings[k] < at:
+            inside.append((openings[k], ends[k]))
+            k += 1
+        # An element that has ended stands around nothing further on.
+        while inside and inside[-1][1] <= at:
+            inside.pop()
+        found.append(inside[-1] if inside else (-1, -1))
+    return found
+
+
+def _lists(column: pa.ListArray) -> tuple[pa.Array, list[int]]:
+    """The values of all lists of a batch, and where each list begins."""
+    first, last = column.offsets[0].as_py(), column.offsets[-1].as_py()
+    return column.values.slice(first, last - first), [x - first for x in column.offsets.to_pylist()]
+
+
+def cut_elements(
+    df: DataFrame,
+    pick: Callable[[list[int], list[int], list[int]], Iterable[tuple[int, int, list[int]]]],
+    at_once: int = CHARS_AT_ONCE,
+) -> DataFrame:
+    """(page_id, seq, wanted, inside): a row for each element picked from a page, counted in
+    the page, with some of what is wanted of it and with what stands between its tags.
+
+    ``df`` holds (page_id, plain, tags, wanted), where wanted are structs of a tag's place and
+    more. ``pick`` takes openings and ends of a page's elements and the wanted places, and
+    gives opening, end and numbers of wanted ones for each element picked. The opening -1 stands
+    for the whole page. Rows are handed on once they hold ``at_once`` characters.
+    """
+    bounded(df.sparkSession)
+    schema = T.StructType(
+        [
+            df.schema["page_id"],
+            T.StructField("seq", T.IntegerType()),
+            df.schema["wanted"],
+            T.StructField("inside", T.StringType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[str, int]] = {}
+        for batch in batches:
+            flat_tags, tag_at = _lists(batch.column("tags"))
+            flat_wanted, wanted_at = _lists(batch.column("wanted"))
+            every_tag, every_place = flat_tags.to_pylist(), flat_wanted.field(0).to_pylist()
+            ids, rows, seqs, chosen, sizes, insides, size = batch.column("page_id"), [], [], [], [0], [], 0
+
+            def joined() -> pa.RecordBatch:
+                some = pa.ListArray.from_arrays(
+                    pa.array(sizes, pa.int32()), flat_wanted.take(pa.array(chosen, pa.int64()))
+                )
+                columns = [ids.take(pa.array(rows, pa.int64())), pa.array(seqs, pa.int32()), some]
+                return pa.RecordBatch.from_arrays([*columns, pa.array(insides, pa.string())], schema.names)
+
+            for row, plain in enumerate(batch.column("plain").to_pylist()):
+                tags = every_tag[tag_at[row] : tag_at[row + 1]]
+                base = wanted_at[row]
+                openings, ends = paired_tags(*names_and_steps(tags, known))
+                starts, stops = places(plain, tags)
+                picked = pick(openings, ends, every_place[base : wanted_at[row + 1]])
+                for seq, (opening, end, numbers) in enumerate(picked):
+                    low = stops[opening] if opening >= 0 else 0
+                    high = starts[end] if 0 <= end < len(tags) else len(plain)
+                    rows.append(row)
+                    seqs.append(seq)
+                    chosen += [base + n for n in numbers]
+                    sizes.append(len(chosen))
+                    insides.append(plain[low:high])
+                    size += high - low
+                    if size > at_once:
+                        yield joined()
+                        rows, seqs, chosen, sizes, insides, size = [], [], [], [0], [], 0
+            yield joined()
+
+    return df.mapInArrow(run, schema)
+
+
 def interleaved(parts: Column, tags: Column) -> Column:
     """Part, tag, part, ..., part and an empty text: tag k stands at 2 k + 1."""
     return bound(

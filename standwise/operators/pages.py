@@ -4,21 +4,20 @@ All work on a page stays inside its row, as array expressions, until the rows of
 table are exploded; no page is shuffled.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from standwise.functions.markup import (
     HIDDEN,
-    VOID,
+    TAG,
+    around,
     between,
     bound,
-    innermost,
+    cut_elements,
     interleaved,
-    span_blocks,
     spans,
-    with_spans,
 )
 from standwise.functions.numbers import strip
 from standwise.functions.text import (
@@ -42,10 +41,6 @@ VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 IMAGE_TITLE = rf"(?is)<img\b[^>]*?\btitle\s*=\s*{VALUE}"
 HREF = rf"(?is)<a\b[^>]*?\bhref\s*=\s*{VALUE}"
 
-# Any tag, and its name.
-TAG = r"(?i)</?[a-z][a-z0-9]*\b[^>]*>"
-TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
-
 # What the cells of a standings row after the team cell hold.
 STANDINGS_CELLS = [
     "points",
@@ -274,43 +269,25 @@ def page_text(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", unescape(F.regexp_replace(bare, r"<[^>]*>", " ")).alias("text"))
 
 
-def _marked_up(pages: DataFrame) -> DataFrame:
-    """(page_id, tags, both, spans): a page's tags, its parts and tags interleaved, and the
-    spans of its elements."""
-
-    def named(tags: Column) -> Column:
-        return F.transform(
-            tags,
-            lambda t: bound(
-                F.lower(F.regexp_extract(t, TAG_NAME, 1)),
-                lambda name: F.struct(
-                    name.alias("name"),
-                    F.when(F.startswith(t, F.lit("</")), -1)
-                    .when(name.isin(VOID) | F.endswith(t, F.lit("/>")), 0)
-                    .otherwise(1)
-                    .alias("step"),
-                ),
-            ),
-        )
+def _marked_up(pages: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
+    """(page_id, plain, tags, wanted): a page without what is no markup, its tags, and what is
+    wanted of them; pages without any are left out."""
 
     def of_tags(plain: Column) -> Column:
         return bound(
             pieces(plain, TAG, 0),
             lambda tags: F.struct(
-                tags.alias("tags"),
-                interleaved(F.split(plain, TAG), tags).alias("both"),
-                named(tags).alias("named"),
+                plain.alias("plain"), tags.alias("tags"), wanted(tags).alias("wanted")
             ),
         )
 
     whole = bound(F.regexp_replace("html", HIDDEN, " "), of_tags)
     cut = pages.where("html is not null").select("page_id", F.explode(F.array(whole)).alias("page"))
-    return with_spans(cut.select("page_id", "page.*"), "named", "spans")
+    return cut.select("page_id", "page.*").where(F.size("wanted") > 0)
 
 
 def shown(inside: Column) -> Column:
-    """Visible text of a piece of markup.  It is worked out before a page's elements become
-    rows: a filter on what is read from it would work it out again."""
+    """Visible text of a piece of markup."""
     return blank_to_null(tag_text(inside, " "))
 
 
@@ -319,27 +296,30 @@ def marked_blocks(pages: DataFrame, name: str) -> DataFrame:
     value and the element's visible text."""
     value = rf"(?is)\s{name}\s*=\s*{VALUE}"
 
-    def found(tags: Column, both: Column, spans: Column) -> Column:
-        marked = F.filter(spans, lambda s: has(F.get(tags, s["open"]), value))
-        return F.transform(
-            marked,
-            lambda s: F.struct(
-                F.get(tags, s["open"]).alias("tag"), shown(between(both, s)).alias("text")
-            ),
-        )
+    def marked(tags: Column) -> Column:
+        every = F.transform(tags, lambda t, at: F.struct(at.alias("at"), t.alias("tag")))
+        return F.filter(every, lambda t: has(t["tag"], value))
 
-    blocks = _marked_up(pages).select(
-        "page_id",
-        F.posexplode(found(F.col("tags"), F.col("both"), F.col("spans"))).alias("seq", "block"),
-    )
+    def pick(openings: list[int], ends: list[int], wanted: list[int]):
+        numbers = {at: n for n, at in enumerate(wanted)}
+        for opening, end in zip(openings, ends):
+            if opening in numbers:
+                yield opening, end, [numbers[opening]]
+
+    blocks = _texts(cut_elements(_marked_up(pages, marked), pick))
+    tag = F.get("wanted", F.lit(0))["tag"]
     return blocks.select(
-        "page_id",
-        "seq",
-        attribute(first_match(F.col("block.tag"), value)).alias("id_text"),
-        F.col("block.text").alias("text"),
+        "page_id", "seq", attribute(first_match(tag, value)).alias("id_text"), "text"
     )
 
 
+def _texts(elements: DataFrame) -> DataFrame:
+    """Elements with their visible text.  A generator stands between it and what follows: a
+    filter on what is read from the text would work it out again."""
+    made = F.struct("seq", "wanted", shown(F.col("inside")).alias("text"))
+    return elements.select("page_id", F.explode(F.array(made)).alias("made")).select("page_id", "made.*")
+
+
 def link_parents(pages: DataFrame, href: str) -> DataFrame:
     """(page_id, links, text): every element that directly holds links whose address matches
     a pattern, with these links as (seq, href) and its visible text.
@@ -348,57 +328,26 @@ def link_parents(pages: DataFrame, href: str) -> DataFrame:
     it is the whole page. A text is worked out once, however many links stand in it.
     """
 
-    def found(tags: Column, both: Column, spans: Column) -> Column:
-        named = F.transform(
+    def linked(tags: Column) -> Column:
+        # Addresses are unescaped only where there are any.
+        every = F.transform(
             tags,
-            lambda t, at: F.struct(at.alias("at"), attribute(first_match(t, HREF)).alias("href")),
+            lambda t, at: F.struct(at.alias("seq"), F.regexp_extract(t, HREF, 1).alias("href")),
+        )
+        links = F.transform(
+            F.filter(every, lambda link: link["href"] != ""),
+            lambda link: F.struct(link["seq"].alias("seq"), attribute(link["href"]).alias("href")),
         )
-        wanted = F.filter(named, lambda link: link["href"].rlike(href))
-
-        def linked(cut: Column) -> Column:
-            links = F.transform(
-                wanted,
-                lambda link: bound(
-                    innermost(cut, link["at"]),
-                    lambda around: F.struct(
-                        F.coalesce(around["open"], F.lit(-1)).alias("open"),
-                        F.coalesce(around["end"], F.size(tags)).alias("end"),
-                        link["at"].alias("seq"),
-                        link["href"].alias("href"),
-                    ),
-                ),
-            )
-            return F.array_sort(links)
-
-        def parents(links: Column) -> Column:
-            starts = F.filter(
-                F.transform(
-                    links,
-                    lambda link, i: F.struct(
-                        i.alias("start"),
-                        (F.get(links, i - 1)["open"] != link["open"]).alias("first"),
-                    ),
-                ),
-                lambda s: (s["start"] == 0) | s["first"],
-            )
-            return bound(starts, lambda starts: F.transform(starts, lambda s, j: parent(links, starts, s, j)))
-
-        def parent(links: Column, starts: Column, s: Column, j: Column) -> Column:
-            stop = F.coalesce(F.get(starts, j + 1)["start"], F.size(links))
-            own = F.transform(
-                F.sequence(s["start"], stop - 1),
-                lambda k: F.struct(
-                    F.get(links, k)["seq"].alias("seq"), F.get(links, k)["href"].alias("href")
-                ),
-            )
-            inside = between(both, F.get(links, s["start"]))
-            return F.struct(own.alias("links"), shown(inside).alias("text"))
-
-        return bound(bound(span_blocks(spans), linked), parents)
-
-    around = found(F.col("tags"), F.col("both"), F.col("spans"))
-    rows = _marked_up(pages).select("page_id", F.explode(around).alias("parent"))
-    return rows.select("page_id", "parent.links", "parent.text")
+        return F.filter(links, lambda link: link["href"].rlike(href))
+
+    def pick(openings: list[int], ends: list[int], wanted: list[int]):
+        parents: dict[tuple[int, int], list[int]] = {}
+        for n, element in enumerate(around(openings, ends, wanted)):
+            parents.setdefault(element, []).append(n)
+        return ((*element, numbers) for element, numbers in parents.items())
+
+    parents = _texts(cut_elements(_marked_up(pages, linked), pick))
+    return parents.select("page_id", F.col("wanted").alias("links"), "text")
 
 
 def scores_from_pages(

@@ -35,9 +35,9 @@ def fill_round(rows: DataFrame) -> DataFrame:
     The rows are read from cells and used twice, so they are written once.
     """
     named = first_match(F.col("round"), r"(?U)(\d+)").try_cast("int")
-    cells = stage(rows.withColumn("named_round", named).drop("round"))
-    filled = carry_forward(cells, "doc_id", "seq", F.col("named_round"), "round")
-    return filled.drop("named_round")
+    rest = [c for c in rows.columns if c != "round"]
+    cells = stage(rows.select(*rest, named.alias("named_round")))
+    return carry_forward(cells, "doc_id", "seq", F.col("named_round"), "round", rest=rest)
 
 
 def parse_games(rows: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Carrying the last known value forward along a sequence."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -7,7 +9,13 @@ BLOCK = 100_000
 
 
 def carry_forward(
-    df: DataFrame, key: str, seq: str, value: Column, name: str, block: int = BLOCK
+    df: DataFrame,
+    key: str,
+    seq: str,
+    value: Column,
+    name: str,
+    block: int = BLOCK,
+    rest: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``name``: the last non-null ``value`` at or before each row of the key.
 
@@ -17,7 +25,9 @@ def carry_forward(
 
     The rows are shuffled once: the last row of a block, which no other follows, is taken
     from the shuffled rows. It goes on with all its columns, so that both uses need the same
-    ones and Spark runs one shuffle for both.
+    ones and Spark runs one shuffle for both. Name in ``rest`` the columns that are used
+    afterwards, if these are not all: one that is dropped behind this would be left out of one
+    use alone.
     """
     # The key goes into a struct: equal also when null, and by plain equality, so that the
     # join finds the rows where the window over the blocks has put them.
@@ -26,7 +36,7 @@ def carry_forward(
         F.floor(F.col(seq) / block).alias("_block"),
         F.col(seq).alias("_seq"),
         value.alias("_value"),
-        F.struct(*df.columns).alias("_row"),
+        F.struct(*(df.columns if rest is None else rest)).alias("_row"),
     )
     in_block = (
         Window.partitionBy("_key", "_block")

@@ -270,17 +270,19 @@ def overlay_tiers(
     by_id: DataFrame | None = None,
     by_link: DataFrame | None = None,
     texts: DataFrame | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Scores by id; if those touch no match, scores by link; failing both, by page text.
 
     A tier that is not given touches no match. Which tier applies is settled by a look for
     the first overlap, so the page texts are read only when they are needed. What a tier
     found is written once, for that look and for the overlay: it may be read from pages.
+    ``ids`` are rows with the ids of the matches, for that look, where these are not stored.
     """
     for scores in (by_id, by_link):
         if scores is not None:
             last = stage(last_scores(scores))
-            if has_overlap(matches, last):
+            if has_overlap(matches if ids is None else ids, last):
                 return _with_last(matches, last)
     return matches if texts is None else overlay_text(matches, texts)
 

@@ -9,8 +9,9 @@ from standwise.operators import overlay, stats
 from standwise.operators.keyed import keep_first
 from standwise.operators.season import SCENARIOS, season_probabilities
 from standwise.plans.load import load_all
+from standwise.schemas import MATCHES
 from standwise.sources.files import read_version, write_version
-from standwise.sources.staging import stage, staged_for
+from standwise.sources.staging import SMALLEST, stage, staged_for
 
 
 def model_tables(
@@ -21,7 +22,7 @@ def model_tables(
     Matches and standings feed several of the others, so each is written once and read
     back by them.
     """
-    matches = stage(matches)
+    matches = stage(matches, SMALLEST)
     finished = m.finished(matches)
     standings = stage(m.clean_standings(raw_standings))
     return {
@@ -58,10 +59,16 @@ def run(
 
 
 def _run(spark, raw, root, match_order, scorer_order, now, scenarios, orders) -> DataFrame:
-    first = keep_first(raw["matches"], ["match_id"], match_order)
+    known = [c for c in raw["matches"].columns if c in MATCHES.names]
+    first = keep_first(raw["matches"], ["match_id"], match_order).select(*known)
     late = [raw.get(name) for name in ("scores", "link_scores", "texts")]
-    if any(tier is not None for tier in late):
+    if late[2] is not None:
+        # Texts are looked up for the matches, and met by them.
         first = overlay.overlay_tiers(stage(first), *late)
+    elif any(tier is not None for tier in late):
+        # The first rows lie by id as the join of the scores needs them: they are neither
+        # written nor shuffled for it. Their ids are those of the raw matches.
+        first = overlay.overlay_tiers(first, *late, ids=raw["matches"].select("match_id"))
     matches = m.typed_matches(first, raw["aliases"])
     tables = model_tables(matches, raw["standings"], raw["scorers"], list(scorer_order))
     chances = season_probabilities(tables["standings"], tables["matches"], scenarios)

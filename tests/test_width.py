@@ -79,3 +79,64 @@ def test_rest_of_the_columns_alone_is_carried_on(spark):
     out = carry_forward(df, "k", "s", F.col("v"), "f", block=2, rest=["s", "w"])
     assert out.columns == ["s", "w", "f"]
     assert sorted(map(tuple, out.collect())) == [(s, "x", s // 3 * 3) for s in range(9)]
+
+
+def test_whole_run_joins_the_given_tables_once(spark, tables, monkeypatch, tmp_path):
+    from catalog import load as catalog_load
+    from standwise.plans import pipeline
+
+    seen, run = {}, pipeline.run
+
+    def kept(spark, raw, *args, **named):
+        for name in ("matches", "standings", "scores"):
+            seen[name] = raw[name]._jdf.queryExecution().executedPlan().toString()
+        return run(spark, raw, *args, scenarios=8, **named)
+
+    monkeypatch.setattr(pipeline, "run", kept)
+    found = {r.table: r.rows for r in catalog_load.whole_run(tables).collect()}
+    assert all("FileScan" in plan and "l_orderkey" in seen["matches"] for plan in seen.values())
+    assert not any("lineitem" in plan or "orders.parquet" in plan for plan in seen.values())
+    # Nothing but the loaded tables is left.
+    assert [x.name.split("-")[0] for x in (tmp_path / "staged").iterdir()] == ["run"]
+    # Ids without a line number are null; they are not stored.
+    stored = tables.first.filter("match_id is not null and (state is null or length(state) <= 2)")
+    assert found["matches"] == stored.count() > 0
+
+
+def test_stored_matches_are_those_of_the_raw_ones(tables):
+    want = sorted(map(str, tables.matches.collect()))
+    assert tables.stored_first.count() == len(want)
+    assert sorted(map(str, tables.stored_matches.collect())) == want
+
+
+def test_first_rows_of_a_run_are_not_written_before_their_scores(spark, tmp_path, monkeypatch):
+    from standwise.plans import pipeline
+    from tests.test_load import small_model
+
+    written, stage = [], staging.stage
+
+    def counted(df, *args):
+        written.append(df.columns)
+        return stage(df, *args)
+
+    monkeypatch.setattr(staging, "staging_root", lambda _: str(tmp_path / "staged"))
+    monkeypatch.setattr(pipeline, "stage", counted)
+    raw = small_model(spark)
+    schema = "match_id string, seq int, home_goals string, away_goals string"
+    raw["scores"] = spark.createDataFrame([("none", 1, "4", "0")], schema)
+    raw["link_scores"] = spark.createDataFrame([("g3", 1, "4", "0"), ("g3", 2, "5", "0")], schema)
+    raw["matches"] = raw["matches"].unionByName(raw["matches"].withColumns({"at": F.col("at") + 9, "home": F.lit("Z")}))
+    status = pipeline.run(spark, raw, str(tmp_path / "out"), ["at"], scenarios=4)
+    found = {r.table: (r.rows, r.rejected) for r in status.collect()}
+    assert found["matches"] == (2, 1) and found["finished"] == (2, 1)
+    assert sum("kickoff" in columns for columns in written) == 1
+
+
+def test_overlap_may_be_looked_for_in_other_rows_of_the_same_ids(spark):
+    from standwise.operators import overlay
+
+    games = spark.createDataFrame([("1", None, None), ("2", "3", "3")], "match_id string, home_goals string, away_goals string")
+    scores = spark.createDataFrame([("1", 1, "0", "0"), ("1", 2, "2", "1")], "match_id string, seq int, home_goals string, away_goals string")
+    for ids in (None, games.select("match_id").union(games.select("match_id"))):
+        out = overlay.overlay_tiers(games, scores.where("match_id = '9'"), scores, ids=ids)
+        assert sorted(map(tuple, out.collect())) == [("1", "2", "1"), ("2", "3", "3")]
